@@ -208,17 +208,22 @@ def replace_by_label(starts: DataFrame, labelled: DataFrame, page: str = "url")
     return replaced.unionByName(pages_left)
 
 
-def link_closure(seeds: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
+_ROUNDS_PER_MERGE = 16
+
+
+def link_closure(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``node, depth``: all nodes reached from the seeds along ``src -> dst`` edges.
 
-    Each round joins the new nodes only and drops those met before, so a cycle ends. Rounds are
-    written to the shared folder, which keeps the plan short and survives lost executors. Edges
-    are made distinct once; a page with very many links is a skewed side the join can split.
+    Runs until a round finds nothing new, or ``max_depth`` rounds if given. Each round joins the
+    new nodes only and drops those met before, so a cycle ends. Rounds are written to the shared
+    folder, which keeps the plan short and survives lost executors. Edges are made distinct once;
+    a page with very many links is a skewed side the semi-join can split.
     """
     edges = settle(edges.select("src", "dst").distinct(), "edges")
     frontier = settle(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "closure")
-    reached = frontier
-    for depth in range(1, max_depth + 1):
+    reached, depth = frontier, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         found = (
             edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi")
             .select(F.col("dst").alias("node"))
@@ -231,4 +236,6 @@ def link_closure(seeds: DataFrame, edges: DataFrame, max_depth: int = 64) -> Dat
         if frontier.isEmpty():
             break
         reached = reached.unionByName(frontier)
+        if depth % _ROUNDS_PER_MERGE == 0:
+            reached = settle(reached, "closure")
     return reached
