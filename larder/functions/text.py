@@ -11,7 +11,8 @@ NOT_ALPHA = "[^A-Za-z ]"
 NOT_ALNUM = "[^A-Za-z0-9 ]+"
 NOT_WORD = r"[^\p{L}\p{N}_]"
 NOT_FILENAME = "[^a-zA-Z0-9_]"
-WHITESPACE = r"(?U)\s+"
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+NOT_WHITESPACE = r"(?U)[^\s\x1c-\x1f]"
 MISSING = "missing"
 
 
@@ -50,7 +51,7 @@ def collapse_ws(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return ~c.rlike(r"(?U)\S")
+    return ~c.rlike(NOT_WHITESPACE)
 
 
 def non_blank_items(c: Column) -> Column:
@@ -79,3 +80,14 @@ def json_filename(dish_id: Column, source: Column) -> Column:
 def truncate_filename(c: Column, max_chars: int = 1024) -> Column:
     suffix = ".json"
     return F.concat(F.substring(c, 1, max_chars - len(suffix)), F.lit(suffix))
+
+
+# The entities decoded, the ampersand last.
+_ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+
+
+def decode_entities(c: Column) -> Column:
+    """The common HTML entities as characters."""
+    for entity, char in _ENTITIES:
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c

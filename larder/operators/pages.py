@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.functions.text import decode_entities
 from larder.session import settle
 
 # The two sites' recipe addresses and page marks.
@@ -24,7 +25,6 @@ MORE_LABEL = "See Them All"
 _SKIPPED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _ANCHOR = r"(?is)(<a\s[^>]*>)"
 _HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-_ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
 def hrefs(html: Column) -> Column:
@@ -39,10 +39,7 @@ def hrefs(html: Column) -> Column:
     linked = F.filter(tags, lambda t: t.rlike(_HREF))
 
     def target(tag: Column) -> Column:
-        found = F.concat(*(F.regexp_extract(tag, _HREF, group) for group in (1, 2, 3)))
-        for entity, char in _ENTITIES:
-            found = F.replace(found, F.lit(entity), F.lit(char))
-        return found
+        return decode_entities(F.concat(*(F.regexp_extract(tag, _HREF, g) for g in (1, 2, 3))))
 
     return F.transform(linked, target)
 
@@ -60,11 +57,12 @@ _VOID = frozenset(
 class _Open:
     """An element still open: what it is, and the only text under it so far."""
 
-    __slots__ = ("tag", "id", "children", "text", "anchor")
+    __slots__ = ("tag", "id", "children", "text", "anchor", "noted")
 
     def __init__(self, tag: str, id_: str | None, anchor: int | None):
         self.tag, self.id, self.anchor = tag, id_, anchor
         self.children, self.text = 0, None
+        self.noted = id_ is not None or tag == "nav"
 
     def add(self, text: str | None) -> None:
         self.children += 1
@@ -72,7 +70,10 @@ class _Open:
 
 
 class _Anchors(HTMLParser):
-    """Collects a page's anchors with their only text and the ids they stand under."""
+    """Collects a page's anchors with their only text and the elements they stand under.
+
+    Enclosing elements are noted if they carry an id or are navigation.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -84,7 +85,7 @@ class _Anchors(HTMLParser):
         anchor = None
         if tag == "a" and "href" in values:
             anchor = len(self.found)
-            within = [{"tag": e.tag, "id": e.id} for e in self.open if e.id is not None]
+            within = [{"tag": e.tag, "id": e.id} for e in self.open if e.noted]
             self.found.append({"href": values["href"], "label": None, "within": within})
         self.open.append(_Open(tag, values.get("id"), anchor))
         if tag in _VOID:
@@ -132,7 +133,7 @@ def anchors(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFr
     """Every anchor of every page, read exactly: ``pos, href, label, within``.
 
     ``label`` is set where the anchor holds one text and nothing else; ``within`` lists the
-    enclosing elements that carry an id. Pages are parsed in Arrow batches, no shuffle.
+    enclosing elements that carry an id or are navigation. Pages are parsed in Arrow batches, no shuffle.
     """
     kept = [pages.schema[c] for c in keep]
     schema = T.StructType(
@@ -162,12 +163,19 @@ def anchors(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFr
 
 def section_links(found: DataFrame, id_prefix: str = SECTION_ID_PREFIX) -> DataFrame:
     """Anchors under an element whose id starts with the prefix."""
-    return found.where(F.exists("within", lambda e: e["id"].startswith(id_prefix)))
+    return found.where(
+        F.exists("within", lambda e: F.coalesce(e["id"].startswith(id_prefix), F.lit(False)))
+    )
 
 
-def nav_links(found: DataFrame, tag: str = "nav", element_id: str = NAV_ID) -> DataFrame:
-    """Anchors with a target under the named element."""
-    inside = F.exists("within", lambda e: (e["tag"] == tag) & (e["id"] == element_id))
+def nav_links(found: DataFrame, tag: str = "nav", element_id: str | None = NAV_ID) -> DataFrame:
+    """Anchors with a target under the named element; without an id, under any such tag."""
+    inside = F.exists(
+        "within",
+        lambda e: e["tag"] == tag
+        if element_id is None
+        else (e["tag"] == tag) & e["id"].eqNullSafe(F.lit(element_id)),
+    )
     return found.where(inside & (F.col("href") != ""))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.text import decode_entities
 from larder.functions.urls import url_host
 
 _LD_JSON = (
@@ -96,8 +97,8 @@ def _steps(recipe: Column) -> Column:
 
 def _tag_text(html: Column, tag: str) -> Column:
     inner = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-    plain = F.trim(F.regexp_replace(inner, r"(?s)<[^>]*>", ""))
-    return F.nullif(plain, F.lit(""))
+    plain = F.regexp_replace(inner, r"(?s)<[^>]*>", "")
+    return F.nullif(F.trim(decode_entities(plain)), F.lit(""))
 
 
 def _meta(html: Column, name: str) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +26,7 @@ from larder.operators.vocab import unique_ingredients
 from larder.schemas import DISH_COLUMNS
 from larder.session import settle
 from larder.sinks.tables import write_processed, write_table
-from larder.sources.corpus import discover_specs, land_raw, unprocessed
+from larder.sources.corpus import discover_specs, land_raw, raw_path, unprocessed
 
 # Known bad sources and links of the corpus, and the size of the small extract.
 BAD_SOURCES = ["www.cookbooks.com"]
@@ -108,11 +109,14 @@ def recipe_nlg(cleaned: DataFrame) -> DataFrame:
 def process_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
     """The dish table of one raw corpus, sources interleaved."""
     cleaned, _ = split_rejects(clean_raw(raw, legacy), "bad_list")
-    ordered = recipe_nlg(settle(cleaned, "cleaned")).orderBy(*INTERLEAVED)
+    ordered = recipe_nlg(settle(cleaned, "cleaned")).orderBy(*interleaved())
     return wrap_lists(ordered).select(*DISH_COLUMNS)
 
 
-INTERLEAVED = [F.asc_nulls_last("source_order"), F.asc_nulls_last("source"), "dish_id"]
+def interleaved() -> list[Column]:
+    """The order in which the sources alternate."""
+    return [F.asc_nulls_last("source_order"), F.asc_nulls_last("source"), F.col("dish_id")]
+
 
 Processor = Callable[[DataFrame], DataFrame]
 # Spec -> what turns its cleaned rows into dishes with ``dish_id`` and ``source_order``.
@@ -129,12 +133,13 @@ class BatchResult:
     rejects: DataFrame | None = None
 
 
-def _processed_specs(spark: SparkSession, path: str) -> DataFrame | None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    return spark.read.parquet(path).select("spec").distinct()
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def master_table(processed: DataFrame) -> DataFrame:
@@ -164,9 +169,9 @@ def run_batch(
     processor is skipped and reported.
     """
     processors = PROCESSORS if processors is None else processors
-    specs = unprocessed(
-        discover_specs(spark, raw_dir), _processed_specs(spark, processed_dir), reprocess
-    )
+    before = _read_if_there(spark, processed_dir)
+    done = None if before is None else before.select("spec")
+    specs = unprocessed(discover_specs(spark, raw_dir), done, reprocess)
     result = BatchResult(processed=[], skipped=[])
     rejects = []
     options = {} if raw_schema is None else {"schema": raw_schema}
@@ -175,19 +180,20 @@ def run_batch(
         if processor is None:
             result.skipped.append(row["spec"])
             continue
-        raw = land_raw(spark, row["path"], multi_line=multi_line, **options)
+        raw = land_raw(spark, raw_path(raw_dir, row["spec"]), multi_line=multi_line, **options)
         cleaned = settle(clean_raw(raw, keep=["spec"]), "cleaned")
         good, bad = split_rejects(cleaned, "bad_list")
         rejects.append(bad.select("spec", "n", "uid", "dish", "url"))
-        placed = sorted_index(processor(good), INTERLEAVED, "place")
+        placed = sorted_index(processor(good), interleaved(), "place")
         write_processed(placed, processed_dir)
         result.processed.append(row["spec"])
     for bad in rejects:
         result.rejects = bad if result.rejects is None else result.rejects.unionByName(bad)
-    if _processed_specs(spark, processed_dir) is None:
+    processed = _read_if_there(spark, processed_dir)
+    if processed is None:
         return result
 
-    master = master_table(spark.read.parquet(processed_dir))
+    master = master_table(processed)
     small = master.where(F.col("master_id") < small_rows)
     for name, rows in (("", master), ("_small", small)):
         write_table(dish_table(rows), f"{output_dir}/dish_recipes{name}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +11,7 @@ from larder.operators.sizes import broadcast_if_small
 from larder.schemas import RAW_CORPUS
 from larder.session import settle
 
-RAW_FILES = "raw_dataset_*.csv"
-_SPEC = r"raw_dataset_(.+)\.csv$"
+_SPEC = r"raw_dataset_([^/]+)\.csv(?:/[^/]*)?$"
 
 
 def read_csv(
@@ -39,15 +38,21 @@ def read_csv(
     )
 
 
-def spec_of(path):
-    """Dataset name in a raw file's path."""
+def spec_of(path: Column) -> Column:
+    """Dataset name in the path of a raw file, or of a part file in a folder of that name."""
     return F.regexp_extract(path, _SPEC, 1)
 
 
+def raw_path(directory: str, spec: str) -> str:
+    return f"{directory}/raw_dataset_{spec}.csv"
+
+
 def discover_specs(spark: SparkSession, directory: str) -> DataFrame:
-    """``spec, path`` of the raw files in a folder. File contents are not read."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", RAW_FILES).load(directory)
-    return listed.select(spec_of(F.col("path")).alias("spec"), "path").distinct()
+    """The distinct ``spec`` of the raw datasets in a folder. File contents are not read."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    )
+    return listed.select(spec_of(F.col("path")).alias("spec")).where("spec != ''").distinct()
 
 
 def unprocessed(specs: DataFrame, done: DataFrame | None, reprocess: bool = False) -> DataFrame:
@@ -66,7 +71,7 @@ def land_raw(
 ) -> DataFrame:
     """Read raw CSV once, as a splittable copy in the shared folder, with its row order.
 
-    Adds ``spec`` and ``n``, the row's position in its file.
+    Adds ``spec`` and ``n``, the row's position in its dataset.
     """
     raw = read_csv(spark, path, schema, multi_line=multi_line, files=files).select(
         "*",
@@ -79,17 +84,19 @@ def land_raw(
 
 
 def file_positions(landed: DataFrame, name: str = "n") -> DataFrame:
-    """Position of each row in its file, without moving a row.
+    """Position of each row in its dataset, files in name order, without moving a row.
 
     A task numbers the rows of an input split consecutively, so a row's place in its split is its
-    number minus the split's smallest. Splits before it in the file add their row counts; that
+    number minus the split's smallest. Splits before it in the dataset add their row counts; that
     table has one row per split and is broadcast if it measures small.
     """
-    splits = landed.groupBy("_file", "_block").agg(
+    splits = landed.groupBy("spec", "_file", "_block").agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     earlier = (
-        Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("spec")
+        .orderBy("_file", "_block")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = splits.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")

@@ -18,6 +18,7 @@ from larder.operators.index import chunk_manifest
 from larder.operators.records import overlay, sanitize
 from larder.operators.tags import with_tags
 from larder.schemas import URL_LIST
+from larder.session import settle
 from larder.sinks.tables import messages, write_batch
 
 # Files per micro-batch and wait, as the scraping and the tagging step take them.
@@ -121,8 +122,10 @@ def tag_batch(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("batch_id", "ingest_ts", "ingredient_tags")
-        tagged = with_tags(rows, "uid", "ingredients", vocab, max_words=max_words)
-        write_batch(tagged, out, batch_id)
+        # A uid may be delivered twice, so rows get a number of their own, fixed by writing it.
+        rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "untagged")
+        tagged = with_tags(rows, "_row", "ingredients", vocab, max_words=max_words)
+        write_batch(tagged.drop("_row"), out, batch_id)
 
     return work
 
