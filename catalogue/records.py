@@ -76,16 +76,15 @@ def enrich_overlay(spark, d):
 
 
 @query("""
-SELECT event_id::VARCHAR AS uid, coalesce(props, '') AS url, 404::BIGINT AS status_code, epoch(ts)::BIGINT AS timestamp
+SELECT event_id::VARCHAR AS uid, coalesce(props, '') AS url, 404::BIGINT AS status_code, epoch(date_trunc('second', ts))::BIGINT AS timestamp
 FROM events WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = user_id)
 """)
 def enrich_misses(spark, d):
     known = table(spark, d, "supplier").select(F.col("s_suppkey").alias("user_id"), "s_name")
     merged = rx.overlay(table(spark, d, "events"), known, "user_id").where("s_name IS NULL")
     items = merged.select(F.col("event_id").alias("uid"), F.col("props").alias("url"), "ts")
-    return fx.failure_rows(
-        items, ["uid", "url"], F.lit(404), F.floor(F.unix_micros("ts") / 1000000)
-    )
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+    return fx.failure_rows(items, ["uid", "url"], F.lit(404), seconds)
 
 
 _FAILED = """
@@ -208,7 +207,7 @@ def event_envelope(spark, d):
 
 @query("""
 SELECT p_partkey::VARCHAR AS uid, p_name AS title, CASE WHEN p_type <> 'SMALL' THEN p_size::VARCHAR END AS total_time,
-  replace(p_name, ' ', '|') AS ingredients, NULL AS author FROM part
+  replace(p_name, ' ', '|') AS ingredients, NULL::VARCHAR AS author FROM part
 """)
 def record_table(spark, d):
     path = scratch_path(spark, "records")
