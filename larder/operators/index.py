@@ -158,9 +158,12 @@ def interleave(df: DataFrame, source: str = "source", key: str = "dish_id") -> D
 
 
 def seeded_shuffle(df: DataFrame, key: str | Column, seed: int) -> DataFrame:
-    """A random-looking order that is the same for the same seed."""
+    """A random-looking order, the same for the same seed and the same files.
+
+    The row's number takes part in the hash, so copies of one key are spread like other rows.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key)
+    return df.orderBy(F.xxhash64(key, F.lit(seed), F.monotonically_increasing_id()))
 
 
 def with_shard(df: DataFrame, idx: str, rows_per_shard: int, name: str = "shard") -> DataFrame:

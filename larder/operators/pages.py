@@ -124,6 +124,7 @@ class _Anchors(HTMLParser):
         return self.found
 
 
+_ROWS_PER_FRAME = 20_000
 _WITHIN = T.ArrayType(
     T.StructType([T.StructField("tag", T.StringType()), T.StructField("id", T.StringType())])
 )
@@ -156,6 +157,9 @@ def anchors(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFr
                 parser.feed(text or "")
                 for pos, a in enumerate(parser.finish()):
                     rows.append((*values, pos, a["href"], a["label"], a["within"]))
+                if len(rows) >= _ROWS_PER_FRAME:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
             yield pd.DataFrame(rows, columns=names)
 
     return pages.select(*keep, html).mapInPandas(parse, schema)

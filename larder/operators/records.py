@@ -10,57 +10,60 @@ from pyspark.sql import functions as F
 from larder.schemas import SANITIZED_KEYS
 
 _INT_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
+_NO_ITEMS = "cast(array() as array<string>)"
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _kind(record: Column, path: str) -> Column:
+    """Type name of a value. Slow to build, so asked only where the value's text is ambiguous."""
+    return F.schema_of_variant(F.try_variant_get(record, path, "variant"))
 
 
-def _as_text(value: Column) -> Column:
-    """Text of any value; truth values are spelled ``True`` and ``False``."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(_kind(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
+def _text(record: Column, path: str) -> Column:
+    """Text of any value; truth values are spelled ``True`` and ``False``; null if absent."""
+    text = F.try_variant_get(record, path, "string")
+    truth = text.isin("true", "false") & (_kind(record, path) == "BOOLEAN")
+    return F.when(truth, F.initcap(text)).otherwise(text)
 
 
-def _as_int(value: Column) -> Column:
+def _as_text(record: Column, path: str) -> Column:
+    return F.coalesce(_text(record, path), F.lit(""))
+
+
+def _as_int(record: Column, path: str) -> Column:
     """Whole part of a number, 1 or 0 of a truth value, a whole number in text; else 0."""
-    text = F.try_variant_get(value, "$", "string")
-    from_text = F.when(
+    text = F.try_variant_get(record, path, "string")
+    grouped = F.when(
         text.rlike(_INT_TEXT), F.trim(F.replace(text, F.lit("_"))).try_cast("bigint")
     )
-    number = F.when(_kind(value) == "STRING", from_text).otherwise(
-        F.try_variant_get(value, "$", "bigint")
-    )
-    return F.coalesce(number, F.lit(0).cast("bigint"))
+    number = F.try_variant_get(record, path, "bigint")
+    return F.coalesce(number, grouped, F.lit(0).cast("bigint"))
 
 
-def _as_list(value: Column) -> Column:
+def _as_list(record: Column, path: str) -> Column:
     """A list as it is, elements as text; anything else becomes the one element of a list."""
-    items = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(items.isNotNull(), F.transform(items, _as_text)).otherwise(
-        F.array(_as_text(value))
+    items = F.try_variant_get(record, path, "array<variant>")
+    single = _text(record, path)
+    return F.coalesce(
+        F.transform(items, lambda v: _text(v, "$")),
+        F.when(single.isNotNull(), F.array(single)),
+        F.expr(_NO_ITEMS),
     )
 
 
-_EMPTY: dict[str, Column | str] = {
-    "text": "''",
-    "int": "0L",
-    "list": "cast(array() as array<string>)",
-}
 _READ = {"text": _as_text, "int": _as_int, "list": _as_list}
 
 
 def sanitized_key(record: Column, key: str, kind: str) -> Column:
     """One key of a VARIANT record, as its fixed type, with the type's empty value if absent."""
-    value = F.try_variant_get(record, f"$.{key}", "variant")
-    absent = value.isNull() | F.is_variant_null(value)
-    return F.when(absent, F.expr(_EMPTY[kind])).otherwise(_READ[kind](value)).alias(key)
+    return _READ[kind](record, f"$.{key}").alias(key)
 
 
 def _coerced(record: Column, key: str) -> Column:
     """A list or object where a number belongs: kept as 0, but reported."""
-    value = F.try_variant_get(record, f"$.{key}", "variant")
-    return F.coalesce(_kind(value).rlike("^(ARRAY|OBJECT)"), F.lit(False))
+    path = f"$.{key}"
+    text = F.try_variant_get(record, path, "string")
+    nested = text.rlike(r"^[\[{]") & _kind(record, path).rlike("^(ARRAY|OBJECT)")
+    return F.coalesce(nested, F.lit(False))
 
 
 def sanitize(
@@ -108,5 +111,5 @@ def fill_text(df: DataFrame) -> DataFrame:
         if kind == "string":
             filled[field.name] = F.coalesce(F.col(field.name), F.lit(""))
         elif kind == "array<string>":
-            filled[field.name] = F.coalesce(F.col(field.name), F.expr(_EMPTY["list"]))
+            filled[field.name] = F.coalesce(F.col(field.name), F.expr(_NO_ITEMS))
     return df.withColumns(filled)

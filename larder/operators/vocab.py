@@ -18,14 +18,13 @@ def ingredient_counts(
 ) -> DataFrame:
     """``ingredients, count, first_id, first_pos`` per distinct list element.
 
-    One aggregation with map-side partial results, so a frequent word never gathers its rows. An
-    empty list counts as one null element of count 0. With ``max_id`` small enough, the first
-    appearance is the minimum of one packed long, which keeps the aggregation hash-based.
+    Aggregated with map-side partial results, so a frequent word never gathers its rows, and first
+    by spelling: whitespace and case are then normalised once per distinct word instead of once
+    per word. An empty list counts as one null element of count 0. With ``max_id`` small enough,
+    the first appearance is the minimum of one packed long, which keeps the aggregation hash-based.
     """
     words = df.select(F.col(id_col).alias("_id"), F.posexplode_outer(list_col).alias("_pos", "_w"))
-    words = words.select(
-        "_id", F.coalesce("_pos", F.lit(0)).alias("_pos"), collapse_ws(F.col("_w")).alias("ingredients")
-    )
+    words = words.withColumn("_pos", F.coalesce("_pos", F.lit(0)))
     packed = max_id is not None and 0 <= max_id < _PACKABLE_IDS
     if packed:
         order = F.shiftleft("_id", _POSITION_BITS) + F.col("_pos")
@@ -34,9 +33,10 @@ def ingredient_counts(
     else:
         order = F.struct("_id", "_pos")
         first_id, first_pos = F.col("_first._id"), F.col("_first._pos")
+    spelled = words.groupBy("_w").agg(F.count("_w").alias("_n"), F.min(order).alias("_first"))
     return (
-        words.groupBy("ingredients")
-        .agg(F.count("ingredients").alias("count"), F.min(order).alias("_first"))
+        spelled.groupBy(collapse_ws(F.col("_w")).alias("ingredients"))
+        .agg(F.sum("_n").alias("count"), F.min("_first").alias("_first"))
         .select(
             "ingredients",
             "count",

@@ -108,8 +108,9 @@ def recipe_nlg(cleaned: DataFrame) -> DataFrame:
 
 def process_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
     """The dish table of one raw corpus, sources interleaved."""
-    cleaned, _ = split_rejects(clean_raw(raw, legacy), "bad_list")
-    ordered = recipe_nlg(settle(cleaned, "cleaned")).orderBy(*interleaved())
+    # Settled before the split: a filter on what Python read would read it in Python again.
+    cleaned, _ = split_rejects(settle(clean_raw(raw, legacy), "cleaned"), "bad_list")
+    ordered = recipe_nlg(cleaned).orderBy(*interleaved())
     return wrap_lists(ordered).select(*DISH_COLUMNS)
 
 

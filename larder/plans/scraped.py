@@ -21,6 +21,7 @@ from larder.operators.recipes import page_record
 from larder.operators.sets import union_all
 from larder.operators.tags import with_tags
 from larder.schemas import SCRAPED_DISH_COLUMNS
+from larder.sources.tables import pages_for
 
 TIME_COLUMNS = ["prep_time", "cook_time", "total_time"]
 
@@ -77,10 +78,10 @@ def discover_recipe_urls(
     several of them is read for each, as a page reached twice is.
     """
     wanted = union_all([f.select(url) for f in (starts, sections, closure)])
-    listed = wanted.groupBy(url).agg(F.count(F.lit(1)).alias("_times"))
-    links = recipe_links(extract_links(pages.join(listed, url), [url, "_times"]), rules)
-    repeated = links.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
-    return repeated.select(F.col(url).alias("page"), "pos", "site", F.col("href").alias(url))
+    links = recipe_links(extract_links(pages_for(wanted, pages), [url]), rules)
+    return wanted.join(links, url).select(
+        F.col(url).alias("page"), "pos", "site", F.col("href").alias(url)
+    )
 
 
 def scrape_batch(
@@ -90,7 +91,7 @@ def scrape_batch(
 
     ``pages`` must hold one page per URL. URLs without a page are left to the failure table.
     """
-    found = overlay(urls, pages, "url", how="inner")
-    records = fill_text(page_record(found))
-    tagged = with_tags(records, "n", "ingredients", vocab, max_words=max_words)
+    records = page_record(pages_for(urls, pages))
+    found = fill_text(overlay(urls, records, "url", how="inner"))
+    tagged = with_tags(found, "n", "ingredients", vocab, max_words=max_words)
     return seeded_shuffle(clean_scraped(tagged), "url", seed)

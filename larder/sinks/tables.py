@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.text import json_filename
 from larder.operators.index import head_rows, with_shard
+from larder.sources.tables import page_bucket
 
 
 def write_processed(df: DataFrame, path: str) -> None:
@@ -83,3 +84,9 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
         .partitionBy("batch_id")
         .parquet(path)
     )
+
+
+def write_pages(pages: DataFrame, path: str, buckets: int, url: str = "url") -> None:
+    """Pages in folders by URL hash, so that a lookup of some URLs reads only their folders."""
+    bucketed = pages.withColumn("url_bucket", page_bucket(F.col(url), buckets))
+    bucketed.write.mode("overwrite").partitionBy("url_bucket").parquet(path)

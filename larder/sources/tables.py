@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.sets import union_all
+from larder.operators.sizes import broadcast_if_small
 from larder.schemas import PAGE
 
 
@@ -34,3 +35,25 @@ def read_processed(spark: SparkSession, path: str, spec: str | None = None) -> D
 def read_all(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Parquet tables of differing schemas as one; a column a table lacks is null."""
     return union_all([spark.read.parquet(p) for p in paths])
+
+
+def page_bucket(url: Column, buckets: int) -> Column:
+    """Folder a page is stored under, see ``write_pages``."""
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+def pages_for(
+    urls: DataFrame, pages: DataFrame, buckets: int | None = None, url: str = "url"
+) -> DataFrame:
+    """The pages whose URL occurs in ``urls``.
+
+    While the distinct URLs measure small they are broadcast and the pages are neither shuffled
+    nor kept; beyond that both sides meet by a shuffle on the URL. With ``buckets``, the number
+    ``write_pages`` was given, only the folders of those URLs are read.
+    """
+    wanted = urls.select(url).where(F.col(url) > "").distinct()
+    on = [url]
+    if buckets is not None:
+        wanted = wanted.withColumn("url_bucket", page_bucket(F.col(url), buckets))
+        on = ["url_bucket", url]
+    return pages.join(broadcast_if_small(wanted), on, "left_semi").drop("url_bucket")

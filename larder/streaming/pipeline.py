@@ -16,10 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from larder.operators.failures import failure_rows, redrivable
 from larder.operators.index import chunk_manifest
 from larder.operators.records import overlay, sanitize
-from larder.operators.tags import with_tags
+from larder.operators.recipes import page_record
+from larder.operators.tags import phrases, with_tags
 from larder.schemas import URL_LIST
 from larder.session import settle
 from larder.sinks.tables import messages, write_batch
+from larder.sources.tables import pages_for
 
 # Files per micro-batch and wait, as the scraping and the tagging step take them.
 STAGE_FILES, TAG_FILES, WAIT = 40, 10, "20 seconds"
@@ -74,14 +76,19 @@ def file_manifest(rows: DataFrame, size: int = 4, file: str = "file") -> DataFra
     return chunk_manifest(counts, file, "n", size)
 
 
-def enrich(rows: DataFrame, pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def enrich(
+    rows: DataFrame, pages: DataFrame, keep: Sequence[str] = (), buckets: int | None = None
+) -> DataFrame:
     """Messages with the record of their page laid over them, sanitized.
 
-    ``status_code`` is null for a hit, else says why there is none; ``keep`` names columns that
-    are not part of the message. ``pages`` holds one record per URL.
+    ``pages`` holds one row per URL: the page's ``html``, or a record already read from it. Only
+    the batch's pages are looked up and read, see ``pages_for``. ``status_code`` is null for a
+    hit, else says why there is none; ``keep`` names columns that are not part of the message.
     """
-    hit = pages.withColumn("_hit", F.lit(True))
-    merged = overlay(rows, hit, "url")
+    found = pages_for(rows, pages, buckets)
+    if "html" in found.columns:
+        found = page_record(found)
+    merged = overlay(rows, found.withColumn("_hit", F.lit(True)), "url")
     parts = [c for c in merged.columns if c not in (*keep, "_hit")]
     record = F.to_variant_object(F.struct(*parts))
     status = F.when(F.col("_hit").isNull(), F.lit(NO_PAGE_STATUS))
@@ -96,7 +103,9 @@ def split_outcome(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, failure_rows(failed, ["uid", "url"], F.col("status_code"))
 
 
-def stage_batch(pages: DataFrame, staged: str, failures: str) -> Callable[[DataFrame, int], None]:
+def stage_batch(
+    pages: DataFrame, staged: str, failures: str, buckets: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """Work of the first query: enrich, sanitize, write good rows and failures apart.
 
     One bad message never stops the others. The batch is joined once: its rows are kept while the
@@ -104,7 +113,7 @@ def stage_batch(pages: DataFrame, staged: str, failures: str) -> Callable[[DataF
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich(batch.select("uid", "url"), pages).persist()
+        enriched = enrich(batch.select("uid", "url"), pages, buckets=buckets).persist()
         try:
             ok, failed = split_outcome(enriched)
             write_batch(ok, staged, batch_id)
@@ -118,13 +127,17 @@ def stage_batch(pages: DataFrame, staged: str, failures: str) -> Callable[[DataF
 def tag_batch(
     vocab: DataFrame, out: str, max_words: int = 3
 ) -> Callable[[DataFrame, int], None]:
-    """Work of the second query: tag the ingredients of staged rows."""
+    """Work of the second query: tag the ingredients of staged rows.
+
+    The vocabulary's phrases are made once, not per batch.
+    """
+    known = settle(phrases(vocab, "ingredients").select("phrase"), "phrases")
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("batch_id", "ingest_ts", "ingredient_tags")
         # A uid may be delivered twice, so rows get a number of their own, fixed by writing it.
         rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "untagged")
-        tagged = with_tags(rows, "_row", "ingredients", vocab, max_words=max_words)
+        tagged = with_tags(rows, "_row", "ingredients", known, "phrase", max_words)
         write_batch(tagged.drop("_row"), out, batch_id)
 
     return work
