@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.schemas import SANITIZED_KEYS
 
 _INT_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
+_OTHER_NUMBER = r"^(-?\d[\d.eE+-]*|true|false)$"
 _NO_ITEMS = "cast(array() as array<string>)"
 
 
@@ -18,33 +19,40 @@ def _kind(record: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(record, path, "variant"))
 
 
-def _text(record: Column, path: str) -> Column:
-    """Text of any value; truth values are spelled ``True`` and ``False``; null if absent."""
-    text = F.try_variant_get(record, path, "string")
+def _raw_text(record: Column, path: str) -> Column:
+    """Text of any value, JSON for a list or object; null if absent or null."""
+    return F.try_variant_get(record, path, "string")
+
+
+def _spelled(text: Column, record: Column, path: str) -> Column:
+    """The text, with truth values as ``True`` and ``False``."""
     truth = text.isin("true", "false") & (_kind(record, path) == "BOOLEAN")
     return F.when(truth, F.initcap(text)).otherwise(text)
 
 
-def _as_text(record: Column, path: str) -> Column:
-    return F.coalesce(_text(record, path), F.lit(""))
+def _as_text(text: Column, record: Column, path: str) -> Column:
+    return F.coalesce(_spelled(text, record, path), F.lit(""))
 
 
-def _as_int(record: Column, path: str) -> Column:
-    """Whole part of a number, 1 or 0 of a truth value, a whole number in text; else 0."""
-    text = F.try_variant_get(record, path, "string")
-    grouped = F.when(
-        text.rlike(_INT_TEXT), F.trim(F.replace(text, F.lit("_"))).try_cast("bigint")
+def _as_int(text: Column, record: Column, path: str) -> Column:
+    """Whole part of a number, 1 or 0 of a truth value, a whole number in text; else 0.
+
+    Read from the value's text where that is plain: a cast that fails inside VARIANT is costly.
+    """
+    whole = F.trim(F.replace(text, F.lit("_"))).try_cast("bigint")
+    other = text.rlike(_OTHER_NUMBER) & (_kind(record, path) != "STRING")
+    number = F.when(text.rlike(_INT_TEXT), whole).when(
+        other, F.try_variant_get(record, path, "bigint")
     )
-    number = F.try_variant_get(record, path, "bigint")
-    return F.coalesce(number, grouped, F.lit(0).cast("bigint"))
+    return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
-def _as_list(record: Column, path: str) -> Column:
+def _as_list(text: Column, record: Column, path: str) -> Column:
     """A list as it is, elements as text; anything else becomes the one element of a list."""
-    items = F.try_variant_get(record, path, "array<variant>")
-    single = _text(record, path)
+    items = F.when(text.startswith("["), F.try_variant_get(record, path, "array<variant>"))
+    single = _spelled(text, record, path)
     return F.coalesce(
-        F.transform(items, lambda v: _text(v, "$")),
+        F.transform(items, lambda v: _spelled(_raw_text(v, "$"), v, "$")),
         F.when(single.isNotNull(), F.array(single)),
         F.expr(_NO_ITEMS),
     )
@@ -53,17 +61,10 @@ def _as_list(record: Column, path: str) -> Column:
 _READ = {"text": _as_text, "int": _as_int, "list": _as_list}
 
 
-def sanitized_key(record: Column, key: str, kind: str) -> Column:
-    """One key of a VARIANT record, as its fixed type, with the type's empty value if absent."""
-    return _READ[kind](record, f"$.{key}").alias(key)
-
-
-def _coerced(record: Column, key: str) -> Column:
-    """A list or object where a number belongs: kept as 0, but reported."""
-    path = f"$.{key}"
-    text = F.try_variant_get(record, path, "string")
-    nested = text.rlike(r"^[\[{]") & _kind(record, path).rlike("^(ARRAY|OBJECT)")
-    return F.coalesce(nested, F.lit(False))
+def _nested(text: Column, record: Column, path: str) -> Column:
+    """A list or object, where a number belongs: kept as 0, but reported."""
+    found = text.rlike(r"^[\[{]") & _kind(record, path).rlike("^(ARRAY|OBJECT)")
+    return F.coalesce(found, F.lit(False))
 
 
 def sanitize(
@@ -72,17 +73,24 @@ def sanitize(
     keep: Sequence[str] = (),
     keys: Mapping[str, str] = SANITIZED_KEYS,
 ) -> DataFrame:
-    """Fixed keys with fixed types from a VARIANT column; other keys are dropped.
+    """Fixed keys with fixed types from a VARIANT column, empty values for absent ones.
 
-    ``coerced`` tells that a list or object stood where a number belongs.
+    Other keys are dropped. ``coerced`` tells that a list or object stood where a number belongs.
     """
     r = F.col(record)
-    flags = [_coerced(r, key) for key, kind in keys.items() if kind == "int"]
-    coerced = flags[0]
-    for flag in flags[1:]:
-        coerced = coerced | flag
-    columns = [sanitized_key(r, key, kind) for key, kind in keys.items()]
-    return df.select(*keep, *columns, coerced.alias("coerced"))
+    # Each key's text is taken out once; what the types make of it follows in a second step.
+    texts = df.select(
+        *keep,
+        r.alias("_record"),
+        *(_raw_text(r, f"$.{key}").alias(f"_text_{key}") for key in keys),
+    )
+    parts = {key: (F.col(f"_text_{key}"), F.col("_record"), f"$.{key}") for key in keys}
+    coerced = F.lit(False)
+    for key, kind in keys.items():
+        if kind == "int":
+            coerced = coerced | _nested(*parts[key])
+    columns = [_READ[kind](*parts[key]).alias(key) for key, kind in keys.items()]
+    return texts.select(*keep, *columns, coerced.alias("coerced"))
 
 
 def sanitize_json(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
