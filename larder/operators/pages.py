@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.text import decode_entities
+from larder.operators.sets import already, not_yet
 from larder.session import settle
 
 # The two sites' recipe addresses and page marks.
@@ -214,10 +215,9 @@ def top_links(
 
 def replace_by_label(starts: DataFrame, labelled: DataFrame, page: str = "url") -> DataFrame:
     """Pages with labelled links give way to those links; the others stay. Duplicates survive."""
-    pages_left = starts.join(labelled.select(page).distinct(), page, "left_anti").select(page)
-    wanted = starts.select(page).distinct()
-    replaced = labelled.join(wanted, page, "left_semi").select(F.col("href").alias(page))
-    return replaced.unionByName(pages_left)
+    labelled = settle(labelled.select(page, "href"), "labelled")
+    replaced = already(labelled, starts, page).select(F.col("href").alias(page))
+    return replaced.unionByName(not_yet(starts.select(page), labelled, page))
 
 
 _ROUNDS_PER_MERGE = 16

@@ -101,8 +101,9 @@ def sanitize_json(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFra
 def overlay(base: DataFrame, extra: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Join on ``on``; a column both sides have takes the ``extra`` side where it is set.
 
-    ``extra`` must hold one row per ``on`` value. A value that many ``base`` rows share is split
-    over tasks by adaptive skew handling, which a left or inner join allows on this side.
+    ``extra`` must hold one row per ``on`` value, read from a table rather than just aggregated or
+    joined: then a value that very many ``base`` rows share is split over tasks by adaptive
+    execution.
     """
     shared = [c for c in extra.columns if c in base.columns and c != on]
     renamed = extra.withColumnsRenamed({c: f"_extra_{c}" for c in shared})

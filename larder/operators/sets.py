@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.urls import matches_any
+from larder.operators.sizes import broadcast_if_small
+from larder.session import settle
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -20,17 +22,23 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return union_all(frames).distinct()
 
 
-def not_yet(df: DataFrame, done: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key is not in ``done``.
+def _keys(done: DataFrame, on: str | list[str]) -> DataFrame:
+    """The distinct keys, written once: broadcast if they measure small, else a table to join.
 
-    The distinct keys cost no shuffle of their own: the join needs the same partitioning.
+    As a written table they meet the other side in a plain shuffle join, whose skewed partitions
+    adaptive execution can split; an aggregation in that place would forbid it.
     """
-    return df.join(done.select(on).distinct(), on, "left_anti")
+    return broadcast_if_small(settle(done.select(on).distinct(), "keys"))
+
+
+def not_yet(df: DataFrame, done: DataFrame, on: str | list[str]) -> DataFrame:
+    """Rows whose key is not in ``done``."""
+    return df.join(_keys(done, on), on, "left_anti")
 
 
 def already(df: DataFrame, done: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key is in ``done``."""
-    return df.join(done.select(on).distinct(), on, "left_semi")
+    return df.join(_keys(done, on), on, "left_semi")
 
 
 def exclude_sources(df: DataFrame, sources: Iterable[str], column: str = "source") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from larder.functions.lists import join_ingredients
 from larder.operators.sizes import BROADCAST_BYTES, broadcast_if_small
+from larder.session import settle
 
 _TOKEN = r"([\p{L}\p{N}]+)"
 _STRINGS = T.ArrayType(T.StringType())
@@ -49,13 +50,12 @@ def candidate_spans(
 ) -> DataFrame:
     """All vocabulary hits: ``id, line, pos, n_words, phrase``.
 
-    The vocabulary is broadcast if it measures small. Beyond that the words are shuffled to it;
-    it holds each phrase once, so a very frequent word is a skewed left side that adaptive
-    execution splits.
+    The vocabulary's phrases are written once and broadcast if they measure small. Beyond that the
+    words are shuffled to them; each phrase is there once, so a very frequent word is a skewed
+    left side that adaptive execution splits.
     """
-    known = broadcast_if_small(
-        phrases(vocab, column).where(F.col("n_words") <= max_words), BROADCAST_BYTES
-    )
+    known = phrases(vocab, column).where(F.col("n_words") <= max_words)
+    known = broadcast_if_small(settle(known, "phrases"), BROADCAST_BYTES)
     lines = df.select(F.col(id_col), F.posexplode(list_col).alias("line", "_text")).select(
         id_col, "line", tokens(F.col("_text")).alias("_words")
     )

@@ -21,6 +21,7 @@ from larder.operators.recipes import page_record
 from larder.operators.sets import union_all
 from larder.operators.tags import with_tags
 from larder.schemas import SCRAPED_DISH_COLUMNS
+from larder.session import settle
 from larder.sources.tables import pages_for
 
 TIME_COLUMNS = ["prep_time", "cook_time", "total_time"]
@@ -78,7 +79,7 @@ def discover_recipe_urls(
     several of them is read for each, as a page reached twice is.
     """
     wanted = union_all([f.select(url) for f in (starts, sections, closure)])
-    links = recipe_links(extract_links(pages_for(wanted, pages), [url]), rules)
+    links = settle(recipe_links(extract_links(pages_for(wanted, pages), [url]), rules), "links")
     return wanted.join(links, url).select(
         F.col(url).alias("page"), "pos", "site", F.col("href").alias(url)
     )
@@ -91,7 +92,7 @@ def scrape_batch(
 
     ``pages`` must hold one page per URL. URLs without a page are left to the failure table.
     """
-    records = page_record(pages_for(urls, pages))
+    records = settle(page_record(pages_for(urls, pages)), "records")
     found = fill_text(overlay(urls, records, "url", how="inner"))
     tagged = with_tags(found, "n", "ingredients", vocab, max_words=max_words)
     return seeded_shuffle(clean_scraped(tagged), "url", seed)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.operators.sets import union_all
 from larder.operators.sizes import broadcast_if_small
 from larder.schemas import PAGE
+from larder.session import settle
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -56,4 +57,5 @@ def pages_for(
     if buckets is not None:
         wanted = wanted.withColumn("url_bucket", page_bucket(F.col(url), buckets))
         on = ["url_bucket", url]
-    return pages.join(broadcast_if_small(wanted), on, "left_semi").drop("url_bucket")
+    wanted = broadcast_if_small(settle(wanted, "wanted"))
+    return pages.join(wanted.where(F.col(url) > ""), on, "left_semi").drop("url_bucket")

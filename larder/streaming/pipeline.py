@@ -88,7 +88,8 @@ def enrich(
     found = pages_for(rows, pages, buckets)
     if "html" in found.columns:
         found = page_record(found)
-    merged = overlay(rows, found.withColumn("_hit", F.lit(True)), "url")
+    found = settle(found.withColumn("_hit", F.lit(True)), "found")
+    merged = overlay(rows, found, "url")
     parts = [c for c in merged.columns if c not in (*keep, "_hit")]
     record = F.to_variant_object(F.struct(*parts))
     status = F.when(F.col("_hit").isNull(), F.lit(NO_PAGE_STATUS))
@@ -131,7 +132,7 @@ def tag_batch(
 
     The vocabulary's phrases are made once, not per batch.
     """
-    known = settle(phrases(vocab, "ingredients").select("phrase"), "phrases")
+    known = settle(phrases(vocab, "ingredients").select("phrase"), "vocabulary")
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("batch_id", "ingest_ts", "ingredient_tags")
