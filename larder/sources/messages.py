@@ -12,9 +12,9 @@ from larder.schemas import CHUNK_MANIFEST, OBJECT_EVENT, QUEUE_MESSAGE, SCRAPED,
 def decode_body(df: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
     """The JSON body's fields as columns; ``unreadable`` marks a body that is no JSON object."""
     read = df.withColumn("_read", F.from_json(body, schema))
-    unreadable = F.coalesce(~F.ltrim(body).startswith("{"), F.lit(True)) | F.try_parse_json(
-        body
-    ).isNull()
+    # The parser stops at the end of the first value, so what follows it is looked at here.
+    framed = F.coalesce(F.col(body).rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False))
+    unreadable = ~framed | F.try_parse_json(body).isNull()
     return read.select(*df.columns, "_read.*", unreadable.alias("unreadable"))
 
 
@@ -48,7 +48,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = SCRAPED)
 
 def read_json_objects(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object per file, kept whole as VARIANT: ``path, record``."""
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    texts = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return texts.select(
         F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("record")
     )
