@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
 from larder.operators.index import with_index
+from larder.operators.pages import extract_links
 from larder.operators.tags import tokens
 from larder.plans import corpus as cx
 from larder.plans import scraped as sx
@@ -166,3 +167,58 @@ def scrape_batch(spark, d):
     vocab = table(spark, d, "benchmark").select(words.alias("ingredients")).distinct()
     dishes = sx.scrape_batch(urls.select("n", "url"), pages.select("url", "html"), vocab)
     return dishes.select("dish_id", "uid", "dish", "url")
+
+
+# The crawled pages with their plain links turned into recipe addresses of the first site.
+_AS_RECIPE = "concat('<a href=\"https://www.allrecipes.com/recipe/', page_id, '/x-$1/\">')"
+
+
+@query("""
+WITH h AS (SELECT page_id, list_filter(regexp_extract_all(html, '<a href="/([^"]*)">', 1),
+  lambda x: regexp_matches(x, '^[A-Za-z]+$'))[1:2] AS hs FROM pages),
+l AS (SELECT page_id, unnest(hs) AS w, (generate_subscripts(hs, 1) - 1)::INTEGER AS pos FROM h)
+SELECT 'https://b.com/' || page_id AS base_url, pos,
+  'https://www.allrecipes.com/recipe/' || page_id || '/x-' || w || '/' AS url, w AS title,
+  30::BIGINT AS total_time, '1 cup|' || w AS ingredients FROM l
+""")
+def scrape_recipes(spark, d):
+    linked = F.regexp_replace(F.col("html"), F.lit('<a href="/([A-Za-z]+)">'), F.expr(_AS_RECIPE))
+    base = table(spark, d, "pages").select(
+        F.concat(F.lit("https://b.com/"), "page_id").alias("url"), linked.alias("html")
+    )
+    urls = extract_links(base, ["url"]).select(F.col("href").alias("url")).distinct()
+    name = F.regexp_extract("url", "x-(.*)/", 1)
+    doc = F.to_json(
+        F.struct(
+            F.lit("Recipe").alias("@type"),
+            name.alias("name"),
+            F.lit("PT30M").alias("totalTime"),
+            F.array(F.lit("1 cup"), name).alias("recipeIngredient"),
+        )
+    )
+    html = F.concat(F.lit('<script type="application/ld+json">'), doc, F.lit("</script>"))
+    found = sx.scrape_recipes(base, urls.select("url", html.alias("html")), 2)
+    return found.select(
+        "base_url", "pos", "url", "title", "total_time", F.array_join("ingredients", "|").alias("ingredients")
+    )
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS path, p_name AS title, p_size::BIGINT AS total_time,
+  split_part(p_name, ' ', 1) || '|' || split_part(p_name, ' ', 2) AS tags FROM part
+""")
+def tag_records(spark, d):
+    parts = table(spark, d, "part")
+    record = F.to_variant_object(
+        F.struct(
+            F.col("p_name").alias("title"),
+            F.col("p_size").alias("total_time"),
+            F.array(F.concat(F.lit("12 "), "p_name")).alias("ingredients"),
+        )
+    )
+    records = parts.select(F.col("p_partkey").cast("string").alias("path"), record.alias("record"))
+    vocab = parts.select(F.explode(F.split("p_name", " ")).alias("ingredients")).distinct()
+    tagged = sx.tag_records(records, vocab)
+    return tagged.select(
+        "path", "title", "total_time", F.array_join("ingredient_tags", "|").alias("tags")
+    )

@@ -4,8 +4,10 @@ from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
 from larder.operators.tags import tokens
-from larder.schemas import FAILURE, SANITIZED, URL_LIST
+from larder.functions.lists import parse_py_list
+from larder.schemas import FAILURE, SANITIZED
 from larder.session import scratch_path
+from larder.sources.messages import event_files
 from larder.streaming import pipeline as sp
 
 
@@ -101,15 +103,14 @@ SELECT part, chunk_no, chunk_no * 4 + 1 AS start_index, 4::BIGINT AS nrows FROM
 """)
 def stream_manifest(spark, d):
     path, out = scratch_path(spark, "urls"), scratch_path(spark, "manifest")
-    # One file per event type; which rows share a file is all that matters here.
+    # A folder per event type stands for a file, and all of it arrives at once.
     table(spark, d, "events").select(
         F.col("event_id").alias("uid"), F.col("props").alias("url"), F.col("event_type").alias("part")
-    ).repartition("part").write.partitionBy("part").option("header", True).csv(path)
-    rows = sp.url_files(spark, path)
-    _run(spark, rows.select("uid", "url", "file"), sp.manifest_batch(out))
-    made = spark.read.schema("file string, chunk_no long, start_index long, nrows long").parquet(out)
-    part = F.regexp_extract("file", "part=([^/]+)/", 1)
-    return made.select(part.alias("part"), "chunk_no", "start_index", "nrows")
+    ).write.partitionBy("part").option("header", True).csv(path)
+    rows = sp.url_files(spark, path, "uid string, url string, part string", files_per_batch=1_000_000)
+    _run(spark, rows, sp.manifest_batch(out, file="part"))
+    made = spark.read.schema("part string, chunk_no long, start_index long, nrows long").parquet(out)
+    return made.select("part", "chunk_no", "start_index", "nrows")
 
 
 @query("""
@@ -132,3 +133,36 @@ def redrive(spark, d):
 def first_delivery(spark, d):
     items = table(spark, d, "events").select(F.concat(F.lit("u"), "user_id").alias("uid"), "props")
     return sp.first_delivery(items).select("uid")
+
+
+def _event_files(spark, d):
+    """A folder of CSV files per event type; object events name all but the error files, and each
+    error event names a file that is not there."""
+    directory = scratch_path(spark, "objects")
+    events = table(spark, d, "events")
+    literal = F.expr(r"concat('[\'', event_type, '\', ', user_id, ']')")
+    rows = events.select("event_id", literal.alias("ingredients"), F.col("event_type").alias("kind"))
+    rows.write.partitionBy("kind").option("header", True).option("escape", '"').csv(directory)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    key = F.substring_index("path", f"{directory}/", -1)
+    there = listed.select(F.lit(None).cast("bigint").alias("event_id"), key.alias("object_key"))
+    gone = events.where("event_type = 'error'").select(
+        "event_id", F.concat(F.lit("gone/"), "event_id", F.lit(".csv")).alias("object_key")
+    )
+    named = there.where(~F.col("object_key").startswith("kind=error")).unionByName(gone)
+    return event_files(spark, named, directory, "event_id long, ingredients string")
+
+
+@query("""
+SELECT event_id, event_type || '|' || user_id AS ingredients FROM events WHERE event_type <> 'error'
+""")
+def event_csv(spark, d):
+    rows, _ = _event_files(spark, d)
+    items = parse_py_list(F.col("ingredients"))
+    return rows.select("event_id", F.array_join(items, "|").alias("ingredients"))
+
+
+@query("SELECT event_id, 'gone/' || event_id || '.csv' AS object_key FROM events WHERE event_type = 'error'")
+def event_missing(spark, d):
+    _, missing = _event_files(spark, d)
+    return missing.select("event_id", "object_key")

@@ -69,7 +69,8 @@ def candidate_spans(
 
 
 def _leftmost(spans: Column) -> Column:
-    """Spans in order, each that starts before the kept one ends left out."""
+    """Spans in order, the longest first at each position, each that starts before the kept one
+    ends left out."""
     kept_type = "array<struct<pos:int,phrase:string>>"
     start = F.struct(
         F.lit(0).alias("free"), F.expr(f"cast(array() as {kept_type})").alias("kept")
@@ -78,7 +79,7 @@ def _leftmost(spans: Column) -> Column:
     def step(state: Column, span: Column) -> Column:
         hit = F.struct(span["pos"].alias("pos"), span["phrase"].alias("phrase"))
         taken = F.struct(
-            (span["pos"] + span["n_words"]).alias("free"),
+            (span["pos"] - span["shorter"]).alias("free"),
             F.concat(state["kept"], F.array(hit)).alias("kept"),
         )
         return F.when(span["pos"] >= state["free"], taken).otherwise(state)
@@ -90,24 +91,21 @@ def longest_matches(spans: DataFrame, id_col: str) -> DataFrame:
     """Non-overlapping spans: from the left, the longest phrase at each free position.
 
     Spans that cannot touch are told apart first, so the sequential choice only runs inside a
-    chain of overlapping spans, not over a whole text. One shuffle, by row id.
+    chain of overlapping spans, not over a whole text. One shuffle and one sort, by row id.
     """
-    in_line = Window.partitionBy(id_col, "line").orderBy("pos")
+    in_line = Window.partitionBy(id_col, "line").orderBy("pos", F.desc("n_words"))
     before = in_line.rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("pos") + F.col("n_words")
-    longest = (
-        spans.repartition(id_col)
-        .groupBy(id_col, "line", "pos")
-        .agg(F.max(F.struct("n_words", "phrase")).alias("_m"))
-        .select(id_col, "line", "pos", "_m.n_words", "_m.phrase")
-    )
     opens = F.coalesce(F.col("pos") >= F.max(end).over(before), F.lit(True))
-    chained = longest.withColumn("_opens", opens.cast("int")).withColumn(
-        "_chain", F.sum("_opens").over(in_line)
+    chained = (
+        spans.repartition(id_col)
+        .withColumn("_opens", opens.cast("int"))
+        .withColumn("_chain", F.sum("_opens").over(in_line))
     )
+    span = F.struct("pos", (-F.col("n_words")).alias("shorter"), "phrase")
     return (
         chained.groupBy(id_col, "line", "_chain")
-        .agg(F.collect_list(F.struct("pos", "n_words", "phrase")).alias("_spans"))
+        .agg(F.collect_list(span).alias("_spans"))
         .select(id_col, "line", F.explode(_leftmost(F.col("_spans"))).alias("_hit"))
         .select(id_col, "line", "_hit.pos", "_hit.phrase")
     )

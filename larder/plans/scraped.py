@@ -15,8 +15,8 @@ from larder.functions.text import (
     strip_control_list,
 )
 from larder.operators.index import seeded_shuffle
-from larder.operators.pages import extract_links, recipe_links
-from larder.operators.records import fill_text, overlay
+from larder.operators.pages import RECIPE_RULES, extract_links, recipe_links, top_links
+from larder.operators.records import fill_text, overlay, sanitize
 from larder.operators.recipes import page_record
 from larder.operators.sets import union_all
 from larder.operators.tags import with_tags
@@ -96,3 +96,25 @@ def scrape_batch(
     found = fill_text(overlay(urls, records, "url", how="inner"))
     tagged = with_tags(found, "n", "ingredients", vocab, max_words=max_words)
     return seeded_shuffle(clean_scraped(tagged), "url", seed)
+
+
+def scrape_recipes(base_pages: DataFrame, pages: DataFrame, limit: int) -> DataFrame:
+    """Records of the first ``limit`` recipe links of each base page, with that page's URL."""
+    links = top_links(base_pages, ["url"], limit, RECIPE_RULES["allrecipes"])
+    wanted = links.select(F.col("url").alias("base_url"), "pos", F.col("href").alias("url"))
+    records = settle(page_record(pages_for(wanted, pages)), "records")
+    return overlay(wanted, records, "url", how="inner").select(
+        "base_url", "pos", "url", "title", "total_time", "ingredients", "instructions", "image"
+    )
+
+
+def tag_records(
+    records: DataFrame, vocab: DataFrame, key: str = "path", max_words: int = 3
+) -> DataFrame:
+    """VARIANT records tagged by their ingredients, then sanitized. ``key`` must be unique."""
+    lines = F.try_variant_get(F.col("record"), "$.ingredients", "array<string>")
+    tagged = with_tags(
+        records.withColumn("_lines", lines), key, "_lines", vocab, max_words=max_words, name="_tags"
+    )
+    clean = sanitize(tagged, "record", keep=[key, "_tags"])
+    return clean.withColumn("ingredient_tags", F.col("_tags")).drop("_tags")

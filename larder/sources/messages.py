@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.operators.sets import already, not_yet
 from larder.schemas import CHUNK_MANIFEST, OBJECT_EVENT, QUEUE_MESSAGE, SCRAPED, URL_LIST
+from larder.sources.corpus import read_csv
 
 
 def decode_body(df: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
@@ -52,3 +54,24 @@ def read_json_objects(spark: SparkSession, path: str) -> DataFrame:
     return texts.select(
         F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("record")
     )
+
+
+def event_files(
+    spark: SparkSession, events: DataFrame, directory: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the CSV files the events name, and the events whose file is not there.
+
+    ``events`` carry ``object_key``, a path below ``directory``. The folder is listed, not read;
+    only the names of this batch's files come to the driver, which plans the read from them.
+    """
+    root = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = root.load(directory).select("path")
+    keyed = files.withColumn("object_key", F.substring_index("path", f"{directory.rstrip('/')}/", -1))
+    found = already(keyed, events.where(F.col("object_key").endswith(".csv")), "object_key")
+    paths = [row["path"] for row in found.select("path").toLocalIterator()]
+    rows = (
+        read_csv(spark, paths, schema).withColumn("file", F.col("_metadata.file_path"))
+        if paths
+        else spark.createDataFrame([], schema).withColumn("file", F.lit(None).cast("string"))
+    )
+    return rows, not_yet(events, keyed, "object_key")

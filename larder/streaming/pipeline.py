@@ -153,11 +153,13 @@ def fan_out_batch(out: str, key: str = "uid") -> Callable[[DataFrame, int], None
     return work
 
 
-def manifest_batch(out: str, size: int = 4) -> Callable[[DataFrame, int], None]:
+def manifest_batch(
+    out: str, size: int = 4, file: str = "file"
+) -> Callable[[DataFrame, int], None]:
     """The chunk manifest of each arriving file."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        write_batch(file_manifest(batch, size), out, batch_id)
+        write_batch(file_manifest(batch, size, file), out, batch_id)
 
     return work
 
