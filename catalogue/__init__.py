@@ -1,7 +1,8 @@
-"""The registered queries and their SQL, by topic."""
+"""The registered queries and their SQL, by topic; the small ones come first."""
 
-from catalogue import corpus, events, lists, ordering, pages, records, tagging, text, vocabulary
+# isort: off
+from catalogue import text, lists, ordering, records, pages, vocabulary, tagging, corpus, events
 from catalogue.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
-_TOPICS = (corpus, events, lists, ordering, pages, records, tagging, text, vocabulary)
+_TOPICS = (text, lists, ordering, records, pages, vocabulary, tagging, corpus, events)

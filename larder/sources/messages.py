@@ -68,7 +68,7 @@ def event_files(
     files = root.load(directory).select("path")
     keyed = files.withColumn("object_key", F.substring_index("path", f"{directory.rstrip('/')}/", -1))
     found = already(keyed, events.where(F.col("object_key").endswith(".csv")), "object_key")
-    paths = [row["path"] for row in found.select("path").toLocalIterator()]
+    paths = [row["path"] for row in found.select("path").collect()]
     rows = (
         read_csv(spark, paths, schema).withColumn("file", F.col("_metadata.file_path"))
         if paths

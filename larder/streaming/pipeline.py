@@ -173,5 +173,5 @@ def redrive(
 
 
 def first_delivery(rows: DataFrame, key: str = "uid") -> DataFrame:
-    """One row per key, for a source that may deliver a message twice."""
+    """One row per key of a written table whose source may deliver a message twice."""
     return rows.dropDuplicates([key])
