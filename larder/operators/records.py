@@ -14,45 +14,45 @@ _OTHER_NUMBER = r"^(-?\d[\d.eE+-]*|true|false)$"
 _NO_ITEMS = "cast(array() as array<string>)"
 
 
-def _kind(record: Column, path: str) -> Column:
+def _kind(value: Column) -> Column:
     """Type name of a value. Slow to build, so asked only where the value's text is ambiguous."""
-    return F.schema_of_variant(F.try_variant_get(record, path, "variant"))
+    return F.schema_of_variant(value)
 
 
-def _raw_text(record: Column, path: str) -> Column:
+def _raw_text(value: Column) -> Column:
     """Text of any value, JSON for a list or object; null if absent or null."""
-    return F.try_variant_get(record, path, "string")
+    return F.try_variant_get(value, "$", "string")
 
 
-def _spelled(text: Column, record: Column, path: str) -> Column:
+def _spelled(text: Column, value: Column) -> Column:
     """The text, with truth values as ``True`` and ``False``."""
-    truth = text.isin("true", "false") & (_kind(record, path) == "BOOLEAN")
+    truth = text.isin("true", "false") & (_kind(value) == "BOOLEAN")
     return F.when(truth, F.initcap(text)).otherwise(text)
 
 
-def _as_text(text: Column, record: Column, path: str) -> Column:
-    return F.coalesce(_spelled(text, record, path), F.lit(""))
+def _as_text(text: Column, value: Column) -> Column:
+    return F.coalesce(_spelled(text, value), F.lit(""))
 
 
-def _as_int(text: Column, record: Column, path: str) -> Column:
+def _as_int(text: Column, value: Column) -> Column:
     """Whole part of a number, 1 or 0 of a truth value, a whole number in text; else 0.
 
     Read from the value's text where that is plain: a cast that fails inside VARIANT is costly.
     """
     whole = F.trim(F.replace(text, F.lit("_"))).try_cast("bigint")
-    other = text.rlike(_OTHER_NUMBER) & (_kind(record, path) != "STRING")
+    other = text.rlike(_OTHER_NUMBER) & (_kind(value) != "STRING")
     number = F.when(text.rlike(_INT_TEXT), whole).when(
-        other, F.try_variant_get(record, path, "bigint")
+        other, F.try_variant_get(value, "$", "bigint")
     )
     return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
-def _as_list(text: Column, record: Column, path: str) -> Column:
+def _as_list(text: Column, value: Column) -> Column:
     """A list as it is, elements as text; anything else becomes the one element of a list."""
-    items = F.when(text.startswith("["), F.try_variant_get(record, path, "array<variant>"))
-    single = _spelled(text, record, path)
+    items = F.when(text.startswith("["), F.try_variant_get(value, "$", "array<variant>"))
+    single = _spelled(text, value)
     return F.coalesce(
-        F.transform(items, lambda v: _spelled(_raw_text(v, "$"), v, "$")),
+        F.transform(items, lambda v: _spelled(_raw_text(v), v)),
         F.when(single.isNotNull(), F.array(single)),
         F.expr(_NO_ITEMS),
     )
@@ -61,9 +61,9 @@ def _as_list(text: Column, record: Column, path: str) -> Column:
 _READ = {"text": _as_text, "int": _as_int, "list": _as_list}
 
 
-def _nested(text: Column, record: Column, path: str) -> Column:
+def _nested(text: Column, value: Column) -> Column:
     """A list or object, where a number belongs: kept as 0, but reported."""
-    found = text.rlike(r"^[\[{]") & _kind(record, path).rlike("^(ARRAY|OBJECT)")
+    found = text.rlike(r"^[\[{]") & _kind(value).rlike("^(ARRAY|OBJECT)")
     return F.coalesce(found, F.lit(False))
 
 
@@ -77,14 +77,14 @@ def sanitize(
 
     Other keys are dropped. ``coerced`` tells that a list or object stood where a number belongs.
     """
-    r = F.col(record)
-    # Each key's text is taken out once; what the types make of it follows in a second step.
-    texts = df.select(
-        *keep,
-        r.alias("_record"),
-        *(_raw_text(r, f"$.{key}").alias(f"_text_{key}") for key in keys),
+    # The record is taken apart once, then each value's text; the types follow in a third step.
+    shape = "struct<" + ",".join(f"`{key}`:variant" for key in keys) + ">"
+    apart = df.select(*keep, F.try_variant_get(F.col(record), "$", shape).alias("_values"))
+    values = {key: F.col(f"_values.`{key}`") for key in keys}
+    texts = apart.select(
+        *keep, "_values", *(_raw_text(v).alias(f"_text_{key}") for key, v in values.items())
     )
-    parts = {key: (F.col(f"_text_{key}"), F.col("_record"), f"$.{key}") for key in keys}
+    parts = {key: (F.col(f"_text_{key}"), v) for key, v in values.items()}
     coerced = F.lit(False)
     for key, kind in keys.items():
         if kind == "int":
