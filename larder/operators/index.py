@@ -98,20 +98,27 @@ def ordered_slice(
 ) -> DataFrame:
     """Rows ``start`` to ``stop - 1`` in key order.
 
-    Cells outside the slice are dropped before any row moves. The kept cells number at most the
-    slice's rows, so their starts are broadcast only while that bound is small.
+    Cells outside the slice are dropped before any row moves, and the kept cells' key range goes
+    down to the file scan. The kept cells number at most the slice's rows, so their starts are
+    broadcast only while that bound is small.
     """
     celled = _with_cell(df, key, bits)
     starts = _cell_starts(celled, [], _cell_count(df, key, bits), bits)
     touched = starts.where(
         (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
     ).drop("_n")
+    touched = settle(touched, "cells")
+    low, high = touched.agg(F.min("_cell"), F.max("_cell")).first()
+    if low is None:
+        return df.where(F.lit(False))
+    in_range = (F.col(key) >= low << bits) & (F.col(key) <= ((high + 1) << bits) - 1)
     if stop - start <= BROADCAST_CELLS:
         touched = F.broadcast(touched)
     in_cell = Window.partitionBy("_cell").orderBy(key, *then)
     position = F.col("_start") + F.row_number().over(in_cell) - 1
     return (
-        celled.join(touched, "_cell")
+        celled.where(in_range)
+        .join(touched, "_cell")
         .withColumn("_position", position)
         .where((F.col("_position") >= start) & (F.col("_position") < stop))
         .select(*df.columns)

@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is made only for a local master that names none.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="larder-")
-    spark.conf.set(CHECKPOINT_CONF, named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="larder-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

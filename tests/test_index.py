@@ -63,6 +63,15 @@ def test_slices(spark, bits):
     got = ix.ordered_slice(df, "id", 120, 330, bits=bits)
     assert sorted(r["id"] for r in got.collect()) == [3 * i for i in range(120, 330)]
     assert ix.head_rows(df, "id", 10**9).count() == 1000
+    assert ix.ordered_slice(df, "id", 1000, 1010, bits=bits).count() == 0
+
+
+def test_slice_reaches_the_scan(spark, tmp_path):
+    spark.range(5000).write.parquet(str(tmp_path / "t"))
+    out = ix.ordered_slice(spark.read.parquet(str(tmp_path / "t")), "id", 100, 110, bits=5)
+    assert sorted(r["id"] for r in out.collect()) == list(range(100, 110))
+    pushed = plan(out).split("PushedFilters: ")[1]
+    assert "GreaterThanOrEqual(id,96)" in pushed and "LessThanOrEqual(id,127)" in pushed
 
 
 def test_sorted_index(spark):
