@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 
 _STRINGS = T.ArrayType(T.StringType())
 _QUOTES = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-# An escape that JSON and Python literals read differently.
-_FOREIGN_ESCAPE = r"""\\[^nrtbfu"'\\]|\\u[dD][89a-fA-F]"""
+# A flat list of quoted texts whose escapes JSON and Python literals read alike. The possessive
+# quantifiers keep the match free of recursion on long texts.
+_ESCAPE = r"""\\(?:[nrtbf"'\\]|u(?![dD][89a-fA-F]))"""
+_TEXT = rf"""(?:'(?:[^'\\]|{_ESCAPE})*+'|"(?:[^"\\]|{_ESCAPE})*+")"""
+_FLAT_LIST = rf"(?s)^\s*+\[(?:\s*+{_TEXT}\s*+(?:,|(?=\])))*+\s*+\]\s*+$"
 
 
 def _read_literal(text: str | None) -> list[str] | None:
@@ -34,8 +37,7 @@ def _literal_list(texts: pd.Series) -> pd.Series:
 
 def quick_list(c: Column) -> Column:
     """A list literal read by the JSON reader; null where it needs the exact reader."""
-    read = F.from_json(c, _STRINGS, _QUOTES)
-    return F.when(~c.rlike(_FOREIGN_ESCAPE), read)
+    return F.when(c.rlike(_FLAT_LIST), F.from_json(c, _STRINGS, _QUOTES))
 
 
 def parse_py_list(c: Column, exact: bool = True) -> Column:

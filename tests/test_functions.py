@@ -127,6 +127,11 @@ def test_python_lists(apply):
         "['a' 'b']",
         "[None, 1]",
         "['a'",
+        "['a'] x",
+        "[true]",
+        "['a', null]",
+        "[['a']]",
+        r"['a\/b', '\u00e9']",
         "{'a': 1}",
         "",
         None,
@@ -144,9 +149,19 @@ def test_python_lists(apply):
         None,
         None,
         None,
+        ["['a']"],
+        ["a\\/b", "é"],
+        None,
+        None,
+        None,
     ]
 
 
+def test_long_literals_stay_out_of_python(apply):
+    long = repr(["a'" * 40_000, "b\n" * 40_000] + ["x"] * 20_000)
+    assert [len(v) for v in apply(lists.quick_list, [long])] == [20_002]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.lists(st.text(max_size=12), max_size=4), min_size=40, max_size=60))
 def test_python_lists_match_the_literal_reader(spark, rows):
