@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table
+from larder.operators.index import chunk_manifest, with_index
 from larder.operators.tags import tokens
 from larder.functions.lists import parse_py_list
 from larder.schemas import FAILURE, SANITIZED
@@ -166,3 +167,31 @@ def event_csv(spark, d):
 def event_missing(spark, d):
     _, missing = _event_files(spark, d)
     return missing.select("event_id", "object_key")
+
+
+def _fan_out(spark, d):
+    """The manifest of all event types, and rows of all but the errors, whose file is lost."""
+    events = table(spark, d, "events").select(
+        F.col("event_type").alias("file"), F.col("event_id").alias("uid"), F.col("props").alias("url")
+    )
+    counts = events.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    rows = with_index(events.where("file <> 'error'"), "uid", "idx", by=["file"])
+    return sp.fan_out(chunk_manifest(counts, "file", "n", 4), rows)
+
+
+@query("""
+SELECT event_id::VARCHAR AS key, '{"uid":' || event_id || ',"url":"' || replace(props, '"', '\\"') || '"}' AS value
+FROM events WHERE event_type <> 'error'
+""")
+def fan_out(spark, d):
+    sent, _ = _fan_out(spark, d)
+    return sent
+
+
+@query("""
+WITH c AS (SELECT count(*) AS n FROM events WHERE event_type = 'error')
+SELECT 'error' AS file, unnest(range(0, (n + 3) // 4)) * 4 + 1 AS start_index FROM c
+""")
+def fan_out_failures(spark, d):
+    _, failed = _fan_out(spark, d)
+    return failed.select("file", "start_index")

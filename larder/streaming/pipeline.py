@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from larder.operators.failures import failure_rows, redrivable
-from larder.operators.index import chunk_manifest
+from larder.operators.index import chunk_manifest, chunk_rows
 from larder.operators.records import overlay, sanitize
 from larder.operators.recipes import page_record
+from larder.operators.sets import not_yet
 from larder.operators.tags import phrases, with_tags
 from larder.schemas import URL_LIST
 from larder.session import settle
@@ -144,6 +145,18 @@ def tag_batch(
     return work
 
 
+def fan_out(
+    manifest: DataFrame, rows: DataFrame, file: str = "file", idx: str = "idx", key: str = "uid"
+) -> tuple[DataFrame, DataFrame]:
+    """Messages of the rows a manifest asks for, and the manifest entries no row answers.
+
+    ``rows`` know their file and their position in it; the other columns make up the message.
+    """
+    asked = settle(chunk_rows(rows, manifest, file, idx), "asked")
+    sent = messages(asked.select(*(c for c in rows.columns if c not in (file, idx))), key)
+    return sent, not_yet(manifest, asked, [file, "start_index"])
+
+
 def fan_out_batch(out: str, key: str = "uid") -> Callable[[DataFrame, int], None]:
     """Each row as a JSON message."""
 

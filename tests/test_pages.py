@@ -68,6 +68,15 @@ def test_links_by_place_and_label(page):
     assert hrefs(px.labelled_links(found)) == ["https://x.com/plain", ALL[6]]
 
 
+def test_very_long_pages(spark):
+    """Patterns over megabytes of markup neither recurse nor cut the text."""
+    html = "<!--" + "x<" * 800_000 + "-->" + "<script>" + "y" * 500_000 + "</script>" + link("/end")
+    pages = spark.createDataFrame([("u", html)], "url string, html string")
+    assert hrefs(px.extract_links(pages, ["url"])) == ["/end"]
+    r = record(spark, json.dumps({**RECIPE, "description": "d" * 1_000_000}), html)
+    assert (r["title"], len(r["description"])) == ("Lenten Lentils", 1_000_000)
+
+
 def test_top_links(page):
     assert hrefs(px.top_links(page, ["url"], 2)) == ALL[:2]
     assert hrefs(px.top_links(page, ["url"], 9, "^https://www")) == ALL[4:8]
