@@ -60,36 +60,41 @@ def minutes(duration: Column) -> Column:
     )
 
 
-def _names(value: Column, path: str, inner: str) -> Column:
-    """Texts at ``path``: a text, an object's ``inner`` text, or a list of either."""
-    one = _get(value, path, "variant")
-    items = F.coalesce(_get(one, "$", _VARIANTS), F.when(one.isNotNull(), F.array(one)))
-    texts = F.transform(
-        items, lambda v: F.when(_is(v, "OBJECT"), _get(v, inner)).otherwise(_get(v, "$"))
-    )
-    return F.filter(texts, lambda t: t.isNotNull())
+def _text(value: Column) -> Column:
+    return _get(value, "$")
+
+
+def _items(value: Column) -> Column:
+    """A list's elements, or the one value."""
+    return F.coalesce(_get(value, "$", _VARIANTS), F.when(value.isNotNull(), F.array(value)))
+
+
+def _names(value: Column, inner: str) -> Column:
+    """Texts of a value: a text, an object's ``inner`` text, or a list of either."""
+
+    def name(v: Column) -> Column:
+        return F.when(_is(v, "OBJECT"), _get(v, inner)).otherwise(_text(v))
 
+    return F.filter(F.transform(_items(value), name), lambda t: t.isNotNull())
 
-def _first(value: Column, path: str, inner: str) -> Column:
-    return F.get(_names(value, path, inner), 0)
 
+def _first(value: Column, inner: str) -> Column:
+    return F.get(_names(value, inner), 0)
 
-def _joined(value: Column, path: str, inner: str = "$.name") -> Column:
-    texts = _names(value, path, inner)
-    return F.when(F.size(texts) > 0, F.array_join(texts, ","))
 
+def _joined(value: Column) -> Column:
+    return F.nullif(F.array_join(_names(value, "$.name"), ","), F.lit(""))
 
-def _steps(recipe: Column) -> Column:
+
+def _steps(given: Column) -> Column:
     """Instruction texts; the steps of a section take the section's place."""
-    given = _get(recipe, "$.recipeInstructions", "variant")
-    items = F.coalesce(_get(given, "$", _VARIANTS), F.when(given.isNotNull(), F.array(given)))
     flat = F.flatten(
         F.transform(
-            items, lambda v: F.coalesce(_get(v, "$.itemListElement", _VARIANTS), F.array(v))
+            _items(given), lambda v: F.coalesce(_get(v, "$.itemListElement", _VARIANTS), F.array(v))
         )
     )
     texts = F.transform(
-        flat, lambda v: F.when(_is(v, "OBJECT"), _get(v, "$.text")).otherwise(_get(v, "$"))
+        flat, lambda v: F.when(_is(v, "OBJECT"), _get(v, "$.text")).otherwise(_text(v))
     )
     lines = F.flatten(F.transform(texts, lambda t: F.split(t, "\n")))
     return F.filter(lines, lambda t: F.trim(t) != "")
@@ -106,44 +111,61 @@ def _meta(html: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
-def _yields(recipe: Column) -> Column:
-    text = _first(recipe, "$.recipeYield", "$.value")
+def _yields(text: Column) -> Column:
     return F.when(text.rlike(r"^\d+$"), F.concat(text, F.lit(" servings"))).otherwise(text)
 
 
+# The schema.org properties read.
+_PROPERTIES = (
+    "name description image author recipeYield prepTime cookTime totalTime recipeIngredient "
+    "ingredients recipeInstructions recipeCategory recipeCuisine aggregateRating"
+).split()
+
+
 def page_record(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """One recipe record per page: every column but ``html``, plus the record's.
 
     Title falls back to the first heading, then the page title. The canonical URL is always the
     requested one. Without a Recipe description the recipe columns are null.
     """
-    page, r = F.col(html), F.col("_recipe")
-    prep, cook = minutes(_get(r, "$.prepTime")), minutes(_get(r, "$.cookTime"))
-    total = minutes(_get(r, "$.totalTime"))
-    title = F.coalesce(_get(r, "$.name"), _tag_text(page, "h1"), _tag_text(page, "title"))
+    page = F.col(html)
+    kept = [c for c in pages.columns if c != html]
+    shape = "struct<" + ",".join(f"{p}:variant" for p in _PROPERTIES) + ">"
+    # The recipe is found and taken apart once; what is used twice is worked out before the end.
+    found = pages.select(*kept, page, _get(recipe_object(page), "$", shape).alias("_r"))
+    r = {p: F.col(f"_r.{p}") for p in _PROPERTIES}
+    worked = found.withColumns(
+        {
+            "_steps": _steps(r["recipeInstructions"]),
+            "_prep": minutes(_text(r["prepTime"])),
+            "_cook": minutes(_text(r["cookTime"])),
+            "_yield": _first(r["recipeYield"], "$.value"),
+        }
+    )
+    prep, cook = F.col("_prep"), F.col("_cook")
+    title = F.coalesce(_text(r["name"]), _tag_text(page, "h1"), _tag_text(page, "title"))
     ingredients = F.coalesce(
-        _names(r, "$.recipeIngredient", "$.name"), _names(r, "$.ingredients", "$.name")
+        _names(r["recipeIngredient"], "$.name"), _names(r["ingredients"], "$.name")
     )
     language = F.regexp_extract(page, r"""(?is)<html\b[^>]*\slang\s*=\s*["']?([\w-]+)""", 1)
-    kept = [c for c in pages.columns if c != html]
-    return pages.withColumn("_recipe", recipe_object(page)).select(
+    return worked.select(
         *kept,
         F.col(url).alias("canonical_url"),
         F.regexp_replace(url_host(F.col(url)), r"^www\.", "").alias("host"),
         title.alias("title"),
-        _joined(r, "$.recipeCategory").alias("category"),
-        _joined(r, "$.recipeCuisine").alias("cuisine"),
-        _get(r, "$.description").alias("description"),
-        _first(r, "$.author", "$.name").alias("author"),
-        _first(r, "$.image", "$.url").alias("image"),
-        _yields(r).alias("yields"),
-        F.coalesce(total, prep + cook, prep, cook).alias("total_time"),
+        _joined(r["recipeCategory"]).alias("category"),
+        _joined(r["recipeCuisine"]).alias("cuisine"),
+        _text(r["description"]).alias("description"),
+        _first(r["author"], "$.name").alias("author"),
+        _first(r["image"], "$.url").alias("image"),
+        _yields(F.col("_yield")).alias("yields"),
+        F.coalesce(minutes(_text(r["totalTime"])), prep + cook, prep, cook).alias("total_time"),
         cook.alias("cook_time"),
         prep.alias("prep_time"),
         ingredients.alias("ingredients"),
-        F.array_join(_steps(r), "\n").alias("instructions"),
-        _steps(r).alias("instructions_list"),
+        F.array_join("_steps", "\n").alias("instructions"),
+        F.col("_steps").alias("instructions_list"),
         F.nullif(language, F.lit("")).alias("language"),
-        _get(r, "$.aggregateRating.ratingValue").try_cast("double").alias("ratings"),
+        _get(r["aggregateRating"], "$.ratingValue").try_cast("double").alias("ratings"),
         _meta(page, "og:site_name").alias("site_name"),
     )
