@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, table, wide_table
 from larder.functions import coerce as cx
 from larder.functions import lists as lx
 
@@ -47,7 +47,7 @@ FROM documents
 """)
 def split_commas(spark, d):
     parts = lx.split_commas(F.col("text"))
-    docs = table(spark, d, "documents")
+    docs = wide_table(spark, d, "documents", "doc_id", "text")
     return docs.select(
         "doc_id", F.size(parts).cast("bigint").alias("n"), F.array_join(parts, "|").alias("parts")
     )
@@ -67,7 +67,7 @@ FROM documents
 """)
 def distinct_items(spark, d):
     words = F.array_sort(lx.distinct_items(F.split("text", " ")))
-    docs = table(spark, d, "documents")
+    docs = wide_table(spark, d, "documents", "doc_id", "text")
     return docs.select("doc_id", F.array_join(words, "|").alias("words"))
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, table, wide_table
 from larder.operators import pages as px
 from larder.operators.recipes import page_record as record_of
 
@@ -19,7 +19,7 @@ def _pages(spark, d):
 
 
 def _anchors(spark, d, keep=("page_id",)):
-    marked = _pages(spark, d).withColumn("html", F.expr(_MARKED))
+    marked = wide_table(spark, d, "pages", "page_id", "url", "html").withColumn("html", F.expr(_MARKED))
     return px.anchors(marked, list(keep))
 
 
@@ -115,7 +115,8 @@ SELECT page_id, url AS canonical_url,
 FROM pages
 """)
 def page_record(spark, d):
-    return record_of(_pages(spark, d)).select("page_id", "canonical_url", "host", "title", "language")
+    pages = wide_table(spark, d, "pages", "page_id", "url", "html")
+    return record_of(pages).select("page_id", "canonical_url", "host", "title", "language")
 
 
 _RECIPE_PAGE = r"""concat('<html lang="en"><head><script type="application/ld+json">',
@@ -139,7 +140,8 @@ SELECT p_partkey, p_name AS title, p_size || ' servings' AS yields, p_size::BIGI
 FROM part
 """)
 def recipe_record(spark, d):
-    made = table(spark, d, "part").select(
+    parts = wide_table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    made = parts.select(
         "p_partkey",
         F.concat(F.lit("https://www.x.com/"), "p_partkey").alias("url"),
         F.expr(_RECIPE_PAGE).alias("html"),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, table, wide_table
 from larder.operators import failures as fx
 from larder.operators import records as rx
 from larder.schemas import SANITIZED_KEYS, SCRAPED
@@ -46,7 +46,8 @@ SELECT event_id, 'u' || event_id AS uid, CASE event_type WHEN 'error' THEN 0 WHE
 FROM events
 """)
 def sanitize(spark, d):
-    records = table(spark, d, "events").select("event_id", F.expr(_RECORD).alias("body"))
+    events = wide_table(spark, d, "events", "event_id", "event_type", "props")
+    records = events.select("event_id", F.expr(_RECORD).alias("body"))
     return _shown(rx.sanitize_json(records, "body", keep=["event_id"]))
 
 

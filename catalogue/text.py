@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, table, wide_table
 from larder.functions import text as tx
 from larder.functions import urls as ux
 from larder.operators.index import with_index
@@ -14,7 +14,7 @@ WS = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}
 
 @query("SELECT doc_id, trim(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' ') AS words FROM documents")
 def alpha_only(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.alpha_only(F.col("text")).alias("words"))
+    return wide_table(spark, d, "documents", "doc_id", "text").select("doc_id", tx.alpha_only(F.col("text")).alias("words"))
 
 
 @query(r"SELECT doc_id, regexp_replace(text, '[\x00-\x19]', '', 'g') AS text FROM documents")
@@ -61,7 +61,7 @@ FROM cleaned
 """)
 def clean_text(spark, d):
     lines = F.split("text", "\n")
-    docs = table(spark, d, "documents")
+    docs = wide_table(spark, d, "documents", "doc_id", "text")
     return docs.select("doc_id", F.array_join(tx.clean_text(lines), "|").alias("lines"))
 
 
@@ -72,7 +72,7 @@ SELECT doc_id, array_to_string(list_filter(
 FROM documents
 """)
 def split_text(spark, d):
-    docs = table(spark, d, "documents")
+    docs = wide_table(spark, d, "documents", "doc_id", "text")
     words = tx.split_text(F.split("text", "\n"))
     return docs.select("doc_id", F.array_join(words, "|").alias("words"))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.registry import query, table
+from catalogue.registry import query, table, wide_table
 from larder.functions.text import alpha_only
 from larder.operators import vocab as vx
 from larder.operators.pages import hrefs
@@ -18,7 +18,8 @@ v AS (SELECT lower(word) AS ingredients, count(word) AS count,
 
 def word_lists(spark, d):
     words = F.split(alpha_only(F.col("text")), " ")
-    return table(spark, d, "documents").select("doc_id", words.alias("words"))
+    docs = wide_table(spark, d, "documents", "doc_id", "text")
+    return docs.select("doc_id", words.alias("words"))
 
 
 @query(f"""

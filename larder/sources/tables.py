@@ -59,3 +59,13 @@ def pages_for(
         on = ["url_bucket", url]
     wanted = broadcast_if_small(settle(wanted, "wanted"))
     return pages.join(wanted.where(F.col(url) > ""), on, "left_semi").drop("url_bucket")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A freshly read frame over all cores, for costly work per row.
+
+    Only an input of fewer splits than cores is shuffled; a large one passes as it is. Select the
+    columns needed first, and do not use it where the order of the files matters.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
