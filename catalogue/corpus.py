@@ -8,9 +8,10 @@ from larder.operators.pages import extract_links
 from larder.operators.tags import tokens
 from larder.plans import corpus as cx
 from larder.plans import scraped as sx
-from larder.schemas import DISH_COLUMNS, SCRAPED_DISH_COLUMNS
+from larder.plans.export import export
+from larder.schemas import DISH_COLUMNS, SCRAPED_DISH_COLUMNS, URL_LIST
 from larder.session import scratch_path, settle
-from larder.sources.corpus import land_raw
+from larder.sources.corpus import land_raw, read_csv
 
 _TITLE = "CASE WHEN p_size = 1 THEN '' WHEN p_size > 2 THEN concat(p_name, chr(9), ' No.', p_size) END"
 _LINK = """concat(CASE p_type WHEN 'PROMO' THEN 'http://' WHEN 'LARGE' THEN '' ELSE 'https://' END,
@@ -59,6 +60,31 @@ def clean_dataset(spark, d):
     return cx.process_recipe_nlg(raw_rows(spark, d))
 
 
+def _export(spark, d):
+    out = scratch_path(spark, "export")
+    export(cx.placed_recipe_nlg(raw_rows(spark, d)), out)
+    return out
+
+
+@query(f"{_CLEAN} SELECT uid, url FROM o")
+def export_urls(spark, d):
+    return read_csv(spark, f"{_export(spark, d)}/url_dataset", URL_LIST)
+
+
+@query(f"{_CLEAN} SELECT uid, url FROM o ORDER BY so NULLS LAST, source, dish_id LIMIT 42")
+def export_extract(spark, d):
+    return read_csv(spark, f"{_export(spark, d)}/url_test", URL_LIST)
+
+
+@query(f"""
+{_CLEAN} SELECT dish_id || '_' || regexp_replace(coalesce(source, ''), '[^a-zA-Z0-9_]', '_', 'g') || '.json' AS json_filename,
+  uid FROM o
+""")
+def export_documents(spark, d):
+    docs = spark.read.schema("json_filename string, doc string").json(f"{_export(spark, d)}/json")
+    return docs.select("json_filename", F.get_json_object("doc", "$.uid").alias("uid"))
+
+
 _CSV = {"multiLine": "true", "escape": '"', "header": "true"}
 
 

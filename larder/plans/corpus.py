@@ -106,17 +106,27 @@ def recipe_nlg(cleaned: DataFrame) -> DataFrame:
     return with_index(dishes, "dish_id", "source_order", by=["source"])
 
 
-def process_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
-    """The dish table of one raw corpus, sources interleaved."""
+def interleaved() -> list[Column]:
+    """The order in which the sources alternate."""
+    return [F.asc_nulls_last("source_order"), F.asc_nulls_last("source"), F.col("dish_id")]
+
+
+def _ordered_dishes(raw: DataFrame, legacy: bool) -> DataFrame:
     # Settled before the split: a filter on what Python read would read it in Python again.
     cleaned, _ = split_rejects(settle(clean_raw(raw, legacy), "cleaned"), "bad_list")
-    ordered = recipe_nlg(cleaned).orderBy(*interleaved())
+    return recipe_nlg(cleaned)
+
+
+def process_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
+    """The dish table of one raw corpus, sources interleaved."""
+    ordered = _ordered_dishes(raw, legacy).orderBy(*interleaved())
     return wrap_lists(ordered).select(*DISH_COLUMNS)
 
 
-def interleaved() -> list[Column]:
-    """The order in which the sources alternate."""
-    return [F.asc_nulls_last("source_order"), F.asc_nulls_last("source"), F.col("dish_id")]
+def placed_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
+    """The same table with ``place``, each row's position in that order."""
+    placed = sorted_index(_ordered_dishes(raw, legacy), interleaved(), "place")
+    return wrap_lists(placed).select(*DISH_COLUMNS, "place")
 
 
 Processor = Callable[[DataFrame], DataFrame]

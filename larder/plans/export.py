@@ -3,28 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from larder.operators.sets import value_counts
-from larder.session import settle
-from larder.sinks.tables import (
-    json_documents,
-    url_list,
-    write_json_documents,
-    write_table,
-    write_url_list,
-)
+from larder.sinks.tables import write_json_documents, write_url_list
 
 # Fixed value: rows of the test extract.
 TEST_ROWS = 42
 
-__all__ = ["export", "json_documents", "url_list"]
 
+def export(
+    dishes: DataFrame, out: str, place: str = "place", test_rows: int = TEST_ROWS
+) -> DataFrame:
+    """Write the lists and documents of a dish table; returns its rows per source.
 
-def export(dishes: DataFrame, out: str, order: list, test_rows: int = TEST_ROWS) -> DataFrame:
-    """Write the lists and documents of a dish table; returns its rows per source."""
-    dishes = settle(dishes, "export")
-    write_url_list(dishes, f"{out}/url_dataset")
-    # A few rows only: each task keeps its first ones before they meet.
-    write_table(url_list(dishes.orderBy(*order).limit(test_rows)), f"{out}/url_test", csv=True)
-    write_json_documents(dishes, f"{out}/json")
+    ``place`` is the row's position, as ``placed_recipe_nlg`` gives it: the URL lists keep that
+    order, so that their chunks mix the sources.
+    """
+    urls = dishes.select("uid", "url", place).orderBy(place)
+    write_url_list(urls, f"{out}/url_dataset")
+    write_url_list(urls.where(F.col(place) < test_rows), f"{out}/url_test")
+    write_json_documents(dishes.drop(place), f"{out}/json")
     return value_counts(dishes, "source")

@@ -122,10 +122,12 @@ def test_parquet_positions(spark, tmp_path):
 def test_export(spark, tmp_path, folders):
     landed = rx.land_raw(spark, rx.raw_path(folders[0], "recipeNLG"))
     out = str(tmp_path / "export")
-    counts = export(cx.process_recipe_nlg(landed), out, ["dish_id"], test_rows=2)
+    counts = export(cx.placed_recipe_nlg(landed), out, test_rows=2)
     assert {(r["source"], r["count"]) for r in counts.collect()} == {("c", 2), ("b.com", 1), ("www.a.com", 1)}
-    assert spark.read.option("header", True).csv(f"{out}/url_dataset").count() == 5
-    assert spark.read.option("header", True).csv(f"{out}/url_test").count() == 2
+    listed = spark.read.option("header", True).csv(f"{out}/url_dataset").collect()
+    assert [r["uid"] for r in listed] == ["missing_1", "cakeniceandbig_3", "pie_0", "secondc_8", "nosource_7"]
+    short = spark.read.option("header", True).csv(f"{out}/url_test").collect()
+    assert [r["uid"] for r in short] == ["missing_1", "cakeniceandbig_3"]
     docs = spark.read.json(f"{out}/json").collect()
     names = {r["json_filename"]: json.loads(r["doc"]) for r in docs}
     assert names["0_www_a_com.json"]["uid"] == "pie_0" and "7_.json" in names
