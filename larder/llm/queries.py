@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.llm import forced_bpe
 from larder.llm.content_sort import content_sort
+from larder.llm.packing import retrieval_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query()
+def op4_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forced_bpe.round_trip(documents(spark, sf_dir))
+
+
+@query()
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_pack(documents(spark, sf_dir))
+
+
 @query(r"""
 with n as (
     select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t
