@@ -1,10 +1,9 @@
 """Byte-level BPE by forced boundaries, and its decoding.
 
 A merge joins two neighbours into a token, so two bytes that stand side by side in no token can
-never meet in one: between them a cut is certain. Every word (a piece of the vocabulary's own
-splitting) is cut there, each fragment is merged by itself, and the ids are concatenated. Fragments
-and words that a worker has met are remembered. The vocabulary is the tokenizers library's file;
-merging is done here.
+never meet in one: between them a cut is certain. The pieces of the vocabulary's own splitting
+are cut there, each fragment is merged by itself, and the ids are concatenated. Fragments and words
+that a worker has met are remembered.
 """
 
 from __future__ import annotations

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import forced_bpe
+from larder.llm import byte_cnn, forced_bpe
+from larder.llm.bloom_cascade import judge_urls, rules_frame
 from larder.llm.content_sort import content_sort
 from larder.llm.packing import retrieval_pack
 
@@ -31,11 +33,57 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: The rules that judge the pages.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query()
+def op3_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = (~byte_cnn.in_training("doc_id")).alias("held_out")
+    predicted = byte_cnn.predict(docs, byte_cnn.train(docs))
+    return predicted.select("doc_id", held_out, "lang_pred", "score")
+
+
 @query()
 def op4_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forced_bpe.round_trip(documents(spark, sf_dir))
 
 
+@query(r"""
+with u as (
+    select page_id, case when contains(url, '://')
+        then substring(url, strpos(url, '://') + 3) else '' end as rest
+    from pages
+), h as (
+    select page_id, rest, regexp_extract(rest, '^[^/?#]*', 0) as raw_host from u
+), p as (
+    select page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        as host, regexp_extract(substring(rest, length(raw_host) + 1), '^[^?#]*', 0) as path
+    from h
+), r(verdict, rhost, rpath) as (
+    values ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+        ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), m as (
+    select page_id, host, path, verdict, rhost || rpath as rule,
+        row_number() over (partition by page_id order by length(rhost || rpath) desc nulls last)
+            as n
+    from p left join r
+        on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from m where n = 1
+""")
+def op8_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return judge_urls(pages, rules_frame(spark, URL_RULES))
+
+
 @query()
 def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_pack(documents(spark, sf_dir))
