@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from larder.llm import byte_cnn, forced_bpe
 from larder.llm.bloom_cascade import judge_urls, rules_frame
 from larder.llm.content_sort import content_sort
+from larder.llm.line_winnow import winnow_lines
 from larder.llm.packing import retrieval_pack
+from larder.llm.separator_scan import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +35,45 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query(r"""
+with l as (
+    select doc_id, i, line, trim(line) <> '' as counted from (
+        select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i
+        from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents)
+    )
+), c as (
+    select doc_id, i, trim(line) as t, row_number() over (partition by doc_id order by i) as k
+    from l where counted
+), w as (
+    select doc_id, k, [t, lead(t, 1) over d, lead(t, 2) over d] as content,
+        lead(t, 2) over d is not null as whole
+    from c window d as (partition by doc_id order by k)
+), r as (
+    select doc_id, k from (
+        select doc_id, k, row_number() over (partition by content order by doc_id, k) as n
+        from w where whole
+    ) where n > 1
+), gone as (
+    select distinct c.doc_id, c.i
+    from c join r on c.doc_id = r.doc_id and c.k in (r.k, r.k + 1, r.k + 2)
+), kept as (
+    select l.doc_id,
+        string_agg(case when gone.i is null then line end, chr(10) order by l.i) as text,
+        count(*) filter (counted) as n_lines, count(gone.i) as n_deleted
+    from l left join gone on l.doc_id = gone.doc_id and l.i = gone.i group by l.doc_id
+)
+select doc_id, n_lines, n_deleted, sha256(coalesce(text, '')) as text_sha256 from kept
+""")
+def op1_winnowing_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = winnow_lines(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query()
+def op2_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir))
+
+
 #: The rules that judge the pages.
 URL_RULES = [
     ("allow", "com", "/"),
