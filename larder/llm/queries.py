@@ -12,6 +12,7 @@ from larder.llm.bloom_cascade import judge_urls, rules_frame
 from larder.llm.content_sort import content_sort
 from larder.llm.line_winnow import winnow_lines
 from larder.llm.packing import retrieval_pack
+from larder.llm.prob_minhash import near_duplicates
 from larder.llm.separator_scan import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +98,11 @@ def op4_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forced_bpe.round_trip(documents(spark, sf_dir))
 
 
+@query()
+def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 @query(r"""
 with u as (
     select page_id, case when contains(url, '://')
