@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm import byte_cnn, forced_bpe
+from larder.llm.ball_tree import top_k
 from larder.llm.bloom_cascade import judge_urls, rules_frame
 from larder.llm.content_sort import content_sort
 from larder.llm.line_winnow import winnow_lines
@@ -103,6 +104,28 @@ def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+@query("""
+with v as (
+    select vec_id, [floor(1024 * x::double) for x in embedding] as e
+    from embeddings
+    where embedding is not null and len(embedding) > 0
+        and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)
+), s as (
+    select q.vec_id as query_id, c.vec_id as vec_id,
+        cast(list_dot_product(q.e, c.e) as bigint) as score
+    from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+), r as (
+    select query_id, vec_id, score,
+        cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
+    from s
+)
+select query_id, rank, vec_id, score from r where rank <= 10
+""")
+def op7_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query(r"""
 with u as (
     select page_id, case when contains(url, '://')
