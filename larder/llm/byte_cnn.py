@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,29 +209,49 @@ def train(
     return fit([t.encode() for t in sample["text"]], list(sample["lang"]))
 
 
-def _predicted(frames: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for low in range(0, len(frame), 500):
-            part = frame.iloc[low : low + 500]
-            texts = [t.encode() for t in part["text"]]
-            windows, owner, sizes = windows_of(texts)
-            total = np.zeros((len(texts), len(model.languages)))
-            if len(windows):
-                np.add.at(total, owner, model.probabilities(windows) * sizes[:, None])
-            lengths = np.maximum([len(t) for t in texts], 1)[:, None]
-            mean = np.minimum(total / lengths, 1.0)
-            best = mean.argmax(axis=1)
-            letters = part["letters"].to_numpy(bool)
-            names = np.array(model.languages, object)[best]
-            yield pd.DataFrame(
-                {
-                    "doc_id": part["doc_id"],
-                    "lang_pred": np.where(letters, names, UNKNOWN),
-                    "score": np.where(letters, mean[np.arange(len(texts)), best], 0.0),
-                }
+def _scores(texts: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The best language of each text and its probability."""
+    windows, owner, sizes = windows_of(texts)
+    total = np.zeros((len(texts), len(model.languages)))
+    if len(windows):
+        np.add.at(total, owner, model.probabilities(windows) * sizes[:, None])
+    mean = total / np.maximum([len(t) for t in texts], 1)[:, None]
+    best = mean.argmax(axis=1)
+    return best, np.minimum(mean[np.arange(len(texts)), best], 1.0)
+
+
+def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Replaces the columns ``_text`` and ``_letters``, which come last, by the prediction."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 500):
+            part = batch.slice(low, 500)
+            best, score = _scores([t.encode() for t in part["_text"].to_pylist()], model)
+            letters = part["_letters"].to_numpy(zero_copy_only=False).astype(bool)
+            names = np.where(letters, np.array(model.languages, object)[best], UNKNOWN)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *part.columns[:-2],
+                    pa.array(names, pa.string()),
+                    pa.array(np.where(letters, score, 0.0), pa.float64()),
+                ],
+                [*part.schema.names[:-2], "_lang", "_score"],
             )
 
 
+def _with_prediction(docs: DataFrame, model: Model | None, text_col: str) -> DataFrame:
+    """All columns of ``docs`` as c0, c1, ..., then ``_lang`` and ``_score``."""
+    bounded_batches(docs.sparkSession)
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    if model is None:
+        return docs.select(*own, F.lit(UNKNOWN).alias("_lang"), F.lit(0.0).alias("_score"))
+    text = text_or_empty(text_col)
+    keyed = docs.select(
+        *own, F.lower(text).alias("_text"), text.rlike(r"\p{L}").alias("_letters")
+    )
+    schema = "".join(f"{c} {kind}, " for c, kind in keyed.dtypes[:-2]) + "_lang string, _score double"
+    return over_cores(keyed).mapInArrow(lambda b: _predicted(b, model), schema)
+
+
 def predict(
     docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -241,36 +260,16 @@ def predict(
     A null text, one without a letter, or any text if there is no model, is ``und`` with score 0.
     Ties go to the first language by name. Repeated rows stay; a null id stays null.
     """
-    bounded_batches(docs.sparkSession)
-    text = text_or_empty(text_col)
-    keyed = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.lower(text).alias("text"),
-        text.rlike(r"\p{L}").alias("letters"),
+    own = docs.select(F.col(id_col).cast("bigint"), F.col(text_col))
+    return _with_prediction(own, model, own.columns[1]).select(
+        F.col("c0").alias("doc_id"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score")
     )
-    if model is None:
-        return keyed.select(
-            "doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
-        )
-    return over_cores(keyed).mapInArrow(lambda b: _arrow(b, model), SCHEMA)
 
 
-def _arrow(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Nullable ids stay whole numbers: pandas sees only texts."""
-    for batch in batches:
-        frame = pd.DataFrame(
-            {
-                "doc_id": np.arange(batch.num_rows),
-                "text": batch["text"].to_pylist(),
-                "letters": batch["letters"].to_numpy(zero_copy_only=False),
-            }
-        )
-        for part in _predicted(iter([frame]), model):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"].take(pa.array(part["doc_id"])),
-                    pa.array(part["lang_pred"], pa.string()),
-                    pa.array(part["score"], pa.float64()),
-                ],
-                ["doc_id", "lang_pred", "score"],
-            )
+def known_language(
+    docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.4
+) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a score of at least ``least``."""
+    told = _with_prediction(docs, model, text_col)
+    kept = told.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least))
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

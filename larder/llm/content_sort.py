@@ -98,16 +98,8 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Re
         yield from _decided(done, np.ones(done.num_rows, bool), pid, first_run, names)[0]
 
 
-def content_sort(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
-) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256`` and ``carry``.
-
-    Texts are equal if they are identical after ``normalised``; null counts as empty. The row with
-    the smallest id stays. Of rows with that same id exactly one stays. Null ids come last: a group
-    of null ids alone has a null ``keep_id`` and keeps one row. An empty table gives no rows.
-    ``carry`` names further columns of ``docs`` to pass along.
-    """
+def _decisions(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str]) -> DataFrame:
+    """``_id, _keep_id, _group_size, _kept, _sha`` of every row, and ``carry`` as c0, c1, ..."""
     bounded_batches(docs.sparkSession)
     names = [f"c{i}" for i in range(len(carry))]
     keyed = docs.select(
@@ -141,10 +133,33 @@ def content_sort(
     won = (F.col("_won._pid") == F.col("_pid")) & (F.col("_won._run") == F.col("_run"))
     inside = F.col("_won").isNull()
     return runs.join(stitched, ["_pid", "_run"], "left").select(
-        F.col("_id").alias("doc_id"),
-        F.when(inside, F.col("_keep")).otherwise(F.col("_won.keep")).alias("keep_id"),
-        F.coalesce("_all", "_size").alias("group_size"),
-        (F.col("_first") & (inside | won)).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
-        *(F.col(name).alias(c) for c, name in zip(carry, names, strict=True)),
+        "_id",
+        F.when(inside, F.col("_keep")).otherwise(F.col("_won.keep")).alias("_keep_id"),
+        F.coalesce("_all", "_size").alias("_group_size"),
+        (F.col("_first") & (inside | won)).alias("_kept"),
+        "_sha",
+        *names,
     )
+
+
+def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
+
+    Texts are equal if they are identical after ``normalised``; null counts as empty. The row with
+    the smallest id stays. Of rows with that same id exactly one stays. Null ids come last: a group
+    of null ids alone has a null ``keep_id`` and keeps one row. An empty table gives no rows.
+    """
+    names = {
+        "_id": "doc_id",
+        "_keep_id": "keep_id",
+        "_group_size": "group_size",
+        "_kept": "kept",
+        "_sha": "text_sha256",
+    }
+    return _decisions(docs, id_col, text_col, ()).withColumnsRenamed(names)
+
+
+def first_of_equals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``content_sort`` keeps, with all their columns."""
+    kept = _decisions(docs, id_col, text_col, docs.columns).where("_kept")
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -291,23 +291,8 @@ def _verified(members: DataFrame, texts: DataFrame, similar: float) -> DataFrame
     return labels
 
 
-def near_duplicates(
-    docs: DataFrame, similar: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, class_id, kept`` of every document: its near-duplicate class.
-
-    A class is made by links of probability Jaccard ``similar`` or more over five-word shingles
-    weighted by their count, and by equal texts. Words are runs of letters and digits, lower-cased.
-    ``class_id`` is the smallest id in the class; its row is ``kept``. A text of one to four words
-    is one shingle. Texts without words, null ones too (as empty), are only like equal texts. Rows
-    of one id are told apart by their text; the smallest id of a class stands in all rows that
-    share it, so repeated rows are all kept. Null ids come last: a class of null ids has a null
-    ``class_id`` and keeps them all.
-    """
-    bounded_batches(docs.sparkSession)
-    texts = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text")
-    ).withColumn("node", F.unhex(F.md5("text")))
+def _classes(texts: DataFrame, similar: float) -> DataFrame:
+    """``doc_id, node, class_id, class_node`` of every row of ``doc_id, text, node``."""
     lowered = texts.withColumn("text", F.lower("text"))
     signed = settle(
         over_cores(lowered).mapInArrow(_bands, "doc_id long, node binary, bands array<long>"),
@@ -328,17 +313,65 @@ def near_duplicates(
         "texts",
     )
     labels = _verified(members, involved, similar)
+    own = nodes.select("node", "first")
     if labels is None:
-        classes = nodes.select("node", F.col("first").alias("class_id"))
+        named = own.withColumn("label", F.col("node"))
     else:
-        named = settle(
-            nodes.join(labels, "node", "left").select(
-                "node", "first", F.coalesce("label", "node").alias("label")
-            ),
-            "named",
+        named = own.join(labels, "node", "left").select(
+            "node", "first", F.coalesce("label", "node").alias("label")
         )
-        least = settle(named.groupBy("label").agg(F.min("first").alias("class_id")), "least")
-        classes = settle(named.join(least, "label").select("node", "class_id"), "classes")
-    return signed.join(classes, "node").select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+    named = settle(named, "named")
+    order = F.struct(F.col("first").isNull().alias("late"), "first", "node")
+    least = settle(named.groupBy("label").agg(F.min(order).alias("least")), "least")
+    classes = settle(
+        named.join(least, "label").select(
+            "node", F.col("least.first").alias("class_id"), F.col("least.node").alias("class_node")
+        ),
+        "classes",
+    )
+    return signed.select("doc_id", "node").join(classes, "node")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text")
+    ).withColumn("node", F.unhex(F.md5("text")))
+
+
+def _kept():
+    return F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))
+
+
+def near_duplicates(
+    docs: DataFrame, similar: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, class_id, kept`` of every document: its near-duplicate class.
+
+    A class is made by links of probability Jaccard ``similar`` or more over five-word shingles
+    weighted by their count, and by equal texts. Words are runs of letters and digits, lower-cased.
+    ``class_id`` is the smallest id in the class; its row is ``kept``. A text of one to four words
+    is one shingle. Texts without words, null ones too (as empty), are only like equal texts. Rows
+    of one id are told apart by their text; rows alike in both are kept together. Null ids come
+    last: a class of null ids has a null ``class_id``. An empty table gives no rows.
+    """
+    bounded_batches(docs.sparkSession)
+    return _classes(_keyed(docs, id_col, text_col), similar).select(
+        "doc_id", "class_id", _kept().alias("kept")
+    )
+
+
+def first_of_class(
+    docs: DataFrame, similar: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    bounded_batches(docs.sparkSession)
+    kept = _classes(_keyed(docs, id_col, text_col), similar).where(_kept()).select("doc_id", "node")
+    named = docs.select(
+        *(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)),
+        F.col(id_col).cast("bigint").alias("_id"),
+        F.unhex(F.md5(text_or_empty(text_col))).alias("_node"),
+    )
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == F.col("node"))
+    return named.join(kept, same, "left_semi").select(
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns))
     )
