@@ -14,6 +14,7 @@ from larder.llm.content_sort import content_sort
 from larder.llm.line_winnow import winnow_lines
 from larder.llm.packing import retrieval_pack
 from larder.llm.prob_minhash import near_duplicates
+from larder.llm.range_coder import written_and_read
 from larder.llm.separator_scan import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,11 @@ def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+@query()
+def op6_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_and_read(documents(spark, sf_dir))
+
+
 @query("""
 with v as (
     select vec_id, [floor(1024 * x::double) for x in embedding] as e
