@@ -83,7 +83,7 @@ def stream_tags(spark, d):
     out = scratch_path(spark, "tagged")
     words = F.explode(tokens(F.col("text")))
     vocab = table(spark, d, "benchmark").select(words.alias("ingredients")).distinct()
-    _run(spark, sp.staged_files(spark, ok, SANITIZED), sp.tag_batch(vocab, out, max_words=1))
+    _run(spark, sp.staged_files(spark, ok, SANITIZED), sp.tag_batch(vocab, out))
     tagged = spark.read.schema(SANITIZED).parquet(out)
     return tagged.select("uid", "title", F.array_join("ingredient_tags", "|").alias("tags"))
 
@@ -130,10 +130,52 @@ def redrive(spark, d):
     return ok.select("uid", "title")
 
 
-@query("SELECT 'u' || user_id AS uid FROM events GROUP BY user_id")
+@query("""
+SELECT 'u' || event_id AS uid, 'https://x.com/' || user_id AS url, s_name AS title, 1::BIGINT AS deliveries
+FROM events JOIN supplier ON s_suppkey = user_id WHERE event_type <> 'error'
+""")
+def redrive_twice(spark, d):
+    """Items fail, their pages appear, and the failures are redriven two times."""
+    out = scratch_path(spark, "redriven")
+    rows = table(spark, d, "events").where("event_type <> 'error'").select(
+        F.concat(F.lit("u"), "event_id").alias("uid"),
+        F.concat(F.lit("https://x.com/"), "user_id").alias("url"),
+    )
+    pages = _page_records(spark, d)
+    sp.stage_batch(pages.limit(0), f"{out}/ok", f"{out}/failed")(rows, 0)
+    for batch_id in (1, 2):
+        sp.redrive_job(spark, f"{out}/ok", f"{out}/failed", pages, batch_id, 14)
+    staged = spark.read.schema(SANITIZED).parquet(f"{out}/ok")
+    return staged.groupBy("uid", "url", "title").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
+@query("""
+SELECT 'u' || event_id AS uid, CASE WHEN s_suppkey IS NULL THEN 'failed' ELSE 'staged' END AS place
+FROM events LEFT JOIN supplier ON s_suppkey = user_id
+""")
+def stage_replay(spark, d):
+    """A batch whose pages were missing is run again, then has all it can have; nothing is twice."""
+    out = scratch_path(spark, "replayed")
+    rows = table(spark, d, "events").select(
+        F.concat(F.lit("u"), "event_id").alias("uid"),
+        F.concat(F.lit("https://x.com/"), "user_id").alias("url"),
+    )
+    pages = _page_records(spark, d)
+    twice = pages.unionByName(pages.withColumn("title", F.lit("an older crawl")))
+    for known in (pages, pages.limit(0), twice):
+        sp.stage_batch(known, f"{out}/ok", f"{out}/failed")(rows, 0)
+    ok = spark.read.schema(SANITIZED).parquet(f"{out}/ok").select("uid", F.lit("staged").alias("place"))
+    failed = spark.read.schema(FAILURE).parquet(f"{out}/failed")
+    return ok.unionByName(failed.select("uid", F.lit("failed").alias("place")))
+
+
+@query("""
+SELECT 'u' || user_id AS uid, arg_min(props, event_id) AS props, min(event_id) AS event_id
+FROM events GROUP BY user_id
+""")
 def first_delivery(spark, d):
-    items = table(spark, d, "events").select(F.concat(F.lit("u"), "user_id").alias("uid"), "props")
-    return sp.first_delivery(items).select("uid")
+    items = table(spark, d, "events").select(F.concat(F.lit("u"), "user_id").alias("uid"), "props", "event_id")
+    return sp.first_delivery(items, "event_id")
 
 
 def _event_files(spark, d):

@@ -66,9 +66,33 @@ def offset_slice(spark, d):
     return ix.ordered_slice(orders, "o_orderkey", 700, 1200, bits=8)
 
 
-@query()
+@query("""
+SELECT page_id, row_number() OVER (ORDER BY md5('7|' || page_id)) - 1 AS place FROM pages
+""")
 def seeded_shuffle(spark, d):
-    return ix.seeded_shuffle(table(spark, d, "pages").select("page_id", "url"), "url", 7)
+    pages = table(spark, d, "pages").select("page_id").repartition(7)
+    shuffled = ix.seeded_shuffle(pages, "page_id", 7)
+    key = F.md5(F.concat(F.lit("7|"), "page_id").cast("binary"))
+    return ix.sorted_index(shuffled, [key], "place")
+
+
+_HALF_NULL = "SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS k, o_orderkey AS o FROM orders"
+
+
+def _half_null(spark, d):
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("k")
+    return table(spark, d, "orders").select(key, F.col("o_orderkey").alias("o"))
+
+
+@query(f"SELECT k, o, row_number() OVER (ORDER BY k NULLS LAST, o) - 1 AS idx FROM ({_HALF_NULL})")
+def row_index_nulls(spark, d):
+    return ix.with_index(_half_null(spark, d), "k", "idx", then=["o"], bits=8)
+
+
+@query(f"SELECT k, o FROM ({_HALF_NULL}) ORDER BY k NULLS LAST, o LIMIT (SELECT count(*) * 3 // 4 FROM orders)")
+def head_rows_nulls(spark, d):
+    orders = _half_null(spark, d)
+    return ix.head_rows(orders, "k", orders.count() * 3 // 4, then=["o"])
 
 
 @query("""

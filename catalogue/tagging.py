@@ -21,7 +21,7 @@ def tags(spark, d):
     turns = table(spark, d, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.array("text").alias("lines")
     )
-    tagged = gx.with_tags(turns, "id", "lines", vocab, max_words=1, name="tags")
+    tagged = gx.with_tags(turns, "id", "lines", vocab, name="tags")
     return tagged.select("id", F.array_join("tags", "|").alias("tags"))
 
 
@@ -40,7 +40,7 @@ def phrase_tags(spark, d):
     whole = parts.where("p_type = 'ECONOMY'").select(F.col("p_name").alias("ingredients"))
     vocab = parts.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("ingredients"))
     lines = parts.select("p_partkey", F.array("p_name", "p_type", "p_brand").alias("lines"))
-    tagged = gx.with_tags(lines, "p_partkey", "lines", vocab.union(whole), max_words=2, name="tags")
+    tagged = gx.with_tags(lines, "p_partkey", "lines", vocab.union(whole), name="tags")
     return tagged.select("p_partkey", F.array_join("tags", "|").alias("tags"))
 
 
@@ -54,23 +54,25 @@ SELECT p_partkey, pos::INTEGER AS pos, phrase FROM g SEMI JOIN v USING (phrase)
 def phrase_hits(spark, d):
     parts = table(spark, d, "part")
     lines = parts.select("p_partkey", F.array(F.concat_ws(" ", "p_name", "p_name")).alias("lines"))
-    hits = gx.candidate_spans(lines, "p_partkey", "lines", parts, "p_name", 2)
+    hits = gx.candidate_spans(lines, "p_partkey", "lines", parts, "p_name")
     return hits.select("p_partkey", "pos", "phrase")
 
 
-@query(r"""
-WITH t AS (SELECT item_id, regexp_extract_all(text, '[A-Z]\w+') AS ws FROM benchmark)
-SELECT item_id, lower(array_to_string(ws, '|')) AS tags FROM t
-""")
-def model_tags(spark, d):
-    """A stand-in classifier that names capitalised words."""
-
-    def load():
-        import re
+# Phrases of one to six words, told apart by their first word: w1 to w6 of the vocabulary.
+_LONG = [" ".join([f"n{n}"] + ["of"] * (n - 1)) for n in range(1, 7)]
 
-        word = re.compile(r"[A-Z][A-Za-z0-9_]+")
-        return lambda texts: [word.findall(t) for t in texts]
 
-    tag = gx.model_tagger(load)
-    items = table(spark, d, "benchmark").select("item_id", F.array("text").alias("lines"))
-    return items.select("item_id", F.array_join(tag(F.col("lines")), "|").alias("tags"))
+@query("""
+WITH t AS (SELECT event_id, user_id % 6 + 1 AS n, event_id % 6 AS rest FROM events)
+SELECT event_id, CASE WHEN rest >= n - 1 THEN 'n' || n || repeat(' of', (n - 1)::INTEGER)
+  ELSE 'none' END || '|salt' AS tags FROM t
+""")
+def long_phrase_tags(spark, d):
+    """A phrase of n words is found where as many words stand, the longest the vocabulary has."""
+    vocab = spark.range(1).select(F.explode(F.array(*map(F.lit, [*_LONG, "none", "salt"]))).alias("ingredients"))
+    n, rest = F.col("user_id") % 6 + 1, (F.col("event_id") % 6).cast("int")
+    text = F.concat(F.lit("n"), n, F.repeat(F.lit(" of"), rest))
+    text = F.when(rest >= n - 1, text).otherwise("none of")
+    lines = table(spark, d, "events").select("event_id", F.array(text, F.lit("some Salt")).alias("lines"))
+    tagged = gx.with_tags(lines, "event_id", "lines", vocab, name="tags")
+    return tagged.select("event_id", F.array_join("tags", "|").alias("tags"))

@@ -21,9 +21,10 @@ CELL_BITS = 16
 BROADCAST_CELLS = 1_000_000
 
 
-def _cell_count(df: DataFrame, key: str, bits: int) -> int:
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    return 0 if low is None else (high >> bits) - (low >> bits) + 1
+def _cell_range(df: DataFrame, key: str, bits: int) -> tuple[int, int]:
+    """How many cells the keys span, and the cell after them, which holds the null keys."""
+    low, high = df.agg(F.min(key).cast("bigint"), F.max(key).cast("bigint")).first()
+    return (1, 0) if low is None else ((high >> bits) - (low >> bits) + 2, (high >> bits) + 1)
 
 
 def _starts(totals: DataFrame, by: list[str], n_cells: int, bits: int) -> DataFrame:
@@ -52,8 +53,9 @@ def _starts(totals: DataFrame, by: list[str], n_cells: int, bits: int) -> DataFr
     )
 
 
-def _with_cell(df: DataFrame, key: str, bits: int) -> DataFrame:
-    return df.withColumn("_cell", F.shiftright(F.col(key).cast("bigint"), bits))
+def _with_cell(df: DataFrame, key: str, bits: int, null_cell: int) -> DataFrame:
+    cell = F.shiftright(F.col(key).cast("bigint"), bits)
+    return df.withColumn("_cell", F.coalesce(cell, F.lit(null_cell).cast("bigint")))
 
 
 def _cell_starts(celled: DataFrame, by: list[str], n_cells: int, bits: int) -> DataFrame:
@@ -73,13 +75,16 @@ def with_index(
 ) -> DataFrame:
     """Add ``name``: the row's 0-based position by ``key`` (then ``then``), within ``by`` if given.
 
-    ``key`` and ``then`` together must be unique. A null ``by`` value gives a null position.
+    ``key`` and ``then`` together must be unique. Null keys come last, in ``then`` order; they and
+    the rows of one key share a cell, so few of either are assumed. A null ``by`` value gives a
+    null position.
     ``df`` is read three times (range, totals, rows): settle an expensive frame first.
     """
     by = list(by)
-    celled = _with_cell(df, key, bits)
-    starts = _cell_starts(celled, by, _cell_count(df, key, bits), bits).drop("_n")
-    in_cell = Window.partitionBy(*by, "_cell").orderBy(key, *then)
+    n_cells, null_cell = _cell_range(df, key, bits)
+    celled = _with_cell(df, key, bits, null_cell)
+    starts = _cell_starts(celled, by, n_cells, bits).drop("_n")
+    in_cell = Window.partitionBy(*by, "_cell").orderBy(F.asc_nulls_last(key), *then)
     numbered = celled.withColumn("_row", F.row_number().over(in_cell) - 1)
     return (
         numbered.join(starts, [*by, "_cell"], "left")
@@ -96,14 +101,15 @@ def ordered_slice(
     then: Sequence[str | Column] = (),
     bits: int = CELL_BITS,
 ) -> DataFrame:
-    """Rows ``start`` to ``stop - 1`` in key order.
+    """Rows ``start`` to ``stop - 1`` in key order, null keys last.
 
     Cells outside the slice are dropped before any row moves, and the kept cells' key range goes
     down to the file scan. The kept cells number at most the slice's rows, so their starts are
     broadcast only while that bound is small.
     """
-    celled = _with_cell(df, key, bits)
-    starts = _cell_starts(celled, [], _cell_count(df, key, bits), bits)
+    n_cells, null_cell = _cell_range(df, key, bits)
+    celled = _with_cell(df, key, bits, null_cell)
+    starts = _cell_starts(celled, [], n_cells, bits)
     touched = starts.where(
         (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
     ).drop("_n")
@@ -112,9 +118,11 @@ def ordered_slice(
     if low is None:
         return df.where(F.lit(False))
     in_range = (F.col(key) >= low << bits) & (F.col(key) <= ((high + 1) << bits) - 1)
+    if high == null_cell:
+        in_range = in_range | F.col(key).isNull()
     if stop - start <= BROADCAST_CELLS:
         touched = F.broadcast(touched)
-    in_cell = Window.partitionBy("_cell").orderBy(key, *then)
+    in_cell = Window.partitionBy("_cell").orderBy(F.asc_nulls_last(key), *then)
     position = F.col("_start") + F.row_number().over(in_cell) - 1
     return (
         celled.where(in_range)
@@ -165,12 +173,13 @@ def interleave(df: DataFrame, source: str = "source", key: str = "dish_id") -> D
 
 
 def seeded_shuffle(df: DataFrame, key: str | Column, seed: int) -> DataFrame:
-    """A random-looking order, the same for the same seed and the same files.
+    """A random-looking order of a unique key: the same for the same seed under any layout.
 
-    The row's number takes part in the hash, so copies of one key are spread like other rows.
+    Ordered by the MD5 of seed and key, which other engines have too; of equal keys no order is
+    defined.
     """
     key = F.col(key) if isinstance(key, str) else key
-    return df.orderBy(F.xxhash64(key, F.lit(seed), F.monotonically_increasing_id()))
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")).cast("binary")))
 
 
 def with_shard(df: DataFrame, idx: str, rows_per_shard: int, name: str = "shard") -> DataFrame:

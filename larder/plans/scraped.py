@@ -86,7 +86,7 @@ def discover_recipe_urls(
 
 
 def scrape_batch(
-    urls: DataFrame, pages: DataFrame, vocab: DataFrame, seed: int = 0, max_words: int = 3
+    urls: DataFrame, pages: DataFrame, vocab: DataFrame, seed: int = 0
 ) -> DataFrame:
     """Recipe URLs, numbered by ``n``, looked up in the pages and cleaned into dishes.
 
@@ -94,7 +94,7 @@ def scrape_batch(
     """
     records = settle(page_record(pages_for(urls, pages)), "records")
     found = fill_text(overlay(urls, records, "url", how="inner"))
-    tagged = with_tags(found, "n", "ingredients", vocab, max_words=max_words)
+    tagged = with_tags(found, "n", "ingredients", vocab)
     return seeded_shuffle(clean_scraped(tagged), "url", seed)
 
 
@@ -109,12 +109,12 @@ def scrape_recipes(base_pages: DataFrame, pages: DataFrame, limit: int) -> DataF
 
 
 def tag_records(
-    records: DataFrame, vocab: DataFrame, key: str = "path", max_words: int = 3
+    records: DataFrame, vocab: DataFrame, key: str = "path"
 ) -> DataFrame:
     """VARIANT records tagged by their ingredients, then sanitized. ``key`` must be unique."""
     lines = F.try_variant_get(F.col("record"), "$.ingredients", "array<string>")
     tagged = with_tags(
-        records.withColumn("_lines", lines), key, "_lines", vocab, max_words=max_words, name="_tags"
+        records.withColumn("_lines", lines), key, "_lines", vocab, name="_tags"
     )
     clean = sanitize(tagged, "record", keep=[key, "_tags"])
     return clean.withColumn("ingredient_tags", F.col("_tags")).drop("_tags")

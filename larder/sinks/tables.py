@@ -75,18 +75,17 @@ def write_messages(df: DataFrame, path: str, key: str) -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch as its own partition. Writing a batch again replaces it."""
-    (
-        df.withColumn("ingest_ts", F.unix_timestamp())
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """One micro-batch as its own partition. Writing a batch again replaces it, also by no rows."""
+    stamped = df.drop("batch_id").withColumn("ingest_ts", F.unix_timestamp())
+    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_pages(pages: DataFrame, path: str, buckets: int, url: str = "url") -> None:
-    """Pages in folders by URL hash, so that a lookup of some URLs reads only their folders."""
+    """Pages in folders by URL hash, so that a lookup of some URLs reads only their folders.
+
+    Pages are dealt out by folder first, so a folder gets a few files, not one of every task; a
+    folder of very many pages is split by the rebalancing.
+    """
     bucketed = pages.withColumn("url_bucket", page_bucket(F.col(url), buckets))
-    bucketed.write.mode("overwrite").partitionBy("url_bucket").parquet(path)
+    dealt = bucketed.hint("rebalance", "url_bucket")
+    dealt.write.mode("overwrite").partitionBy("url_bucket").parquet(path)

@@ -27,6 +27,15 @@ def latest_pages(pages: DataFrame, order: str, url: str = "url") -> DataFrame:
     return pages.join(last, [url, order], "left_semi")
 
 
+def one_page(pages: DataFrame, newest: str | None = None, url: str = "url") -> DataFrame:
+    """One page per URL: the one with the greatest ``newest``, else of the greatest content hash."""
+    rest = [c for c in pages.columns if c != url]
+    plain = [c for c, kind in pages.dtypes if c != url and not kind.startswith(("map", "variant"))]
+    order = F.struct(*([newest] if newest else []), F.xxhash64(*plain) if plain else F.lit(0))
+    best = F.max_by(F.struct(*rest), order).alias("_best")
+    return pages.groupBy(url).agg(best).select(url, "_best.*").select(*pages.columns)
+
+
 def read_processed(spark: SparkSession, path: str, spec: str | None = None) -> DataFrame:
     """Processed tables, or one dataset's by partition pruning."""
     table = spark.read.parquet(path)

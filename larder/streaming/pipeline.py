@@ -18,15 +18,16 @@ from larder.operators.index import chunk_manifest, chunk_rows
 from larder.operators.records import overlay, sanitize
 from larder.operators.recipes import page_record
 from larder.operators.sets import not_yet
-from larder.operators.tags import phrases, with_tags
-from larder.schemas import URL_LIST
+from larder.operators.tags import PhraseTable, phrase_table, with_tags
+from larder.schemas import FAILURE, URL_LIST
 from larder.session import settle
 from larder.sinks.tables import messages, write_batch
-from larder.sources.tables import pages_for
+from larder.sources.tables import one_page, pages_for
 
 # Files per micro-batch and wait, as the scraping and the tagging step take them.
 STAGE_FILES, TAG_FILES, WAIT = 40, 10, "20 seconds"
 NO_PAGE_STATUS = 404
+_BATCH = T.StructField("batch_id", T.LongType())
 
 
 def url_files(
@@ -78,15 +79,21 @@ def file_manifest(rows: DataFrame, size: int = 4, file: str = "file") -> DataFra
 
 
 def enrich(
-    rows: DataFrame, pages: DataFrame, keep: Sequence[str] = (), buckets: int | None = None
+    rows: DataFrame,
+    pages: DataFrame,
+    keep: Sequence[str] = (),
+    buckets: int | None = None,
+    newest: str | None = None,
 ) -> DataFrame:
     """Messages with the record of their page laid over them, sanitized.
 
-    ``pages`` holds one row per URL: the page's ``html``, or a record already read from it. Only
-    the batch's pages are looked up and read, see ``pages_for``. ``status_code`` is null for a
-    hit, else says why there is none; ``keep`` names columns that are not part of the message.
+    ``pages`` holds the page's ``html``, or a record already read from it. Only the batch's pages
+    are looked up and read, see ``pages_for``. Of several crawls of a URL the one with the greatest
+    ``newest`` counts, or else one fixed by its content, so a message is never multiplied.
+    ``status_code`` is null for a hit, else says why there is none; ``keep`` names columns that are
+    not part of the message.
     """
-    found = pages_for(rows, pages, buckets)
+    found = one_page(settle(pages_for(rows, pages, buckets), "crawls"), newest)
     if "html" in found.columns:
         found = page_record(found)
     found = settle(found.withColumn("_hit", F.lit(True)), "found")
@@ -106,7 +113,11 @@ def split_outcome(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage_batch(
-    pages: DataFrame, staged: str, failures: str, buckets: int | None = None
+    pages: DataFrame,
+    staged: str,
+    failures: str,
+    buckets: int | None = None,
+    newest: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Work of the first query: enrich, sanitize, write good rows and failures apart.
 
@@ -115,7 +126,7 @@ def stage_batch(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich(batch.select("uid", "url"), pages, buckets=buckets).persist()
+        enriched = enrich(batch.select("uid", "url"), pages, buckets=buckets, newest=newest).persist()
         try:
             ok, failed = split_outcome(enriched)
             write_batch(ok, staged, batch_id)
@@ -126,20 +137,19 @@ def stage_batch(
     return work
 
 
-def tag_batch(
-    vocab: DataFrame, out: str, max_words: int = 3
-) -> Callable[[DataFrame, int], None]:
+def tag_batch(vocab: DataFrame | PhraseTable, out: str) -> Callable[[DataFrame, int], None]:
     """Work of the second query: tag the ingredients of staged rows.
 
-    The vocabulary's phrases are made once, not per batch.
+    The vocabulary's phrases are prepared once, not per batch. Where the scratch folder expires,
+    pass a ``PhraseTable`` of a frame that stays.
     """
-    known = settle(phrases(vocab, "ingredients").select("phrase"), "vocabulary")
+    known = vocab if isinstance(vocab, PhraseTable) else phrase_table(vocab)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop("batch_id", "ingest_ts", "ingredient_tags")
         # A uid may be delivered twice, so rows get a number of their own, fixed by writing it.
         rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "untagged")
-        tagged = with_tags(rows, "_row", "ingredients", known, "phrase", max_words)
+        tagged = with_tags(rows, "_row", "ingredients", known)
         write_batch(tagged.drop("_row"), out, batch_id)
 
     return work
@@ -178,13 +188,50 @@ def manifest_batch(
 
 
 def redrive(
-    failures: DataFrame, pages: DataFrame, max_attempts: int
+    failures: DataFrame,
+    pages: DataFrame,
+    max_attempts: int,
+    staged: DataFrame | None = None,
+    newest: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Try the latest failure of each item again: staged rows, and new failure rows."""
+    """Try the latest failure of each item again: staged rows, and new failure rows.
+
+    Items that ``staged`` holds have succeeded since and are left alone.
+    """
     again = redrivable(failures, max_attempts).select("uid", "url")
-    return split_outcome(enrich(again, pages))
+    if staged is not None:
+        again = not_yet(again, staged, "uid")
+    return split_outcome(enrich(again, pages, newest=newest))
+
+
+def redrive_job(
+    spark: SparkSession,
+    staged: str,
+    failures: str,
+    pages: DataFrame,
+    batch_id: int,
+    max_attempts: int,
+    newest: str | None = None,
+) -> None:
+    """Redrive the failures and write what came of it as a batch of both tables.
+
+    ``batch_id`` must be a batch of its own; a crashed run is repeated under the same number, and
+    then does not see its own first output.
+    """
+    others = F.col("batch_id") != batch_id
+    done = spark.read.schema("uid string, batch_id long").parquet(staged).where(others)
+    failed = spark.read.schema(T.StructType([*FAILURE.fields, _BATCH])).parquet(failures)
+    ok, bad = redrive(failed.where(others).drop("batch_id"), pages, max_attempts, done, newest)
+    ok, bad = settle(ok, "redriven"), settle(bad, "failed-again")
+    write_batch(ok, staged, batch_id)
+    write_batch(bad, failures, batch_id)
 
 
-def first_delivery(rows: DataFrame, key: str = "uid") -> DataFrame:
-    """One row per key of a written table whose source may deliver a message twice."""
-    return rows.dropDuplicates([key])
+def first_delivery(rows: DataFrame, order: str, key: str = "uid") -> DataFrame:
+    """Of a table whose source may deliver a message twice, the row of each key that came first.
+
+    ``order`` must be unique within a key. Whole rows are compared map-side, none is shuffled twice.
+    """
+    rest = [c for c in rows.columns if c != key]
+    first = F.min_by(F.struct(*rest), F.col(order)).alias("_first")
+    return rows.groupBy(key).agg(first).select(key, "_first.*").select(*rows.columns)

@@ -83,9 +83,9 @@ def test_sorted_index(spark):
 
 def test_shuffle_keeps_rows_and_repeats(spark):
     df = spark.range(200).select((F.col("id") % 5).alias("u"), "id")
-    first = [r["id"] for r in ix.seeded_shuffle(df, "u", 1).collect()]
-    assert first == [r["id"] for r in ix.seeded_shuffle(df, "u", 1).collect()]
-    assert first != [r["id"] for r in ix.seeded_shuffle(df, "u", 2).collect()]
+    first = [r["id"] for r in ix.seeded_shuffle(df, "id", 1).collect()]
+    assert first == [r["id"] for r in ix.seeded_shuffle(df.repartition(5), "id", 1).collect()]
+    assert first != [r["id"] for r in ix.seeded_shuffle(df, "id", 2).collect()]
     assert sorted(first) == list(range(200))
 
 

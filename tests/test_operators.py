@@ -186,7 +186,7 @@ def test_hot_word_of_a_tagged_text_is_split(spark, tiny_partitions, monkeypatch)
     monkeypatch.setattr(gx, "broadcast_if_small", lambda df, limit: df)
     lines = skewed(spark).select(F.xxhash64("body").alias("id"), F.array("url").alias("l"))
     vocab = skewed(spark).select("url")
-    hits = gx.candidate_spans(lines, "id", "l", vocab, "url", 1)
+    hits = gx.candidate_spans(lines, "id", "l", vocab, "url")
     assert hits.count() == 30000
     assert "skew=true" in final_plan(hits)
 
@@ -266,7 +266,7 @@ def test_longest_matches_equal_brute_force(spark, broadcast, monkeypatch):
     ]
     df = spark.createDataFrame(rows, "id long, lines array<string>").repartition(4)
     words = spark.createDataFrame([(v,) for v in vocab], "ingredients string")
-    got = {r["id"]: r["ingredient_tags"] for r in gx.with_tags(df, "id", "lines", words, max_words=3).collect()}
+    got = {r["id"]: r["ingredient_tags"] for r in gx.with_tags(df, "id", "lines", words).collect()}
     assert got == {i: brute_tags(lines, vocab, 3) for i, lines in rows}
 
 
@@ -278,6 +278,14 @@ def test_recipe_lines(spark):
     assert got == {0: ["olive oil", "salt", "salt"], 1: [], 2: [], 3: []}
 
 
+def test_phrases_of_any_length_in_a_long_text(spark):
+    vocab = spark.createDataFrame([("extra virgin olive oil",), ("oil oil",), ("oil",)], "ingredients string")
+    rows = [(0, ["2 cups extra virgin olive oil"]), (1, ["oil " * 100_001])]
+    df = spark.createDataFrame(rows, "id long, lines array<string>")
+    got = {r["id"]: r["ingredient_tags"] for r in gx.with_tags(df, "id", "lines", vocab).collect()}
+    assert got == {0: ["extra virgin olive oil"], 1: ["oil oil"] * 50_000 + ["oil"]}
+
+
 def test_model_is_loaded_in_the_worker(spark):
     def load():
         return lambda texts: [[w for w in t.split() if w.isupper()] for t in texts]

@@ -145,6 +145,8 @@ def test_sinks(spark, tmp_path):
     for _ in range(2):
         kx.write_batch(df, str(tmp_path / "b"), 3)
     assert spark.read.parquet(str(tmp_path / "b")).count() == 10
+    kx.write_batch(df.limit(0), str(tmp_path / "b"), 3)
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 0
 
 
 def test_sources(spark, tmp_path):
