@@ -57,12 +57,12 @@ _DISH = ", ".join(DISH_COLUMNS)
 
 @query(f"{_CLEAN} SELECT {_DISH} FROM o ORDER BY so NULLS LAST, source, dish_id")
 def clean_dataset(spark, d):
-    return cx.process_recipe_nlg(raw_rows(spark, d))
+    return cx.process_recipe_nlg(raw_rows(spark, d), scratch_path(spark, "rejects"))
 
 
 def _export(spark, d):
     out = scratch_path(spark, "export")
-    export(cx.placed_recipe_nlg(raw_rows(spark, d)), out)
+    export(cx.placed_recipe_nlg(raw_rows(spark, d), f"{out}/rejects"), out)
     return out
 
 
@@ -130,6 +130,33 @@ def batch_vocabulary(spark, d):
     return spark.read.parquet(f"{out}/output/unique_ingredients")
 
 
+_BAD = "p_size % 7 = 3"
+
+
+@query(f"""
+SELECT '007' AS spec, row_number() OVER (ORDER BY p_partkey) - 1 AS n, {_LINK.replace("'WWW.'", "'www.'")} AS link,
+  'rejected' AS place FROM part QUALIFY {_BAD}
+UNION ALL SELECT '007', row_number() OVER (ORDER BY p_partkey) - 1, {_LINK.replace("'WWW.'", "'www.'")}, 'kept' FROM part
+QUALIFY NOT ({_BAD}) AND p_type <> 'SMALL' AND p_size <> 9
+""")
+def batch_rejects(spark, d):
+    """A dataset named by digits, with lists that cannot be read: each row is kept or rejected."""
+    directory, out = scratch_path(spark, "raw"), scratch_path(spark, "batch")
+    parts = with_index(table(spark, d, "part"), "p_partkey", "n")
+    bad = parts.where(_BAD).select("n")
+    rows = raw_rows(spark, d).join(bad.withColumn("_bad", F.lit(True)), "n", "left")
+    broken = F.when(F.col("_bad"), F.lit("['never closed")).otherwise(F.col("NER"))
+    named = rows.withColumn("NER", broken).drop("_bad").orderBy("n").withColumnRenamed("n", "row_label")
+    named.write.options(**_CSV).csv(f"{directory}/raw_dataset_007.csv")
+    result = cx.run_batch(
+        spark, directory, f"{out}/processed", f"{out}/output", processors={"007": cx.recipe_nlg}
+    )
+    links = parts.select("n", F.regexp_replace(F.expr(_LINK), "WWW", "www").alias("link"))
+    kept = result.master.select("spec", F.col("dish_id").alias("n"), F.lit("kept").alias("place"))
+    rejected = result.rejects.select("spec", "n", F.lit("rejected").alias("place"))
+    return kept.unionByName(rejected).join(links, "n").select("spec", "n", "link", "place")
+
+
 # Scraped records made of the parts.
 def scraped_rows(spark, d):
     parts = with_index(table(spark, d, "part"), "p_partkey", "n")

@@ -1,10 +1,12 @@
 """Links, labelled links, closure and records of pages."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalogue.registry import query, table, wide_table
 from larder.operators import pages as px
 from larder.operators.recipes import page_record as record_of
+from larder.plans import discover
 
 # The crawled pages carry no ids, so their navigation gets the ones the operators look for.
 _MARKED = "replace(replace(html, '<nav>', '<nav id=\"main-nav\">'), '<ul>', '<ul id=\"alphabetical-list-1\">')"
@@ -55,14 +57,24 @@ def top_links(spark, d):
     return px.top_links(_pages(spark, d), ["page_id"], 2, r"^/[a-z]+$")
 
 
+# Links that stand outside the section and the navigation; neither operator may return them.
+_OUTSIDE = """concat(%s, '<nav id="foot"><a href="/foot">f</a></nav><ul id="list"><li><a href="/list">l</a></ul>',
+  '<div id="alphabetical"><a href="/div">d</a></div><a href="/bare">b</a>')""" % _MARKED
+
+
+def _anchors_and_more(spark, d):
+    marked = wide_table(spark, d, "pages", "page_id", "html").withColumn("html", F.expr(_OUTSIDE))
+    return px.anchors(marked, ["page_id"])
+
+
 @query(f"{_LINKS} SELECT page_id, pos, href FROM l")
 def section_links(spark, d):
-    return px.section_links(_anchors(spark, d)).select("page_id", "pos", "href")
+    return px.section_links(_anchors_and_more(spark, d)).select("page_id", "pos", "href")
 
 
 @query(f"{_LINKS} SELECT page_id, pos, href FROM l")
 def nav_links(spark, d):
-    return px.nav_links(_anchors(spark, d)).select("page_id", "pos", "href")
+    return px.nav_links(_anchors_and_more(spark, d)).select("page_id", "pos", "href")
 
 
 @query("""
@@ -160,3 +172,76 @@ def recipe_record(spark, d):
         F.array_join("ingredients", "|").alias("ingredients"),
         "instructions",
     )
+
+
+def _listing(rows, page, links):
+    """Pages that list the links of their rows in order, after one that is no recipe."""
+    ordered = F.array_sort(F.collect_list(F.struct("p_partkey", links.alias("link"))))
+    anchors = F.transform(ordered, lambda r: F.concat(F.lit('<a href="'), r["link"], F.lit('">x</a>')))
+    html = F.concat(F.lit('<p><a href="/about">About</a></p>'), F.array_join(anchors, ""))
+    return rows.groupBy(page.alias("url")).agg(html.alias("html"))
+
+
+@query("""
+SELECT 'https://www.allrecipes.com/cat/' || p_brand AS page, 'allrecipes' AS site,
+  'https://www.allrecipes.com/recipe/' || p_partkey || '/a-b/' AS url,
+  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::INTEGER AS pos
+FROM part WHERE p_brand <> 'Brand#11'
+""")
+def discover_allrecipes(spark, d):
+    """An A-Z page leads to a page for each brand but one, which is linked outside its section."""
+    parts = table(spark, d, "part").select("p_partkey", "p_brand")
+    recipe = F.concat(F.lit("https://www.allrecipes.com/recipe/"), "p_partkey", F.lit("/a-b/"))
+    brand = F.concat(F.lit("https://www.allrecipes.com/cat/"), "p_brand")
+    link = F.concat(F.lit('<li><a href="'), brand, F.lit('">b</a>'))
+    listed = F.array_join(F.collect_set(F.when(F.col("p_brand") != "Brand#11", link)), "")
+    az = parts.agg(
+        F.concat(
+            F.lit('<ul id="alphabetical-list-1">'), listed,
+            F.lit('</ul><a href="https://www.allrecipes.com/cat/Brand#11">b</a>'),
+        ).alias("html")
+    ).select(F.lit(discover.ALLRECIPES_AZ[0]).alias("url"), "html")
+    pages = _listing(parts, brand, recipe).unionByName(az)
+    return discover.allrecipes_urls(pages).select("page", "site", "url", "pos")
+
+
+@query("""
+WITH l AS (
+  SELECT 'https://www.food.com/size/' || p_size % 5 AS page, p_partkey FROM part
+  UNION ALL SELECT 'https://www.food.com/brand/' || p_brand, p_partkey FROM part WHERE p_brand <> 'Brand#11')
+SELECT page, 'fooddotcom' AS site, 'https://www.food.com/recipe/x-y-' || p_partkey AS url FROM l
+""")
+def discover_fooddotcom(spark, d):
+    """The pages of all sizes are a cycle of labelled links; the navigation has the brands, of
+    which one leads on to a size by its label."""
+    parts = table(spark, d, "part").select("p_partkey", "p_brand", (F.col("p_size") % 5).alias("p_size"))
+    recipe = F.concat(F.lit("https://www.food.com/recipe/x-y-"), "p_partkey")
+    size = F.concat(F.lit("https://www.food.com/size/"), "p_size")
+    brand = F.concat(F.lit("https://www.food.com/brand/"), "p_brand")
+    more = F.concat(F.lit('<a href="'), F.col("to"), F.lit('">See Them All</a>'))
+    sizes = parts.select("p_size").distinct()
+    following = Window.orderBy("p_size")
+    least = sizes.agg(F.min("p_size")).first()[0]
+    step = sizes.select(
+        size.alias("url"),
+        F.concat(
+            F.lit("https://www.food.com/size/"), F.coalesce(F.lead("p_size").over(following), F.lit(least))
+        ).alias("to"),
+    )
+    seed = f"https://www.food.com/size/{least}"
+    label = spark.range(1).select(
+        F.lit("https://www.food.com/brand/Brand#11").alias("url"), F.lit(seed).alias("to")
+    )
+    listed = _listing(parts, size, recipe).unionByName(_listing(parts, brand, recipe))
+    with_more = listed.join(step.unionByName(label), "url", "left").select(
+        "url", F.concat("html", F.coalesce(more, F.lit(""))).alias("html")
+    )
+    link = F.concat(F.lit('<a href="/brand/'), "p_brand", F.lit('">b</a>'))
+    nav = parts.agg(
+        F.concat(
+            F.lit('<nav id="main-nav">'), F.array_join(F.collect_set(link), ""),
+            F.lit('</nav><a href="/size/none">none</a>'),
+        ).alias("html")
+    ).select(F.lit(discover.FOODDOTCOM_NAV).alias("url"), "html")
+    pages = with_more.unionByName(nav)
+    return discover.fooddotcom_urls(pages, seeds=[seed]).select("page", "site", "url")

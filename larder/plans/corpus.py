@@ -25,8 +25,9 @@ from larder.operators.sets import exclude_sources, exclude_urls
 from larder.operators.vocab import unique_ingredients
 from larder.schemas import DISH_COLUMNS
 from larder.session import settle
-from larder.sinks.tables import write_processed, write_table
+from larder.sinks.tables import write_dataset, write_table
 from larder.sources.corpus import discover_specs, land_raw, raw_path, unprocessed
+from larder.sources.tables import read_processed
 
 # Known bad sources and links of the corpus, and the size of the small extract.
 BAD_SOURCES = ["www.cookbooks.com"]
@@ -111,21 +112,28 @@ def interleaved() -> list[Column]:
     return [F.asc_nulls_last("source_order"), F.asc_nulls_last("source"), F.col("dish_id")]
 
 
-def _ordered_dishes(raw: DataFrame, legacy: bool) -> DataFrame:
+REJECT_COLUMNS = ["n", "uid", "dish", "url"]
+
+
+def _ordered_dishes(raw: DataFrame, rejects: str, legacy: bool) -> DataFrame:
     # Settled before the split: a filter on what Python read would read it in Python again.
-    cleaned, _ = split_rejects(settle(clean_raw(raw, legacy), "cleaned"), "bad_list")
+    cleaned, bad = split_rejects(settle(clean_raw(raw, legacy), "cleaned"), "bad_list")
+    write_table(bad.select(*REJECT_COLUMNS), rejects)
     return recipe_nlg(cleaned)
 
 
-def process_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
-    """The dish table of one raw corpus, sources interleaved."""
-    ordered = _ordered_dishes(raw, legacy).orderBy(*interleaved())
+def process_recipe_nlg(raw: DataFrame, rejects: str, legacy: bool = False) -> DataFrame:
+    """The dish table of one raw corpus, sources interleaved.
+
+    Rows whose lists cannot be read are written as a table to the path ``rejects``.
+    """
+    ordered = _ordered_dishes(raw, rejects, legacy).orderBy(*interleaved())
     return wrap_lists(ordered).select(*DISH_COLUMNS)
 
 
-def placed_recipe_nlg(raw: DataFrame, legacy: bool = False) -> DataFrame:
+def placed_recipe_nlg(raw: DataFrame, rejects: str, legacy: bool = False) -> DataFrame:
     """The same table with ``place``, each row's position in that order."""
-    placed = sorted_index(_ordered_dishes(raw, legacy), interleaved(), "place")
+    placed = sorted_index(_ordered_dishes(raw, rejects, legacy), interleaved(), "place")
     return wrap_lists(placed).select(*DISH_COLUMNS, "place")
 
 
@@ -146,7 +154,7 @@ class BatchResult:
 
 def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return read_processed(spark, path)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -188,14 +196,14 @@ def run_batch(
     its first rows, and the vocabularies of both.
 
     The list of dataset names is the only thing brought to the driver. A dataset without a
-    processor is skipped and reported.
+    processor is skipped and reported. Rejected rows are kept in the table ``rejects`` and every
+    dataset that was processed, with rows or without, in the table ``datasets``.
     """
     processors = PROCESSORS if processors is None else processors
-    before = _read_if_there(spark, processed_dir)
+    before = _read_if_there(spark, f"{output_dir}/datasets")
     done = None if before is None else before.select("spec")
     specs = unprocessed(discover_specs(spark, raw_dir), done, reprocess)
     result = BatchResult(processed=[], skipped=[])
-    rejects = []
     options = {} if raw_schema is None else {"schema": raw_schema}
     for spec in sorted(row["spec"] for row in specs.collect()):
         processor = processors.get(spec)
@@ -205,12 +213,12 @@ def run_batch(
         raw = land_raw(spark, raw_path(raw_dir, spec), multi_line=multi_line, **options)
         cleaned = settle(clean_raw(raw, keep=["spec"]), "cleaned")
         good, bad = split_rejects(cleaned, "bad_list")
-        rejects.append(bad.select("spec", "n", "uid", "dish", "url"))
+        write_dataset(bad.select(*REJECT_COLUMNS), f"{output_dir}/rejects", spec)
         placed = sorted_index(processor(good), interleaved(), "place")
-        write_processed(placed, processed_dir)
+        write_dataset(placed, processed_dir, spec)
+        write_dataset(spark.range(1).select(F.now().alias("at")), f"{output_dir}/datasets", spec)
         result.processed.append(spec)
-    for bad in rejects:
-        result.rejects = bad if result.rejects is None else result.rejects.unionByName(bad)
+    result.rejects = _read_if_there(spark, f"{output_dir}/rejects")
     processed = _read_if_there(spark, processed_dir)
     if processed is None:
         return result

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,14 +13,9 @@ from larder.operators.index import head_rows, with_shard
 from larder.sources.tables import page_bucket
 
 
-def write_processed(df: DataFrame, path: str) -> None:
-    """Processed rows by dataset; only the datasets present are replaced."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("spec")
-        .parquet(path)
-    )
+def write_dataset(df: DataFrame, path: str, spec: str) -> None:
+    """One dataset's rows under ``spec=<name>``; they replace its earlier ones, also by no rows."""
+    df.drop("spec").write.mode("overwrite").parquet(f"{path}/spec={quote(spec, safe=' ')}")
 
 
 def write_table(df: DataFrame, path: str, csv: bool = False) -> None:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.sets import union_all
 from larder.operators.sizes import broadcast_if_small
@@ -37,8 +38,10 @@ def one_page(pages: DataFrame, newest: str | None = None, url: str = "url") -> D
 
 
 def read_processed(spark: SparkSession, path: str, spec: str | None = None) -> DataFrame:
-    """Processed tables, or one dataset's by partition pruning."""
-    table = spark.read.parquet(path)
+    """Processed tables, or one dataset's by partition pruning. Names of datasets stay text."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "spec" else f for f in found]
+    table = spark.read.schema(T.StructType(fields)).parquet(path)
     return table if spec is None else table.where(F.col("spec") == spec)
 
 

@@ -89,9 +89,25 @@ def test_batch_run_takes_only_new_datasets(spark, folders):
     assert redone.master.count() == 6
 
 
+def test_names_of_digits_and_datasets_without_a_good_row(spark, tmp_path):
+    raw, processed, output = (str(tmp_path / x) for x in ("raw", "processed", "output"))
+    bad = [RAW[2]]
+    write_raw(raw, "007", RAW)
+    write_raw(raw, "none", bad)
+    both = {"007": cx.recipe_nlg, "none": cx.recipe_nlg}
+    first = cx.run_batch(spark, raw, processed, output, processors=both)
+    assert first.processed == ["007", "none"]
+    assert {r["spec"] for r in first.master.collect()} == {"007"}
+    assert {r["spec"] for r in first.rejects.collect()} == {"007", "none"}
+    assert cx.run_batch(spark, raw, processed, output, processors=both).processed == []
+    write_raw(raw, "007", bad)
+    redone = cx.run_batch(spark, raw, processed, output, reprocess=True, processors=both)
+    assert redone.master.count() == 0 and redone.rejects.count() == 2
+
+
 def test_process_in_one_call(spark, folders):
     landed = rx.land_raw(spark, rx.raw_path(folders[0], "recipeNLG"))
-    dishes = cx.process_recipe_nlg(landed)
+    dishes = cx.process_recipe_nlg(landed, f"{folders[2]}/rejects")
     assert dishes.columns == DISH.fieldNames()
     assert [r["dish_id"] for r in dishes.collect()] == [1, 3, 0, 8, 7]
 
@@ -122,7 +138,7 @@ def test_parquet_positions(spark, tmp_path):
 def test_export(spark, tmp_path, folders):
     landed = rx.land_raw(spark, rx.raw_path(folders[0], "recipeNLG"))
     out = str(tmp_path / "export")
-    counts = export(cx.placed_recipe_nlg(landed), out, test_rows=2)
+    counts = export(cx.placed_recipe_nlg(landed, f"{out}-rejects"), out, test_rows=2)
     assert {(r["source"], r["count"]) for r in counts.collect()} == {("c", 2), ("b.com", 1), ("www.a.com", 1)}
     listed = spark.read.option("header", True).csv(f"{out}/url_dataset").collect()
     assert [r["uid"] for r in listed] == ["missing_1", "cakeniceandbig_3", "pie_0", "secondc_8", "nosource_7"]
