@@ -7,9 +7,9 @@ on: with every component filled, most shingles stop after one point. Two signatu
 component with probability equal to the probability Jaccard similarity of the weighted shingles.
 
 Equal texts are one node. Nodes that share a band of their signature are candidates. A bucket of
-candidates compares all members with one pivot, so no pairs within a group are made. The distance is
-a metric, so what a pivot has told rules out most other pairs; only members that may still be linked
-to another class stay for the next pivot, until every bucket is settled. No bucket is capped.
+candidates compares all members with a pivot, not with each other. The distance is a metric, so what
+a pivot has told rules out most other pairs; only members that may still be linked to another class
+stay for the next pivots, until every bucket is settled. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -184,22 +184,25 @@ def _sets(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _measure(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pivot, node, far`` of the pairs; a pivot of very many pairs is split by the skew join."""
-    with_text = pairs.join(texts, "node")
+    """``pivot, node, far`` of the pairs.
+
+    Pivots are few; their texts are broadcast if they measure small, else joined by shuffle.
+    """
     named = texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+    pivots = settle(named.join(pairs.select("pivot").distinct(), "pivot"), "pivot-texts")
     return settle(
-        with_text.join(named, "pivot").mapInArrow(
-            _distances, "pivot binary, node binary, far double"
-        ),
+        pairs.join(texts, "node")
+        .join(broadcast_if_small(pivots), "pivot")
+        .mapInArrow(_distances, "pivot binary, node binary, far double"),
         "distances",
     )
 
 
-def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, label`` of all nodes with links ``a, b``: the smallest node that each reaches.
 
-    ``labels`` may hold labels of a part of the links already. Each step takes the smallest label
-    around and then the label's label, so chains shrink fast. Only a count comes to the driver.
+    Each step takes the smallest label around and then the label's label, so chains shrink fast.
+    Only a count comes to the driver.
     """
     both = settle(
         links.select("a", "b")
@@ -207,33 +210,20 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         .distinct(),
         "links",
     )
-    nodes = both.select(F.col("a").alias("node")).distinct()
-    if labels is None:
-        labels = nodes.select("node", F.col("node").alias("label"))
-    else:
-        labels = nodes.join(labels, "node", "left").select(
-            "node", F.coalesce("label", "node").alias("label")
-        )
-    labels = settle(labels, "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+    labels = settle(labels.select("node", F.least("node", "near").alias("label")), "labels")
     while True:
         around = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )
-        lowered = settle(
-            labels.join(around, "node", "left").select(
-                "node",
-                F.least("label", F.coalesce("near", "label")).alias("label"),
-                F.col("label").alias("was"),
-            ),
-            "labels",
+        lowered = labels.join(around, "node").select(
+            "node", F.least("label", "near").alias("label"), F.col("label").alias("was")
         )
         jump = lowered.select(F.col("node").alias("label"), F.col("label").alias("further"))
         stepped = settle(
-            lowered.join(jump, "label", "left").select(
-                "node", F.coalesce("further", "label").alias("label"), "was"
-            ),
+            lowered.join(jump, "label").select("node", F.col("further").alias("label"), "was"),
             "labels",
         )
         changed = stepped.where("label != was").limit(1).count()
@@ -242,52 +232,140 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def _verified(members: DataFrame, texts: DataFrame, similar: float) -> DataFrame | None:
-    """``node, label`` of all nodes linked in some bucket; None if there is no link.
+def _relabelled(frame: DataFrame, merged: DataFrame) -> DataFrame:
+    """``frame`` with its labels replaced where ``merged`` (``old, new``) has another."""
+    return frame.join(merged, F.col("label") == F.col("old"), "left").select(
+        *(c for c in frame.columns if c != "label"), F.coalesce("new", "label").alias("label")
+    )
+
 
-    ``members`` has ``bucket, node``. A round measures each bucket's members against one pivot.
-    Afterwards a member outside the pivot's ball stays, and one inside only if the nearest outside
-    member can be within reach of it by the triangle inequality.
-    """
-    reach = 1 - similar
-    labels = links = None
-    active, turn = members, 0
-    while active.limit(1).count():
-        # Later pivots differ between the buckets, so that a round links a class in many ways.
-        key = F.col("node") if turn == 0 else F.xxhash64("bucket", "node")
-        pivot = F.min(F.struct(key.alias("rank"), "node"))["node"]
-        pivots = settle(active.groupBy("bucket").agg(pivot.alias("pivot")), "pivots")
-        placed = settle(active.join(pivots, "bucket"), "placed")
-        pairs = placed.where("node != pivot").select("pivot", "node").distinct()
-        far = _measure(pairs, texts)
-        new = far.where(F.col("far") <= reach).select(
-            F.col("pivot").alias("a"), F.col("node").alias("b")
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = _sets([t.encode() for t in batch["text"].to_pylist()])
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["node"],
+                pa.array([v.view(np.int64) for v, _ in sets], pa.list_(pa.int64())),
+                pa.array([c / max(c.sum(), 1) for _, c in sets], pa.list_(pa.float64())),
+            ],
+            ["node", "shingles", "shares"],
         )
-        links = new if links is None else settle(links.unionByName(new), "all-links")
-        labels = components(links, labels)
-        seen = settle(placed.join(far, ["pivot", "node"]).drop("pivot"), "seen")
-        outside = (
-            seen.where(F.col("far") > reach).groupBy("bucket").agg(F.min("far").alias("nearest"))
+
+
+def _cut_prefix(batches: Iterator[pa.RecordBatch], reach: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prefixes = []
+        for row in batch["common"].to_pylist():
+            shares = np.array([x["share"] for x in row])
+            before = 1 - shares.sum() + np.cumsum(shares) - shares
+            prefixes.append([x["shingle"] for x, m in zip(row, before, strict=True) if m <= reach])
+        yield pa.RecordBatch.from_arrays(
+            [batch["node"], pa.array(prefixes, pa.list_(pa.int64()))], ["node", "prefix"]
         )
-        left = (
-            seen.join(settle(outside, "outside"), "bucket")
-            .where((F.col("far") > reach) | (F.col("far") >= F.col("nearest") - reach))
-            .select("bucket", "node")
+
+
+def _prefixes(texts: DataFrame, reach: float) -> DataFrame:
+    """``node, prefix``: the rarest shingles of a node that a partner must share one of.
+
+    The similarity is at most the share of a node's weight in common shingles. So of two similar
+    nodes the rarest common shingle, rare by the nodes here, comes in either before a weight of more
+    than ``reach`` is passed. Shingles of one node alone come first and cannot be common.
+    """
+    rows = texts.mapInArrow(
+        _shingle_rows, "node binary, shingles array<long>, shares array<double>"
+    )
+    each = settle(
+        rows.select("node", F.explode(F.arrays_zip("shingles", "shares")).alias("s")).select(
+            "node", F.col("s.shingles").alias("shingle"), F.col("s.shares").alias("share")
+        ),
+        "shingles",
+    )
+    common = settle(
+        each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common"
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("n", "shingle", "share")))
+    lists = each.join(common, "shingle").groupBy("node").agg(ordered.alias("common"))
+    return settle(
+        lists.mapInArrow(
+            lambda b: _cut_prefix(b, reach + 1e-9), "node binary, prefix array<long>"
+        ),
+        "prefixes",
+    )
+
+
+def _open(active: DataFrame) -> DataFrame:
+    """The members of buckets that hold several classes."""
+    labels = active.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return active.join(settle(labels.where("low != high").select("bucket"), "open"), "bucket")
+
+
+def _pivots(active: DataFrame, each: int) -> DataFrame:
+    """``bucket, pivot, own``, and the pivot's prefix: nodes that are not of the largest class.
+
+    Of each of so many parts of a bucket, dealt by a hash of the node, the one with the longest
+    prefix: it has the least of its own, and buckets of the same members take the same pivots.
+    """
+    classes = active.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = classes.groupBy("bucket").agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest")
+    )
+    part = F.pmod(F.xxhash64("node"), F.lit(each)).alias("part")
+    least = F.struct((-F.size("prefix")).alias("size"), "node", "label", "prefix")
+    return (
+        active.join(settle(largest, "largest"), "bucket")
+        .where("label != largest")
+        .groupBy("bucket", part)
+        .agg(F.min(least).alias("least"))
+        .select(
+            "bucket",
+            F.col("least.node").alias("pivot"),
+            F.col("least.label").alias("own"),
+            F.col("least.prefix").alias("own_prefix"),
         )
-        left = settle(
-            left.join(labels, "node", "left").select(
-                "bucket", "node", F.coalesce("label", "node").alias("label")
-            ),
-            "left",
+    )
+
+
+def _verified(members: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """``node, label`` of all nodes in buckets: nodes linked over some buckets have one label.
+
+    ``members`` has ``bucket, node``. A round measures each bucket's pivots against its members of
+    other classes: one pivot at first, four times as many in each round for the buckets that still
+    hold several classes. A pivot is then done with. After the first round a pivot and a member meet
+    only if their prefixes do, which spares no pair that could be similar; a member without a
+    prefix is done with. A bucket whose members are of one class is settled.
+    """
+    reach = 1 - similar
+    labels = members.select("node").distinct().withColumn("label", F.col("node"))
+    none = F.array().cast("array<long>").alias("prefix")
+    active = settle(members.select("bucket", "node", none, F.col("node").alias("label")), "active")
+    each, prefixes = 1, None
+    while active.limit(1).count():
+        pivots = settle(_pivots(active, each), "pivots")
+        meet = F.lit(True) if prefixes is None else F.arrays_overlap("prefix", "own_prefix")
+        left, right = active.alias("l"), pivots.alias("r")
+        placed = left.join(
+            right,
+            (F.col("l.bucket") == F.col("r.bucket")) & (F.col("label") != F.col("own")) & meet,
         )
-        open_buckets = (
-            left.groupBy("bucket")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low != high")
-            .select("bucket")
+        pairs = settle(placed.select("pivot", "node", "own", "label").distinct(), "pairs")
+        far = _measure(pairs.select("pivot", "node"), texts)
+        new = (
+            far.where(F.col("far") <= reach)
+            .join(pairs, ["pivot", "node"])
+            .select(F.col("own").alias("a"), F.col("label").alias("b"))
         )
-        active = settle(left.join(settle(open_buckets, "open"), "bucket").drop("label"), "active")
-        turn += 1
+        merged = components(new).select(F.col("node").alias("old"), F.col("label").alias("new"))
+        labels = settle(_relabelled(labels, merged), "node-labels")
+        done = pivots.select("bucket", F.col("pivot").alias("node"))
+        rest = _relabelled(active.join(done, ["bucket", "node"], "left_anti"), merged)
+        active = settle(_open(settle(rest, "left")), "active")
+        if prefixes is None:
+            wanted = broadcast_if_small(settle(active.select("node").distinct(), "wanted"))
+            prefixes = _prefixes(texts.join(wanted, "node"), reach)
+            kept = active.drop("prefix").join(prefixes.where(F.size("prefix") > 0), "node")
+            kept = settle(kept.select("bucket", "node", "prefix", "label"), "left")
+            active = settle(_open(kept), "active")
+        each *= 4
     return labels
 
 
@@ -314,13 +392,12 @@ def _classes(texts: DataFrame, similar: float) -> DataFrame:
     )
     labels = _verified(members, involved, similar)
     own = nodes.select("node", "first")
-    if labels is None:
-        named = own.withColumn("label", F.col("node"))
-    else:
-        named = own.join(labels, "node", "left").select(
+    named = settle(
+        own.join(labels, "node", "left").select(
             "node", "first", F.coalesce("label", "node").alias("label")
-        )
-    named = settle(named, "named")
+        ),
+        "named",
+    )
     order = F.struct(F.col("first").isNull().alias("late"), "first", "node")
     least = settle(named.groupBy("label").agg(F.min(order).alias("least")), "least")
     classes = settle(
