@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import bounded_batches, over_cores, text_or_empty
+from larder.operators.sizes import broadcast_if_small
 from larder.session import settle
 
 RUN_LINES = 3
@@ -96,7 +97,8 @@ def repeated_windows(docs: DataFrame, run: int) -> DataFrame:
         F.min(place("line")).alias("first"), F.max(place("line")).alias("high")
     )
     first = settle(contents.where("first != high").drop("high"), "first-places")
-    later = candidates.join(first, ["fingerprint", "content"]).where(place("line") != F.col("first"))
+    repeated = candidates.join(first, ["fingerprint", "content"])
+    later = repeated.where(place("line") != F.col("first"))
     return later.select("doc_id", "text_hash", "line")
 
 
@@ -142,7 +144,9 @@ def winnow_lines(
     same = texts["doc_id"].eqNullSafe(starts["doc_id"]) & (
         texts["text_hash"] == starts["text_hash"]
     )
-    joined = texts.join(starts, same, "left").select(texts["doc_id"], "text", "starts")
+    # While the places measure small the texts stay where they are.
+    joined = texts.join(broadcast_if_small(starts), same, "left")
+    joined = joined.select(texts["doc_id"], "text", "starts")
     return joined.mapInArrow(
         lambda b: _cut(b, run), "doc_id long, text string, n_lines long, n_deleted long"
     )
