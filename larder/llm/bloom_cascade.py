@@ -186,7 +186,8 @@ def judge_urls(
     )
     lengths = [row["size"] for row in rules.select("size").distinct().orderBy("size").collect()]
     if not lengths:
-        return pages.select("*", F.lit(None).cast("string").alias("rule"), F.lit(otherwise).alias("verdict"))
+        none = F.lit(None).cast("string").alias("rule")
+        return pages.select("*", none, F.lit(otherwise).alias("verdict"))
     keys = rule_keys(F.col("host"), F.col("path"), lengths)
     places = pages.select("host", F.substring("path", 1, max(max(lengths), 1)).alias("path"))
     universe = settle(

@@ -248,7 +248,8 @@ def _with_prediction(docs: DataFrame, model: Model | None, text_col: str) -> Dat
     keyed = docs.select(
         *own, F.lower(text).alias("_text"), text.rlike(r"\p{L}").alias("_letters")
     )
-    schema = "".join(f"{c} {kind}, " for c, kind in keyed.dtypes[:-2]) + "_lang string, _score double"
+    schema = "".join(f"{c} {kind}, " for c, kind in keyed.dtypes[:-2])
+    schema += "_lang string, _score double"
     return over_cores(keyed).mapInArrow(lambda b: _predicted(b, model), schema)
 
 
@@ -261,9 +262,9 @@ def predict(
     Ties go to the first language by name. Repeated rows stay; a null id stays null.
     """
     own = docs.select(F.col(id_col).cast("bigint"), F.col(text_col))
-    return _with_prediction(own, model, own.columns[1]).select(
-        F.col("c0").alias("doc_id"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score")
-    )
+    told = _with_prediction(own, model, own.columns[1])
+    names = {"c0": "doc_id", "_lang": "lang_pred", "_score": "score"}
+    return told.withColumnsRenamed(names).select(*names.values())
 
 
 def known_language(

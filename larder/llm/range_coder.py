@@ -56,10 +56,13 @@ class _Encoder:
     def share(self, bits: int) -> np.ndarray:
         return self.range >> bits
 
-    def take(self, share: np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
-        """Narrow each range to the part of ``own`` shares that begins after ``below`` shares."""
-        self.low += share * below
-        self.range = share * own
+    def take(self, share, below, own, only: np.ndarray | bool = True) -> None:
+        """Narrow each range to the part of ``own`` shares that begins after ``below`` shares.
+
+        Lanes outside ``only`` stay as they are, so a block does not depend on its neighbours.
+        """
+        self.low += share * below * only
+        self.range = np.where(only, share * own, self.range)
         carried = np.flatnonzero(self.low > _MASK)
         if len(carried):
             self.digits[self.at[carried] - 1] += 1
@@ -108,9 +111,9 @@ class _Decoder:
     def place(self, share: np.ndarray, bits: int) -> np.ndarray:
         return np.minimum(self.value // share, (1 << bits) - 1)
 
-    def take(self, share: np.ndarray, below: np.ndarray, own: np.ndarray) -> None:
-        self.value -= share * below
-        self.range = share * own
+    def take(self, share, below, own, only: np.ndarray | bool = True) -> None:
+        self.value -= share * below * only
+        self.range = np.where(only, share * own, self.range)
         short = np.flatnonzero(self.range < 1 << _LOW)
         while len(short):
             at = self.at[short]
@@ -141,8 +144,8 @@ def _coded(coder: _Encoder | _Decoder, lanes: int, steps: int, ids: np.ndarray |
     flat = table.reshape(-1)
     node_base, spare = lane * _NODES, lanes * _NODES
     one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    flag_total, nibble_total = 1 << _FLAG_BITS, _TOTAL
-    out = np.zeros((steps, lanes), np.uint16 if ids is None else np.uint8) if ids is None else None
+    flag_total = 1 << _FLAG_BITS
+    out = np.zeros((steps, lanes), np.uint16) if ids is None else None
     writing = ids is not None
     for step in range(steps):
         at2 = slot_base + (((one * 40503 + two * 30011) >> 4) & (_SLOTS - 1))
@@ -190,9 +193,7 @@ def _coded(coder: _Encoder | _Decoder, lanes: int, steps: int, ids: np.ndarray |
                     start <<= 4
                     tail = true & 15 if writing else np.minimum((place - start) // size, 15)
                     start += tail * size
-                start[~miss] = 0
-                own = np.where(miss, size, nibble_total << (4 * last))
-                coder.take(share, start, own)
+                coder.take(share, start, size, miss)
                 rows += (_TARGETS[nibble] - rows) >> 4
                 table[place_of] = rows
                 value = value * 16 + nibble

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import bounded_batches, over_cores, text_or_empty
 from larder.llm.tokens import word_encoder
+from larder.session import settle
 
 #: Ids of one block of a flat file.
 BLOCK_IDS = 1 << 16
@@ -73,8 +74,6 @@ def write_flat(
     Strings of special tokens are ordinary text here, so no text holds the end id. A null text is
     empty. The names (``file, doc_no, doc_id``) are apart and take no part in counting.
     """
-    from larder.session import settle
-
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint"), text_or_empty(text_col))
     schema = BLOCKS + ", doc_no long, doc_ids array<long>"
@@ -111,7 +110,12 @@ def _ends(batches: Iterator[pa.RecordBatch], end: int, dtype: str) -> Iterator[p
             sizes.append(len(values))
             found.append(np.flatnonzero(values == end).astype(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch[0], batch[1], pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+            [
+                batch[0],
+                batch[1],
+                pa.array(sizes, pa.int64()),
+                pa.array(found, pa.list_(pa.int64())),
+            ],
             ["file", "block", "size", "ends"],
         )
 
@@ -171,8 +175,6 @@ def scan_separators(
     ends in a row make an empty document. Ids after a file's last end are a document that is not
     ``closed``. A null block counts as empty; an empty table gives no rows.
     """
-    from larder.session import settle
-
     bounded_batches(blocks.sparkSession)
     found = settle(
         blocks.select("file", "block", F.coalesce("ids", F.lit(b""))).mapInArrow(
@@ -185,7 +187,7 @@ def scan_separators(
         "block",
         "size",
         F.size("ends").cast("bigint").alias("n"),
-        F.element_at("ends", -1).alias("last"),
+        F.try_element_at("ends", F.lit(-1)).alias("last"),
     )
     known = _before(summary)
     inside = found.select("file", "block", "ends").join(

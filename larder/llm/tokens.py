@@ -19,8 +19,10 @@ import numpy as np
 #: Words a worker remembers; about 200 bytes each. Beyond it the memory starts anew.
 REMEMBERED = 600_000
 #: White space other than the space and the line feed, as any of the engines sees it.
-_ODD_WHITE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　]")
-_RUNS = (" " * 2, "\n\n", " \n", "\n ")
+_ODD_WHITE = re.compile(
+    r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+)
+_RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 def tokenizer_path(name: str) -> str:
