@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 32
-_FIXED = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp"}
+_FIXED = set("boolean tinyint smallint int bigint float double date timestamp".split())
 
 
 def _width(name: str, kind: str) -> Column | None:
@@ -16,10 +16,9 @@ def _width(name: str, kind: str) -> Column | None:
     if kind in ("string", "binary"):
         return F.coalesce(F.octet_length(column), F.lit(0))
     if kind in ("array<string>", "array<binary>"):
-        sizes = F.aggregate(
-            column, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 8
-        )
-        return F.coalesce(sizes, F.lit(0))
+        sizes = F.transform(column, lambda x: F.coalesce(F.octet_length(x), F.lit(0)) + 8)
+        total = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda n, x: n + x)
+        return F.coalesce(total, F.lit(0))
     if kind.startswith("array<") and kind[6:-1] in _FIXED:
         return F.greatest(F.size(column), F.lit(0)) * 8
     return F.lit(0) if kind in _FIXED or kind.startswith("decimal") else None

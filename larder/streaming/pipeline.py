@@ -126,7 +126,8 @@ def stage_batch(
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich(batch.select("uid", "url"), pages, buckets=buckets, newest=newest).persist()
+        messages_of = batch.select("uid", "url")
+        enriched = enrich(messages_of, pages, buckets=buckets, newest=newest).persist()
         try:
             ok, failed = split_outcome(enriched)
             write_batch(ok, staged, batch_id)

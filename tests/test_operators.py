@@ -293,3 +293,15 @@ def test_model_is_loaded_in_the_worker(spark):
     df = spark.createDataFrame([(["1 EGG", "2 cups FLOUR"],), ([],)], "lines array<string>")
     got = df.select(gx.model_tagger(load)(F.col("lines")).alias("t")).collect()
     assert [r["t"] for r in got] == [["egg", "flour"], []]
+
+
+def test_measured_bytes(spark):
+    from larder.operators.sizes import broadcast_if_small, measured_bytes
+
+    rows = [("é" * 1000, bytes(5000), ["ab", None], [1, 2], 3)]
+    kinds = "t string, b binary, a array<string>, n array<long>, i int"
+    df = spark.createDataFrame(rows, kinds)
+    assert measured_bytes(df) == 32 + 2000 + 5000 + 18 + 16
+    assert measured_bytes(df.limit(0)) == 0
+    unknown = spark.createDataFrame([({"k": "v"},)], "m map<string,string>")
+    assert measured_bytes(unknown) is None and broadcast_if_small(unknown) is unknown
