@@ -130,6 +130,22 @@ def batch_vocabulary(spark, d):
     return spark.read.parquet(f"{out}/output/unique_ingredients")
 
 
+@query(f"""
+{_CLEAN},
+m AS (SELECT row_number() OVER (ORDER BY so NULLS LAST, source, dish_id) - 1 AS master_id, ingredients FROM o
+  QUALIFY master_id < 100),
+e AS (SELECT master_id, unnest([1, 2]) AS pos, lower(json_extract_string(ingredients, '$.ingredients[' || (pos - 1) || ']')) AS w FROM m),
+v AS (SELECT w AS ingredients, count(*) AS count, min(master_id * 2 + pos) AS f FROM e GROUP BY w)
+SELECT row_number() OVER (ORDER BY f) - 1 AS ingredients_id, ingredients, count FROM v
+""")
+def batch_vocabulary_small(spark, d):
+    """The vocabulary of the small extract."""
+    directory = _raw_files(spark, d, ["recipeNLG"])
+    out = scratch_path(spark, "batch")
+    cx.run_batch(spark, directory, f"{out}/processed", f"{out}/output", small_rows=100)
+    return spark.read.parquet(f"{out}/output/unique_ingredients_small")
+
+
 _BAD = "p_size % 7 = 3"
 
 

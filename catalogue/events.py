@@ -8,7 +8,7 @@ from larder.operators.tags import tokens
 from larder.functions.lists import parse_py_list
 from larder.schemas import FAILURE, SANITIZED
 from larder.session import scratch_path
-from larder.sources.messages import event_files
+from larder.sources.messages import event_files, read_json_objects
 from larder.streaming import pipeline as sp
 
 
@@ -178,6 +178,20 @@ def first_delivery(spark, d):
     return sp.first_delivery(items, "event_id")
 
 
+@query("SELECT s_suppkey, s_name AS title, s_acctbal AS balance FROM supplier")
+def json_objects(spark, d):
+    """Records of files that hold one JSON object each."""
+    path = scratch_path(spark, "json-objects")
+    rows = table(spark, d, "supplier").withColumn("folder", F.col("s_suppkey"))
+    rows.repartition("folder").write.partitionBy("folder").json(path)
+    record = F.col("record")
+    return read_json_objects(spark, path).select(
+        F.variant_get(record, "$.s_suppkey", "bigint").alias("s_suppkey"),
+        F.variant_get(record, "$.s_name", "string").alias("title"),
+        F.variant_get(record, "$.s_acctbal", "double").alias("balance"),
+    )
+
+
 def _event_files(spark, d):
     """A folder of CSV files per event type; object events name all but the error files, and each
     error event names a file that is not there."""

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from catalogue.registry import query, table
 from larder.operators import index as ix
 from larder.operators.sets import already, not_yet, union_all, union_distinct
+from larder.session import scratch_path
+from larder.sinks import tables as kx
 from larder.sources.corpus import parquet_positions
 
 
@@ -103,6 +105,25 @@ def shards(spark, d):
     return ix.with_shard(row_index(spark, d), "idx", 1000)
 
 
+@query("""
+WITH i AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders)
+SELECT o_orderkey, idx, idx // 1000 + 1 AS shard FROM i
+""")
+def shard_files(spark, d):
+    """The shards as they were written: JSON Lines in a folder each."""
+    path = scratch_path(spark, "shards")
+    kx.write_shards(row_index(spark, d).select("o_orderkey", "idx"), path, "idx", 1000)
+    return spark.read.schema("o_orderkey long, idx long, shard long").json(path)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 700")
+def head_table(spark, d):
+    """The first rows as they were written."""
+    path = scratch_path(spark, "head")
+    kx.write_head(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), path, "o_orderkey", 700)
+    return spark.read.schema("o_orderkey long, o_totalprice double").parquet(path)
+
+
 @query("""
 WITH c AS (SELECT event_type AS file, count(*) AS n FROM events GROUP BY event_type),
 k AS (SELECT file, unnest(range(0, (n + 3) // 4)) AS chunk_no FROM c)
