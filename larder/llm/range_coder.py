@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import bounded_batches, text_or_empty
 from larder.llm.tokens import word_encoder
-from larder.session import scratch_path
+from larder.session import scratch_path, settle
 
 #: Ids of a block, and ids after which a segment ends with its document.
 BLOCK = 4096
@@ -365,9 +365,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         .join(bases, "file")
         .select("file", "segment", (F.col("base") + F.col("here")).alias("base"))
     )
-    found = table.mapInArrow(
-        _documents,
-        "file long, segment long, doc_id long, inside long, n_tokens long, ids_crc32 long",
+    # Written, so that the join decodes the files once.
+    found = settle(
+        table.mapInArrow(
+            _documents,
+            "file long, segment long, doc_id long, inside long, n_tokens long, ids_crc32 long",
+        ),
+        "decoded",
     )
     return found.join(starts, ["file", "segment"]).select(
         "doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
