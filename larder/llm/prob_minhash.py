@@ -15,6 +15,7 @@ stay for the next pivots, until every bucket is settled. No bucket is capped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -142,30 +143,43 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Probability Jaccard of two weighted sets (sorted keys, weights), without estimation."""
+def similarity(
+    a: tuple[np.ndarray, np.ndarray],
+    b: tuple[np.ndarray, np.ndarray],
+    border: float | None = None,
+) -> float:
+    """Probability Jaccard of two weighted sets (sorted keys, weights), without estimation.
+
+    Within 1e-9 of ``border`` the sum is made in whole numbers and rounded once, so a similarity of
+    exactly ``border`` is not told as less.
+    """
     _, left, right = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     if not len(left):
         return 0.0
-    x, y = a[1][left].astype(float), b[1][right].astype(float)
+    x, y = a[1][left].astype(np.int64), b[1][right].astype(np.int64)
     order = np.argsort(y / x, kind="stable")
     x, y, ratio = x[order], y[order], (y / x)[order]
     # Of each shared element: all of x at no larger ratio (its own elements have ratio 0), and all
     # of y at a larger one (its own have ratio infinity).
     upto = np.searchsorted(ratio, ratio, side="right")
-    x_low = np.concatenate([[0.0], np.cumsum(x)])[upto] + (a[1].sum() - x.sum())
-    y_high = b[1].sum() - np.concatenate([[0.0], np.cumsum(y)])[upto]
-    return float(np.sum(1 / (x_low / x + y_high / y)))
+    x_low = np.concatenate([[0], np.cumsum(x)])[upto] + (int(a[1].sum()) - x.sum())
+    y_high = int(b[1].sum()) - np.concatenate([[0], np.cumsum(y)])[upto]
+    found = float(np.sum(1 / (x_low / x + y_high / y)))
+    if border is None or abs(found - border) > 1e-9:
+        return found
+    alike, times = np.unique(np.stack([x, y, x_low, y_high]), axis=1, return_counts=True)
+    terms = zip(*alike.tolist(), times.tolist(), strict=True)
+    return float(sum(Fraction(n * p * q, low * q + high * p) for p, q, low, high, n in terms))
 
 
-def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distances(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left = batch["pivot_text"].dictionary_encode()
         texts = [t.encode() for t in left.dictionary.to_pylist()]
         pivots = _sets(texts)
         others = _sets([t.encode() for t in batch["text"].to_pylist()])
         far = [
-            1 - similarity(pivots[p], other)
+            1 - similarity(pivots[p], other, similar)
             for p, other in zip(left.indices.to_pylist(), others, strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
@@ -183,7 +197,7 @@ def _sets(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _measure(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _measure(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     """``pivot, node, far`` of the pairs.
 
     Pivots are few; their texts are broadcast if they measure small, else joined by shuffle.
@@ -193,7 +207,9 @@ def _measure(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settle(
         pairs.join(texts, "node")
         .join(broadcast_if_small(pivots), "pivot")
-        .mapInArrow(_distances, "pivot binary, node binary, far double"),
+        .mapInArrow(
+            lambda b: _distances(b, similar), "pivot binary, node binary, far double"
+        ),
         "distances",
     )
 
@@ -348,7 +364,7 @@ def _verified(members: DataFrame, texts: DataFrame, similar: float) -> DataFrame
             (F.col("l.bucket") == F.col("r.bucket")) & (F.col("label") != F.col("own")) & meet,
         )
         pairs = settle(placed.select("pivot", "node", "own", "label").distinct(), "pairs")
-        far = _measure(pairs.select("pivot", "node"), texts)
+        far = _measure(pairs.select("pivot", "node"), texts, similar)
         new = (
             far.where(F.col("far") <= reach)
             .join(pairs, ["pivot", "node"])
