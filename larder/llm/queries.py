@@ -16,6 +16,7 @@ from larder.llm.packing import retrieval_pack
 from larder.llm.prob_minhash import near_duplicates
 from larder.llm.range_coder import written_and_read
 from larder.llm.separator_scan import count_tokens
+from larder.llm.source_divergence import source_divergence
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,3 +176,52 @@ from n join g using (t)
 """)
 def op10_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(documents(spark, sf_dir))
+
+
+@query(r"""
+with d as (
+    select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        coalesce(text, '') as text
+    from documents
+), w as (
+    select id, lang, source, translate(unnest(regexp_extract_all(text,
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') as term
+    from d
+), kept as (
+    select lang, term, count(*) as n from w group by all having count(distinct id) >= 10
+), counts as (
+    select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all
+), langs as (
+    select lang, count(*) as v, sum(n)::hugeint as total from kept group by lang
+), groups as (
+    select g.lang, g.source, coalesce(sum(n), 0)::hugeint as total
+    from (select distinct lang, source from d) g left join counts using (lang, source) group by all
+), p as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+        (1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // (g.total + 2 * l.v))::bigint as p,
+        (1 + 1000000000::hugeint * (k.n + 2) // (l.total + 2 * l.v))::bigint as q
+    from groups g join langs l using (lang) join kept k using (lang)
+        left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), pairs as (
+    select a.lang, a.source, b.source as item, 0::bigint as value
+    from groups a join groups b using (lang)
+    where a.source <> b.source and a.lang not in (select lang from langs)
+    union all
+    select a.lang, a.source, b.source,
+        sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::bigint
+    from p a join p b using (lang, term) where a.source <> b.source group by all
+), terms as (
+    select lang, source, term as item, (p - q) * (p - q) // (p + q) as value
+    from p where n > 0 and p > q
+), ranked as (
+    select lang, source, 'pair' as part, item, value, row_number() over (
+        partition by lang, source order by value desc, item)::int as rank from pairs
+    union all
+    select lang, source, 'term' as part, item, value, row_number() over (
+        partition by lang, source order by value desc, item)::int as rank from terms
+)
+select * from ranked where part = 'pair' or rank <= 10
+""")
+def op12_gustavson_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))
