@@ -1,4 +1,4 @@
-"""Runs of letters of large texts, split piece by piece at C speed."""
+"""Large texts split into runs of letters or words part by part, at C speed."""
 
 from __future__ import annotations
 
@@ -13,15 +13,20 @@ _TABLE = bytes(
 PIECE_BYTES = 1 << 20
 
 
-def letter_runs(text: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
-    """Runs of ASCII letters (A-Z lower-cased) and bytes from 128 up, some ``size`` bytes at once.
+def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
+    """The text in parts of some ``size`` bytes, each but the last ending before a space.
 
-    Pieces end between runs, so no run is cut; a longer run is a piece of its own.
+    A longer stretch without a space is a part of its own.
     """
-    text = text.translate(_TABLE)
     low = 0
     while low < len(text):
         high = text.find(b" ", low + size)
         high = len(text) if high < 0 else high
-        yield text[low:high].split()
+        yield text[low:high]
         low = high
+
+
+def letter_runs(text: bytes, size: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """Runs of ASCII letters (A-Z lower-cased) and bytes from 128 up, part by part; none is cut."""
+    for piece in pieces(text.translate(_TABLE), size):
+        yield piece.split()

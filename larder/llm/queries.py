@@ -16,6 +16,7 @@ from larder.llm.packing import retrieval_pack
 from larder.llm.prob_minhash import near_duplicates
 from larder.llm.range_coder import written_and_read
 from larder.llm.separator_scan import count_tokens
+from larder.llm.sim_hash import sim_hash_classes
 from larder.llm.source_divergence import source_divergence
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -225,3 +226,8 @@ select * from ranked where part = 'pair' or rank <= 10
 """)
 def op12_gustavson_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(documents(spark, sf_dir))
+
+
+@query()
+def op13_pigeonring_sim_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sim_hash_classes(documents(spark, sf_dir))
