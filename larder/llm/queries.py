@@ -18,6 +18,7 @@ from larder.llm.range_coder import written_and_read
 from larder.llm.separator_scan import count_tokens
 from larder.llm.sim_hash import sim_hash_classes
 from larder.llm.source_divergence import source_divergence
+from larder.llm.spelling_trie import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -231,3 +232,8 @@ def op12_gustavson_source_divergence(spark: SparkSession, sf_dir: str) -> DataFr
 @query()
 def op13_pigeonring_sim_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sim_hash_classes(documents(spark, sf_dir))
+
+
+@query()
+def op11_trie_pair_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
