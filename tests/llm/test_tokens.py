@@ -118,9 +118,14 @@ def test_retrieval_ranks_the_same_topic_first():
     from larder.llm.packing import Index
 
     ids = [np.array(x) for x in ([1, 2, 3, 9], [4, 5, 6, 9], [1, 2, 3, 3, 9], [4, 5, 9], [7, 9])]
-    index = Index(ids)
-    assert index.ranked(0, np.array([False, True, True, True, True]))[0] == 2
-    assert index.ranked(1, np.array([True, False, True, True, True]))[0] == 3
+    pairs = [np.unique(x, return_counts=True) for x in ids]
+    found = np.bincount(np.concatenate([terms for terms, _ in pairs]), minlength=10)
+    idf, lengths = np.log(1 + (5 - found + 0.5) / (found + 0.5)), [len(x) for x in ids]
+    index = Index([t for t, _ in pairs], [c for _, c in pairs], lengths, idf, np.mean(lengths))
+    for seed, nearest in ((0, 2), (1, 3), (2, 0)):
+        scores = index.scores(pairs[seed][0])
+        scores[seed] = -1
+        assert scores.argmax() == nearest
 
 
 def test_null_texts_pack_to_the_end_id(spark):
