@@ -8,8 +8,11 @@ from larder.operators.tags import tokens
 from larder.functions.lists import parse_py_list
 from larder.schemas import FAILURE, SANITIZED
 from larder.session import scratch_path
+from larder.sinks.commits import commit_batch, read_committed
+from larder.sinks.tables import write_pages
 from larder.sources.messages import event_files, read_json_objects
 from larder.streaming import pipeline as sp
+from larder.streaming import retries as rt
 
 
 def _url_files(spark, d):
@@ -33,16 +36,23 @@ def _page_records(spark, d):
     )
 
 
-def _run(spark, rows, work):
-    run = sp.start(rows, work, scratch_path(spark, "progress"), backfill=True)
+def _page_table(spark, d, pages):
+    """The records laid out for lookups by URL."""
+    path = scratch_path(spark, "pages")
+    write_pages(pages, path, buckets=16)
+    return spark.read.schema(pages.schema).parquet(path)
+
+
+def _run(spark, rows, work, progress=None):
+    run = sp.start(rows, work, progress or scratch_path(spark, "progress"), backfill=True)
     run.awaitTermination()
 
 
 def _stage(spark, d):
     out = scratch_path(spark, "staged")
-    rows = sp.url_files(spark, _url_files(spark, d))
-    _run(spark, rows, sp.stage_batch(_page_records(spark, d), f"{out}/ok", f"{out}/failed"))
-    return f"{out}/ok", f"{out}/failed"
+    pages = _page_table(spark, d, _page_records(spark, d))
+    _run(spark, sp.url_files(spark, _url_files(spark, d)), sp.stage_batch(pages, out))
+    return out
 
 
 @query("""
@@ -51,8 +61,7 @@ SELECT 'u' || event_id AS uid, 'https://x.com/' || user_id AS url, s_name AS tit
 FROM events JOIN supplier ON s_suppkey = user_id
 """)
 def stream_stage(spark, d):
-    ok, _ = _stage(spark, d)
-    return spark.read.schema(SANITIZED).parquet(ok).select(
+    return read_committed(spark, _stage(spark, d), "staged", SANITIZED).select(
         "uid",
         "url",
         "title",
@@ -68,8 +77,8 @@ SELECT 'u' || event_id AS uid, 'https://x.com/' || user_id AS url, 404::BIGINT A
 FROM events WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = user_id)
 """)
 def stream_failures(spark, d):
-    _, failed = _stage(spark, d)
-    return spark.read.schema(FAILURE).parquet(failed).select("uid", "url", "status_code")
+    failed = read_committed(spark, _stage(spark, d), "failed", FAILURE)
+    return failed.select("uid", "url", "status_code")
 
 
 @query(r"""
@@ -79,12 +88,11 @@ k AS (SELECT coalesce(string_agg(w, '|' ORDER BY pos), '') AS tags FROM l WHERE
 SELECT 'u' || event_id AS uid, s_name AS title, tags FROM k, events JOIN supplier ON s_suppkey = user_id
 """)
 def stream_tags(spark, d):
-    ok, _ = _stage(spark, d)
-    out = scratch_path(spark, "tagged")
+    staged, out = _stage(spark, d), scratch_path(spark, "tagged")
     words = F.explode(tokens(F.col("text")))
     vocab = table(spark, d, "benchmark").select(words.alias("ingredients")).distinct()
-    _run(spark, sp.staged_files(spark, ok, SANITIZED), sp.tag_batch(vocab, out))
-    tagged = spark.read.schema(SANITIZED).parquet(out)
+    _run(spark, sp.staged_batches(spark, staged), sp.tag_batch(vocab, staged, out))
+    tagged = read_committed(spark, out, "tagged", SANITIZED)
     return tagged.select("uid", "title", F.array_join("ingredient_tags", "|").alias("tags"))
 
 
@@ -94,24 +102,29 @@ SELECT 'u' || event_id AS key, '{"uid":"u' || event_id || '","url":"https://x.co
 def stream_messages(spark, d):
     out = scratch_path(spark, "messages")
     _run(spark, sp.url_files(spark, _url_files(spark, d)), sp.fan_out_batch(out))
-    return spark.read.schema("key string, value string").parquet(out).select("key", "value")
+    return read_committed(spark, out, "messages", "key string, value string").drop("batch_id")
 
 
 @query("""
-WITH c AS (SELECT event_type AS part, count(*) AS n FROM events GROUP BY event_type),
+WITH c AS (SELECT event_type || '-' || user_id % 16 AS part, count(*) AS n FROM events GROUP BY part),
 k AS (SELECT part, unnest(range(0, (n + 3) // 4)) AS chunk_no FROM c)
 SELECT part, chunk_no, chunk_no * 4 + 1 AS start_index, 4::BIGINT AS nrows FROM k
 """)
 def stream_manifest(spark, d):
+    """Files of the events of a type and some users arrive, some in each micro-batch."""
     path, out = scratch_path(spark, "urls"), scratch_path(spark, "manifest")
-    # A folder per event type stands for a file, and all of it arrives at once.
-    table(spark, d, "events").select(
-        F.col("event_id").alias("uid"), F.col("props").alias("url"), F.col("event_type").alias("part")
-    ).write.partitionBy("part").option("header", True).csv(path)
-    rows = sp.url_files(spark, path, "uid string, url string, part string", files_per_batch=1_000_000)
-    _run(spark, rows, sp.manifest_batch(out, file="part"))
-    made = spark.read.schema("part string, chunk_no long, start_index long, nrows long").parquet(out)
-    return made.select("part", "chunk_no", "start_index", "nrows")
+    events = table(spark, d, "events").select(
+        F.col("event_id").alias("uid"),
+        F.col("props").alias("url"),
+        F.concat_ws("-", "event_type", F.col("user_id") % 16).alias("part"),
+    )
+    events.repartition("part").write.partitionBy("part").option("header", True).csv(path)
+    _run(spark, sp.url_files(spark, path), sp.manifest_batch(out))
+    made = read_committed(
+        spark, out, "manifest", "file string, chunk_no long, start_index long, nrows long"
+    )
+    part = F.regexp_extract("file", "/part=([^/]+)/", 1).alias("part")
+    return made.select(part, "chunk_no", "start_index", "nrows")
 
 
 @query("""
@@ -142,10 +155,10 @@ def redrive_twice(spark, d):
         F.concat(F.lit("https://x.com/"), "user_id").alias("url"),
     )
     pages = _page_records(spark, d)
-    sp.stage_batch(pages.limit(0), f"{out}/ok", f"{out}/failed")(rows, 0)
+    sp.stage_batch(pages.limit(0), out)(rows, 0)
     for batch_id in (1, 2):
-        sp.redrive_job(spark, f"{out}/ok", f"{out}/failed", pages, batch_id, 14)
-    staged = spark.read.schema(SANITIZED).parquet(f"{out}/ok")
+        sp.redrive_job(spark, out, pages, batch_id, 14)
+    staged = read_committed(spark, out, "staged", SANITIZED)
     return staged.groupBy("uid", "url", "title").agg(F.count(F.lit(1)).alias("deliveries"))
 
 
@@ -163,12 +176,72 @@ def stage_replay(spark, d):
     pages = _page_records(spark, d)
     twice = pages.unionByName(pages.withColumn("title", F.lit("an older crawl")))
     for known in (pages, pages.limit(0), twice):
-        sp.stage_batch(known, f"{out}/ok", f"{out}/failed")(rows, 0)
-    ok = spark.read.schema(SANITIZED).parquet(f"{out}/ok").select("uid", F.lit("staged").alias("place"))
-    failed = spark.read.schema(FAILURE).parquet(f"{out}/failed")
+        sp.stage_batch(known, out)(rows, 0)
+    ok = read_committed(spark, out, "staged", SANITIZED).select("uid", F.lit("staged").alias("place"))
+    failed = read_committed(spark, out, "failed", FAILURE)
     return ok.unionByName(failed.select("uid", F.lit("failed").alias("place")))
 
 
+@query("""
+SELECT 'u' || event_id AS uid, 'https://x.com/' || user_id AS url, 1::BIGINT AS deliveries FROM events
+""")
+def stream_unrepeated(spark, d):
+    """Every message is delivered twice, the second time after a restart; each is handled once."""
+    urls, out, progress = (scratch_path(spark, x) for x in ("urls", "unrepeated", "progress"))
+    messages = table(spark, d, "events").select(
+        F.concat(F.lit("u"), "event_id").alias("uid"),
+        F.concat(F.lit("https://x.com/"), "user_id").alias("url"),
+    )
+
+    def work(batch, batch_id):
+        commit_batch(spark, out, batch_id, messages=batch.select("uid", "url"))
+
+    for _ in range(2):
+        messages.write.mode("append").option("header", True).csv(urls)
+        _run(spark, sp.unrepeated(sp.url_files(spark, urls)), work, progress)
+    sent = read_committed(spark, out, "messages", "uid string, url string")
+    return sent.groupBy("uid", "url").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
+@query("""
+WITH i AS (SELECT DISTINCT user_id FROM events),
+t AS (SELECT user_id, s_suppkey IS NOT NULL AS known, user_id % 3 AS kind FROM i LEFT JOIN supplier ON s_suppkey = user_id)
+SELECT 'u' || user_id AS uid, CASE WHEN known AND kind < 2 THEN 'staged' ELSE 'gave up' END AS outcome,
+  CASE WHEN known AND kind = 0 THEN 0 WHEN known AND kind = 1 THEN 1 ELSE 3 END::BIGINT AS failures
+FROM t
+""")
+def stream_retries(spark, d):
+    """Pages of some items are there at once, of some after the first attempt, of the others never."""
+    urls, out = scratch_path(spark, "urls"), scratch_path(spark, "retries")
+    users = table(spark, d, "events").select("user_id").distinct()
+    named = users.select(
+        F.concat(F.lit("u"), "user_id").alias("uid"),
+        F.concat(F.lit("https://x.com/"), "user_id").alias("url"),
+    )
+    named.write.option("header", True).csv(urls)
+    pages = _page_records(spark, d)
+    kind = F.substring_index("url", "/", -1).cast("bigint") % 3
+    crawls = [_page_table(spark, d, pages.where(kind <= last)) for last in (0, 1)]
+
+    def lookup(batch):
+        first, later = batch.where("attempt = 1"), batch.where("attempt > 1")
+        found = [sp.enrich(b, c, keep=["attempt"]) for b, c in zip((first, later), crawls, strict=True)]
+        return found[0].unionByName(found[1])
+
+    rows = rt.attempts(sp.url_files(spark, urls), out, first=0.2, longest=0.5)
+    work = rt.attempt_batch(lookup, out, max_attempts=3)
+    run = sp.start(rows, work, scratch_path(spark, "progress"), wait="200 milliseconds")
+    rt.drain(run, spark, out, max_attempts=3, seconds=600)
+    failed = read_committed(spark, out, "failed", rt.FAILED_ATTEMPT)
+    count = failed.groupBy("uid").agg(F.count(F.lit(1)).alias("failures"))
+    ok = read_committed(spark, out, "staged", SANITIZED).select("uid", F.lit("staged").alias("outcome"))
+    return ok.join(count, "uid", "full").select(
+        "uid",
+        F.coalesce("outcome", F.lit("gave up")).alias("outcome"),
+        F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"),
+    )
+
+
 @query("""
 SELECT 'u' || user_id AS uid, arg_min(props, event_id) AS props, min(event_id) AS event_id
 FROM events GROUP BY user_id

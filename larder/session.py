@@ -56,3 +56,12 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Keep the state of streams in RocksDB, whose size is not bound by memory.
+
+    Timers need it. To be set before a query starts; one restarted keeps to its checkpoint's store.
+    """
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)

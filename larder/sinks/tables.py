@@ -70,18 +70,30 @@ def write_messages(df: DataFrame, path: str, key: str) -> None:
     messages(df, key).write.mode("append").json(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch as its own partition. Writing a batch again replaces it, also by no rows."""
-    stamped = df.drop("batch_id").withColumn("ingest_ts", F.unix_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def write_pages(pages: DataFrame, path: str, buckets: int, url: str = "url") -> None:
-    """Pages in folders by URL hash, so that a lookup of some URLs reads only their folders.
+def write_pages(
+    pages: DataFrame,
+    path: str,
+    buckets: int,
+    url: str = "url",
+    row_group_bytes: int = 32 << 20,
+) -> None:
+    """Pages laid out for lookups by URL, see ``pages_for``.
 
-    Pages are dealt out by folder first, so a folder gets a few files, not one of every task; a
-    folder of very many pages is split by the rebalancing.
+    They lie in folders by a hash of the URL, sorted by URL in every file, with a Bloom filter on it
+    for each row group, so a lookup opens few folders, in them few row groups and in these few
+    pages of the file. The folder names tell how many folders there are. Pages are dealt out by
+    folder first, so a folder gets a few files, not one of every task; a folder of very many pages
+    is split by the rebalancing. Pages without a URL are kept but never found.
     """
     bucketed = pages.withColumn("url_bucket", page_bucket(F.col(url), buckets))
-    dealt = bucketed.hint("rebalance", "url_bucket")
-    dealt.write.mode("overwrite").partitionBy("url_bucket").parquet(path)
+    dealt = bucketed.hint("rebalance", "url_bucket").sortWithinPartitions("url_bucket", url)
+    (
+        dealt.write.mode("overwrite")
+        .partitionBy("url_bucket")
+        .option(f"parquet.bloom.filter.enabled#{url}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
+        # Without a dictionary, which would stand in for the filter, the filter is always written.
+        .option(f"parquet.enable.dictionary#{url}", "false")
+        .option("parquet.block.size", str(row_group_bytes))
+        .parquet(path)
+    )

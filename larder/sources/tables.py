@@ -50,27 +50,49 @@ def read_all(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return union_all([spark.read.parquet(p) for p in paths])
 
 
-def page_bucket(url: Column, buckets: int) -> Column:
-    """Folder a page is stored under, see ``write_pages``."""
-    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+#: URLs a lookup names to the scan one by one; their texts stay well under a megabyte.
+LOOKUP_URLS = 4096
 
 
-def pages_for(
-    urls: DataFrame, pages: DataFrame, buckets: int | None = None, url: str = "url"
-) -> DataFrame:
-    """The pages whose URL occurs in ``urls``.
+def page_bucket(url: Column, buckets: int | Column) -> Column:
+    """Folder a page is stored under, see ``write_pages``: its number and how many there are."""
+    count = F.lit(buckets) if isinstance(buckets, int) else buckets
+    number = F.pmod(F.xxhash64(url), count)
+    return F.concat(number.cast("string"), F.lit("of"), count.cast("string"))
 
-    While the distinct URLs measure small they are broadcast and the pages are neither shuffled
-    nor kept; beyond that both sides meet by a shuffle on the URL. With ``buckets``, the number
-    ``write_pages`` was given, only the folders of those URLs are read.
+
+def bucket_count(pages: DataFrame) -> int | None:
+    """How many folders ``write_pages`` dealt the pages to; None for other tables and empty ones."""
+    if "url_bucket" not in pages.columns:
+        return None
+    row = pages.select("url_bucket").where(F.col("url_bucket").isNotNull()).first()
+    return None if row is None else int(row[0].rsplit("of", 1)[1])
+
+
+def pages_for(urls: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+    """The pages whose URL occurs in ``urls``; null and empty URLs have none.
+
+    Up to ``LOOKUP_URLS`` distinct URLs are named to the scan. Of a table of ``write_pages``, which
+    tells the number of its folders itself, only their folders are listed and read, and in these
+    only row groups whose statistics and Bloom filter can hold one of them. More URLs are broadcast
+    while they measure small, and the folders still pruned by what was broadcast; beyond that both
+    sides meet by a shuffle on the URL.
     """
     wanted = urls.select(url).where(F.col(url) > "").distinct()
+    buckets = bucket_count(pages)
     on = [url]
     if buckets is not None:
         wanted = wanted.withColumn("url_bucket", page_bucket(F.col(url), buckets))
         on = ["url_bucket", url]
-    wanted = broadcast_if_small(settle(wanted, "wanted"))
-    return pages.join(wanted.where(F.col(url) > ""), on, "left_semi").drop("url_bucket")
+    wanted = settle(wanted, "wanted")
+    named = wanted.limit(LOOKUP_URLS + 1).collect()
+    if len(named) <= LOOKUP_URLS:
+        asked = F.lit(True)
+        for column in on:
+            asked = asked & F.col(column).isin(sorted({row[column] for row in named}))
+        return pages.where(asked).drop("url_bucket")
+    small = broadcast_if_small(wanted)
+    return pages.join(small.where(F.col(url) > ""), on, "left_semi").drop("url_bucket")
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """URL files to staged records to tagged records, with failures kept for redrive.
 
-Two queries with a checkpoint each: ``stage`` and ``tag``. A micro-batch writes its own
-``batch_id`` partition, so a batch that is run again after a crash replaces its earlier output.
+Two queries with a checkpoint each: ``stage`` and ``tag``. A micro-batch commits its tables at once,
+see ``larder.sinks.commits``; a batch that is run again after a crash replaces its earlier output.
 """
 
 from __future__ import annotations
@@ -19,15 +19,23 @@ from larder.operators.records import overlay, sanitize
 from larder.operators.recipes import page_record
 from larder.operators.sets import not_yet
 from larder.operators.tags import PhraseTable, phrase_table, with_tags
-from larder.schemas import FAILURE, URL_LIST
-from larder.session import settle
-from larder.sinks.tables import messages, write_batch
+from larder.schemas import FAILURE, SANITIZED, URL_LIST
+from larder.session import keep_state_on_disk, settle
+from larder.sinks.commits import (
+    commit,
+    commit_batch,
+    commit_stream,
+    committed_rows,
+    read_committed,
+)
+from larder.sinks.tables import messages
 from larder.sources.tables import one_page, pages_for
 
 # Files per micro-batch and wait, as the scraping and the tagging step take them.
 STAGE_FILES, TAG_FILES, WAIT = 40, 10, "20 seconds"
+# Fixed value: how long the queue keeps a message and may deliver it again.
+RETENTION = "6 days"
 NO_PAGE_STATUS = 404
-_BATCH = T.StructField("batch_id", T.LongType())
 
 
 def url_files(
@@ -36,7 +44,7 @@ def url_files(
     schema: T.StructType = URL_LIST,
     files_per_batch: int = STAGE_FILES,
 ) -> DataFrame:
-    """Arriving ``.csv`` files of URL messages, with the file each row came from."""
+    """Arriving ``.csv`` files of URL messages, with each row's file and the time that came."""
     return (
         spark.readStream.schema(schema)
         .option("header", True)
@@ -44,19 +52,30 @@ def url_files(
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(directory)
-        .withColumn("file", F.col("_metadata.file_path"))
+        .withColumns(
+            {"file": F.col("_metadata.file_path"), "arrived": F.col("_metadata.file_modification_time")}
+        )
     )
 
 
-def staged_files(
-    spark: SparkSession, directory: str, schema: T.StructType, files_per_batch: int = TAG_FILES
+def staged_batches(
+    spark: SparkSession, root: str, batches_at_once: int = TAG_FILES
 ) -> DataFrame:
-    """Arriving staged batches."""
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(directory)
-    )
+    """The commits of staged batches as they arrive, for ``tag_batch``."""
+    return commit_stream(spark, root, batches_at_once)
+
+
+def unrepeated(rows: DataFrame, keep: str = RETENTION, key: str = "uid") -> DataFrame:
+    """Of a stream of messages each delivered once or more, the first delivery of each.
+
+    The keys delivered are kept as state until ``keep`` has passed since they came, by the time
+    their file arrived; that is as long as the queue delivers a message again. A message without a
+    key is known by its URL. The state is part of the checkpoint, so a restart does not forget it.
+    """
+    keep_state_on_disk(rows.sparkSession)
+    named = F.coalesce(F.nullif(F.col(key), F.lit("")), F.concat(F.lit("url "), F.col("url")))
+    keyed = rows.withColumn("_key", named).withWatermark("arrived", keep)
+    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def start(
@@ -82,7 +101,6 @@ def enrich(
     rows: DataFrame,
     pages: DataFrame,
     keep: Sequence[str] = (),
-    buckets: int | None = None,
     newest: str | None = None,
 ) -> DataFrame:
     """Messages with the record of their page laid over them, sanitized.
@@ -93,7 +111,7 @@ def enrich(
     ``status_code`` is null for a hit, else says why there is none; ``keep`` names columns that are
     not part of the message.
     """
-    found = one_page(settle(pages_for(rows, pages, buckets), "crawls"), newest)
+    found = one_page(settle(pages_for(rows, pages), "crawls"), newest)
     if "html" in found.columns:
         found = page_record(found)
     found = settle(found.withColumn("_hit", F.lit(True)), "found")
@@ -113,45 +131,45 @@ def split_outcome(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage_batch(
-    pages: DataFrame,
-    staged: str,
-    failures: str,
-    buckets: int | None = None,
-    newest: str | None = None,
+    pages: DataFrame, out: str, newest: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Work of the first query: enrich, sanitize, write good rows and failures apart.
+    """Work of the first query: enrich, sanitize, commit the tables ``staged`` and ``failed``.
 
-    One bad message never stops the others. The batch is joined once: its rows are kept while the
-    two tables are written.
+    One bad message never stops the others. The batch is looked up once and written, so both tables
+    tell of the same lookup.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        messages_of = batch.select("uid", "url")
-        enriched = enrich(messages_of, pages, buckets=buckets, newest=newest).persist()
-        try:
-            ok, failed = split_outcome(enriched)
-            write_batch(ok, staged, batch_id)
-            write_batch(failed, failures, batch_id)
-        finally:
-            enriched.unpersist()
+        enriched = enrich(batch.select("uid", "url"), pages, newest=newest)
+        ok, failed = split_outcome(settle(enriched, "enriched"))
+        commit_batch(batch.sparkSession, out, batch_id, staged=ok, failed=failed)
 
     return work
 
 
-def tag_batch(vocab: DataFrame | PhraseTable, out: str) -> Callable[[DataFrame, int], None]:
-    """Work of the second query: tag the ingredients of staged rows.
+def tag_batch(
+    vocab: DataFrame | PhraseTable, staged: str, out: str
+) -> Callable[[DataFrame, int], None]:
+    """Work of the second query: tag the ingredients of newly committed batches of ``staged``.
 
-    The vocabulary's phrases are prepared once, not per batch. Where the scratch folder expires,
-    pass a ``PhraseTable`` of a frame that stays.
+    A staged batch becomes a batch of the same number of the table ``tagged``, so one that was
+    committed anew is tagged anew and replaces its rows. The vocabulary's phrases are prepared once,
+    not per batch. Where the scratch folder expires, pass a ``PhraseTable`` of a frame that stays.
     """
     known = vocab if isinstance(vocab, PhraseTable) else phrase_table(vocab)
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("batch_id", "ingest_ts", "ingredient_tags")
+    def work(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        commits = settle(batch, "commits")
+        # One row for each of the batches taken at once.
+        ids = sorted({row["batch_id"] for row in commits.select("batch_id").collect()})
+        if not ids:
+            return
+        rows = committed_rows(spark, staged, "staged", SANITIZED, commits).drop("ingredient_tags")
         # A uid may be delivered twice, so rows get a number of their own, fixed by writing it.
         rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "untagged")
         tagged = with_tags(rows, "_row", "ingredients", known)
-        write_batch(tagged.drop("_row"), out, batch_id)
+        commit(spark, out, {"tagged": tagged.drop("_row")}, ids)
 
     return work
 
@@ -169,10 +187,11 @@ def fan_out(
 
 
 def fan_out_batch(out: str, key: str = "uid") -> Callable[[DataFrame, int], None]:
-    """Each row as a JSON message."""
+    """Each row as a JSON message of the table ``messages``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        write_batch(messages(batch.drop("file"), key), out, batch_id)
+        sent = messages(batch.drop("file", "arrived"), key)
+        commit_batch(batch.sparkSession, out, batch_id, messages=sent)
 
     return work
 
@@ -180,10 +199,10 @@ def fan_out_batch(out: str, key: str = "uid") -> Callable[[DataFrame, int], None
 def manifest_batch(
     out: str, size: int = 4, file: str = "file"
 ) -> Callable[[DataFrame, int], None]:
-    """The chunk manifest of each arriving file."""
+    """The chunk manifest of each arriving file, table ``manifest``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        write_batch(file_manifest(batch, size, file), out, batch_id)
+        commit_batch(batch.sparkSession, out, batch_id, manifest=file_manifest(batch, size, file))
 
     return work
 
@@ -207,25 +226,24 @@ def redrive(
 
 def redrive_job(
     spark: SparkSession,
-    staged: str,
-    failures: str,
+    out: str,
     pages: DataFrame,
     batch_id: int,
     max_attempts: int,
     newest: str | None = None,
 ) -> None:
-    """Redrive the failures and write what came of it as a batch of both tables.
+    """Redrive the failures and commit what came of it as a batch of ``staged`` and ``failed``.
 
     ``batch_id`` must be a batch of its own; a crashed run is repeated under the same number, and
     then does not see its own first output.
     """
     others = F.col("batch_id") != batch_id
-    done = spark.read.schema("uid string, batch_id long").parquet(staged).where(others)
-    failed = spark.read.schema(T.StructType([*FAILURE.fields, _BATCH])).parquet(failures)
-    ok, bad = redrive(failed.where(others).drop("batch_id"), pages, max_attempts, done, newest)
-    ok, bad = settle(ok, "redriven"), settle(bad, "failed-again")
-    write_batch(ok, staged, batch_id)
-    write_batch(bad, failures, batch_id)
+    done = read_committed(spark, out, "staged", "uid string").where(others)
+    failed = read_committed(spark, out, "failed", FAILURE).where(others)
+    ok, bad = redrive(failed.drop("batch_id"), pages, max_attempts, done, newest)
+    commit_batch(
+        spark, out, batch_id, staged=settle(ok, "redriven"), failed=settle(bad, "failed-again")
+    )
 
 
 def first_delivery(rows: DataFrame, order: str, key: str = "uid") -> DataFrame:

@@ -2,6 +2,8 @@
 
 import json
 import random
+import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from larder.operators import pages as px
 from larder.operators.recipes import page_record
 from larder.plans import discover as dx
-from larder.sources.tables import pages_for
+from larder.sources import tables
+from larder.sources.tables import bucket_count, pages_for, read_pages
 from larder.sinks.tables import write_pages
 
 HTML = """<html><body><!-- <a href="https://www.allrecipes.com/recipe/9/in-comment/">x</a> -->
@@ -179,12 +182,49 @@ def test_discovery_of_both_sites(spark):
     assert got == [recipe_a] * 3 + [recipe_f.format(i) for i in (1, 2, 3, 5, 6)]
 
 
-def test_lookup_reads_only_the_folders_it_needs(spark, tmp_path):
+def scanned(frame):
+    """Rows that the scan of pages gave out, and the files it opened."""
+    frame.collect()
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    found = [(m.apply("numOutputRows").value(), m.apply("numFiles").value()) for m in scans if m.contains("numFiles")]
+    return found[0]
+
+
+def address(i):
+    return f"https://x/{zlib.crc32(str(i).encode()):08x}/{i}"
+
+
+def test_lookup_opens_only_what_can_hold_its_urls(spark, tmp_path):
+    rows = [(address(i), f"{i}" * 200) for i in range(8000)] + [(None, "no url")]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    write_pages(pages, str(tmp_path / "pages"), buckets=16, row_group_bytes=16 << 10)
+    stored = read_pages(spark, str(tmp_path / "pages"))
+    assert bucket_count(stored) == 16 and stored.count() == 8001
+    urls = spark.createDataFrame([(address(5),), (address(5),), ("https://none",), ("",), (None,)], "url string")
+    found = pages_for(urls, stored)
+    assert [r["url"] for r in found.collect()] == [address(5)] and found.columns == ["url", "html"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*url_bucket#\d+ IN \(", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*In\(url", plan)
+    given, files = scanned(found)
+    assert given < 400 and files <= 3
+    # Between the first and the last URL of their row groups, so only the Bloom filter tells.
+    absent = [f"https://x/{i:07x}z" for i in range(0, 1 << 28, 1 << 24)]
+    missing = pages_for(spark.createDataFrame([(a,) for a in absent], "url string"), stored)
+    assert scanned(missing)[0] <= 400
+    assert pages_for(urls.limit(0), stored).count() == 0
+
+
+def test_lookup_of_many_urls_prunes_folders(spark, tmp_path, monkeypatch):
     pages = spark.range(200).select(F.concat(F.lit("https://x/"), "id").alias("url"), F.lit("h").alias("html"))
     write_pages(pages, str(tmp_path / "pages"), buckets=16)
-    stored = spark.read.parquet(str(tmp_path / "pages"))
-    urls = spark.createDataFrame([("https://x/5",), ("https://x/5",), ("https://none",)], "url string")
-    found = pages_for(urls, stored, buckets=16)
-    assert [r["url"] for r in found.collect()] == ["https://x/5"]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan and "BroadcastHashJoin" in plan
+    monkeypatch.setattr(tables, "LOOKUP_URLS", 1)
+    urls = spark.createDataFrame([("https://x/5",), ("https://x/7",), ("https://none",)], "url string")
+    for stored in (read_pages(spark, str(tmp_path / "pages")), pages):
+        found = pages_for(urls, stored)
+        assert sorted(r["url"] for r in found.collect()) == ["https://x/5", "https://x/7"]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and ("dynamicpruning" in plan) == (stored is not pages)
+    write_pages(pages.limit(0), str(tmp_path / "none"), buckets=4)
+    assert pages_for(urls, read_pages(spark, str(tmp_path / "none"))).count() == 0

@@ -158,11 +158,6 @@ def test_sinks(spark, tmp_path):
     kx.write_messages(df, str(tmp_path / "m"), "idx")
     kx.write_messages(df, str(tmp_path / "m"), "idx")
     assert spark.read.json(str(tmp_path / "m")).count() == 20
-    for _ in range(2):
-        kx.write_batch(df, str(tmp_path / "b"), 3)
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 10
-    kx.write_batch(df.limit(0), str(tmp_path / "b"), 3)
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 0
 
 
 def test_sources(spark, tmp_path):
