@@ -130,6 +130,24 @@ def batch_vocabulary(spark, d):
     return spark.read.parquet(f"{out}/output/unique_ingredients")
 
 
+@query(f"""
+{_CLEAN},
+m AS (SELECT row_number() OVER (ORDER BY so NULLS LAST, source, dish_id) - 1 AS master_id, ingredients FROM o),
+e AS (SELECT master_id, unnest([1, 2]) AS pos, lower(json_extract_string(ingredients, '$.ingredients[' || (pos - 1) || ']')) AS w FROM m),
+v AS (SELECT w AS ingredients, count(*) * 2 AS count, min(master_id * 2 + pos) AS f FROM e GROUP BY w)
+SELECT row_number() OVER (ORDER BY f) - 1 AS ingredients_id, ingredients, count FROM v
+""")
+def batch_vocabulary_merged(spark, d):
+    """A second dataset of the same rows arrives, which comes before the first: only it is counted."""
+    directory, out = _raw_files(spark, d, ["recipeNLG"]), scratch_path(spark, "batch")
+    both = {"recipeNLG": cx.recipe_nlg, "again": cx.recipe_nlg}
+    for _ in range(2):
+        cx.run_batch(spark, directory, f"{out}/processed", f"{out}/output", processors=both)
+        raw = raw_rows(spark, d).orderBy("n").withColumnRenamed("n", "row_label")
+        raw.write.mode("ignore").options(**_CSV).csv(f"{directory}/raw_dataset_again.csv")
+    return spark.read.parquet(f"{out}/output/unique_ingredients")
+
+
 @query(f"""
 {_CLEAN},
 m AS (SELECT row_number() OVER (ORDER BY so NULLS LAST, source, dish_id) - 1 AS master_id, ingredients FROM o

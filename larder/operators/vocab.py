@@ -52,11 +52,26 @@ def largest_id(df: DataFrame, id_col: str) -> int | None:
     return high if low is not None and low >= 0 else None
 
 
-def unique_ingredients(
-    df: DataFrame, id_col: str, list_col: str, drop_blank: bool = False, ordered: bool = True
-) -> DataFrame:
-    """``ingredients_id, ingredients, count``; ids rank the words by first appearance."""
-    counts = ingredient_counts(df, id_col, list_col, largest_id(df, id_col))
+def merged_counts(partials: DataFrame, starts: DataFrame, part: str) -> DataFrame:
+    """The counts of several parts as those of the whole, in the shape of ``ingredient_counts``.
+
+    ``partials`` holds each part's own counts, with ids counted from the part's beginning;
+    ``starts`` has ``_start``, where each ``part`` begins, a row for each. Only words are read and
+    moved, not the lists they came from.
+    """
+    placed = partials.join(F.broadcast(starts), part)
+    first = F.struct((F.col("_start") + F.col("first_id")).alias("id"), F.col("first_pos").alias("pos"))
+    merged = placed.groupBy("ingredients").agg(F.sum("count").alias("count"), F.min(first).alias("_first"))
+    return merged.select(
+        "ingredients",
+        "count",
+        F.col("_first.id").alias("first_id"),
+        F.col("_first.pos").alias("first_pos"),
+    )
+
+
+def ranked_words(counts: DataFrame, drop_blank: bool = False, ordered: bool = True) -> DataFrame:
+    """``ingredients_id, ingredients, count`` from ``ingredient_counts``."""
     if drop_blank:
         counts = counts.where(F.col("ingredients").isNotNull() & ~is_blank(F.col("ingredients")))
     ranked = sorted_index(counts, ["first_id", "first_pos"], "ingredients_id")
@@ -64,6 +79,14 @@ def unique_ingredients(
     return out.orderBy(F.desc("count"), "ingredients_id") if ordered else out
 
 
+def unique_ingredients(
+    df: DataFrame, id_col: str, list_col: str, drop_blank: bool = False, ordered: bool = True
+) -> DataFrame:
+    """``ingredients_id, ingredients, count``; ids rank the words by first appearance."""
+    counts = ingredient_counts(df, id_col, list_col, largest_id(df, id_col))
+    return ranked_words(counts, drop_blank, ordered)
+
+
 def frequency_join(df: DataFrame, list_col: str) -> DataFrame:
     """The same counts as distinct words joined with their frequencies.
 

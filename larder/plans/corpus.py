@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +21,17 @@ from larder.functions.text import (
 )
 from larder.functions.urls import ensure_https, gathered_source, url_dirname
 from larder.operators.index import sorted_index, with_index
-from larder.operators.sets import exclude_sources, exclude_urls
-from larder.operators.vocab import unique_ingredients
-from larder.schemas import DISH_COLUMNS
+from larder.operators.sets import exclude_sources, exclude_urls, union_all
+from larder.operators.vocab import (
+    ingredient_counts,
+    largest_id,
+    merged_counts,
+    ranked_words,
+    unique_ingredients,
+)
+from larder.schemas import DISH, DISH_COLUMNS
 from larder.session import settle
-from larder.sinks.tables import write_dataset, write_table
+from larder.sinks.tables import dataset_path, write_dataset, write_table
 from larder.sources.corpus import discover_specs, land_raw, raw_path, unprocessed
 from larder.sources.tables import read_processed
 
@@ -161,24 +167,79 @@ def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def master_table(processed: DataFrame) -> DataFrame:
-    """All datasets one after the other, with ``master_id``, the row's place in the whole.
+_DATASETS = "at timestamp, rows long, spec string"
+_PLACES = "start long, spec string"
+_WORDS = "ingredients string, count long, first_id long, first_pos long, spec string"
+MASTER = T.StructType(
+    [T.StructField("master_id", T.LongType()), *DISH.fields, T.StructField("spec", T.StringType())]
+)
+
 
-    Rows know their place in their dataset, so only the datasets' sizes are added up: one row per
-    dataset, no sort.
-    """
-    sizes = processed.groupBy("spec").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("spec").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("spec", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    return (
-        processed.join(F.broadcast(starts), "spec")
-        .withColumn("master_id", F.col("_start") + F.col("place"))
-        .drop("_start")
+@dataclass
+class Placed:
+    """A dataset's place in the master table: datasets follow one another by name."""
+
+    spec: str
+    rows: int
+    start: int
+
+
+def _placed(datasets: DataFrame | None) -> list[Placed]:
+    """All processed datasets in order; a row for each comes to the driver."""
+    rows = [] if datasets is None else datasets.select("spec", "rows").collect()
+    out, start = [], 0
+    for spec, n in sorted((row["spec"], row["rows"]) for row in rows):
+        out.append(Placed(spec, n, start))
+        start += n
+    return out
+
+
+def _table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame | None:
+    """A table of datasets, or None before its first dataset was written."""
+    if _read_if_there(spark, path) is None:
+        return None
+    return spark.read.schema(schema).parquet(path)
+
+
+def dish_rows(stored: DataFrame, start: int) -> DataFrame:
+    """A dataset's rows, which know their ``place`` in it, as rows of the master table."""
+    return wrap_lists(stored.withColumn("master_id", F.col("place") + start)).select(
+        "master_id", *DISH_COLUMNS
     )
 
 
-def dish_table(master: DataFrame) -> DataFrame:
-    return wrap_lists(master).select("master_id", "spec", *DISH_COLUMNS)
+def _write_small(
+    spark: SparkSession, processed_dir: str, output_dir: str, head: list[Placed], small_rows: int
+) -> None:
+    """The first rows of the master table and their vocabulary, from the datasets they come from."""
+    parts = []
+    for dataset in head:
+        stored = spark.read.parquet(dataset_path(processed_dir, dataset.spec))
+        own = stored.where(F.col("place") < small_rows - dataset.start)
+        numbered = own.withColumn("master_id", F.col("place") + dataset.start)
+        parts.append(numbered.withColumn("spec", F.lit(dataset.spec)))
+    small = union_all(parts)
+    columns = ["master_id", "spec", *DISH_COLUMNS]
+    write_table(wrap_lists(small).select(*columns), f"{output_dir}/dish_recipes_small")
+    words = unique_ingredients(small, "master_id", "ingredients")
+    write_table(words, f"{output_dir}/unique_ingredients_small")
+
+
+def _process(
+    spark: SparkSession, raw: DataFrame, processor: Processor, processed_dir: str, output_dir: str,
+    spec: str,
+) -> None:
+    """One dataset: its rejects, its rows in their order, the counts of its words, its size."""
+    cleaned = settle(clean_raw(raw, keep=["spec"]), "cleaned")
+    good, bad = split_rejects(cleaned, "bad_list")
+    write_dataset(bad.select(*REJECT_COLUMNS), f"{output_dir}/rejects", spec)
+    placed = sorted_index(processor(good), interleaved(), "place")
+    write_dataset(placed, processed_dir, spec)
+    stored = spark.read.schema(placed.schema).parquet(dataset_path(processed_dir, spec))
+    words = ingredient_counts(stored, "place", "ingredients", largest_id(stored, "place"))
+    write_dataset(words, f"{output_dir}/word_counts", spec)
+    size = stored.agg(F.now().alias("at"), F.count(F.lit(1)).alias("rows"))
+    write_dataset(size, f"{output_dir}/datasets", spec)
 
 
 def run_batch(
@@ -192,15 +253,18 @@ def run_batch(
     multi_line: bool = True,
     small_rows: int = SMALL_ROWS,
 ) -> BatchResult:
-    """Clean every raw dataset not yet processed; write the processed tables, the master table,
-    its first rows, and the vocabularies of both.
-
-    The list of dataset names is the only thing brought to the driver. A dataset without a
-    processor is skipped and reported. Rejected rows are kept in the table ``rejects`` and every
-    dataset that was processed, with rows or without, in the table ``datasets``.
+    """Clean every raw dataset not yet processed; bring the processed tables, the master table,
+    its first rows, and the vocabularies of both up to date.
+
+    The cost follows the new datasets. Each keeps the counts of its own words, and the vocabulary is
+    merged from these. The master table has a folder for each dataset, written anew only if the
+    dataset is new or earlier datasets moved its rows; the first rows and their vocabulary only if
+    they changed. Names and sizes of the datasets are the only thing brought to the driver. A
+    dataset without a processor is skipped and reported. Rejected rows are kept in the table
+    ``rejects`` and every dataset that was processed, with rows or without, in ``datasets``.
     """
     processors = PROCESSORS if processors is None else processors
-    before = _read_if_there(spark, f"{output_dir}/datasets")
+    before = _table(spark, f"{output_dir}/datasets", _DATASETS)
     done = None if before is None else before.select("spec")
     specs = unprocessed(discover_specs(spark, raw_dir), done, reprocess)
     result = BatchResult(processed=[], skipped=[])
@@ -211,26 +275,34 @@ def run_batch(
             result.skipped.append(spec)
             continue
         raw = land_raw(spark, raw_path(raw_dir, spec), multi_line=multi_line, **options)
-        cleaned = settle(clean_raw(raw, keep=["spec"]), "cleaned")
-        good, bad = split_rejects(cleaned, "bad_list")
-        write_dataset(bad.select(*REJECT_COLUMNS), f"{output_dir}/rejects", spec)
-        placed = sorted_index(processor(good), interleaved(), "place")
-        write_dataset(placed, processed_dir, spec)
-        write_dataset(spark.range(1).select(F.now().alias("at")), f"{output_dir}/datasets", spec)
+        _process(spark, raw, processor, processed_dir, output_dir, spec)
         result.processed.append(spec)
     result.rejects = _read_if_there(spark, f"{output_dir}/rejects")
-    processed = _read_if_there(spark, processed_dir)
-    if processed is None:
+    datasets = _placed(_table(spark, f"{output_dir}/datasets", _DATASETS))
+    if not datasets:
         return result
 
-    master = master_table(processed)
-    # The second condition follows from the first, but reaches the files.
-    small = master.where((F.col("master_id") < small_rows) & (F.col("place") < small_rows))
-    for name, rows in (("", master), ("_small", small)):
-        write_table(dish_table(rows), f"{output_dir}/dish_recipes{name}")
-        write_table(
-            unique_ingredients(rows, "master_id", "ingredients"),
-            f"{output_dir}/unique_ingredients{name}",
+    master = f"{output_dir}/dish_recipes"
+    places = _table(spark, f"{output_dir}/places", _PLACES)
+    known = {} if places is None else {r["spec"]: r["start"] for r in places.collect()}
+    moved = {d.spec for d in datasets if d.spec in result.processed or known.get(d.spec) != d.start}
+    for dataset in datasets:
+        if dataset.spec in moved:
+            stored = spark.read.parquet(dataset_path(processed_dir, dataset.spec))
+            write_dataset(dish_rows(stored, dataset.start), master, dataset.spec)
+            place = spark.range(1).select(F.lit(dataset.start).cast("bigint").alias("start"))
+            write_dataset(place, f"{output_dir}/places", dataset.spec)
+    head = [d for d in datasets if d.start < small_rows]
+    if moved.intersection(d.spec for d in head):
+        _write_small(spark, processed_dir, output_dir, head, small_rows)
+    if moved:
+        starts = [(d.spec, d.start) for d in datasets]
+        words = merged_counts(
+            spark.read.schema(_WORDS).parquet(f"{output_dir}/word_counts"),
+            spark.createDataFrame(starts, "spec string, _start long"),
+            "spec",
         )
-    result.master = spark.read.parquet(f"{output_dir}/dish_recipes")
+        write_table(ranked_words(words), f"{output_dir}/unique_ingredients")
+    columns = ["master_id", "spec", *DISH_COLUMNS]
+    result.master = spark.read.schema(MASTER).parquet(master).select(*columns)
     return result

@@ -13,9 +13,14 @@ from larder.operators.index import head_rows, with_shard
 from larder.sources.tables import page_bucket
 
 
+def dataset_path(path: str, spec: str) -> str:
+    """Folder of one dataset's rows."""
+    return f"{path}/spec={quote(spec, safe=' ')}"
+
+
 def write_dataset(df: DataFrame, path: str, spec: str) -> None:
     """One dataset's rows under ``spec=<name>``; they replace its earlier ones, also by no rows."""
-    df.drop("spec").write.mode("overwrite").parquet(f"{path}/spec={quote(spec, safe=' ')}")
+    df.drop("spec").write.mode("overwrite").parquet(dataset_path(path, spec))
 
 
 def write_table(df: DataFrame, path: str, csv: bool = False) -> None:

@@ -89,6 +89,56 @@ def test_batch_run_takes_only_new_datasets(spark, folders):
     assert redone.master.count() == 6
 
 
+def _garble(folder):
+    """Replace the data files of a folder by what no reader can read."""
+    for root, _, names in os.walk(folder):
+        for name in names:
+            with open(os.path.join(root, name), "w") as f:
+                f.write("garbage" if name.endswith(".parquet") else "")
+
+
+def _vocabulary(spark, output):
+    return {tuple(r) for r in spark.read.parquet(f"{output}/unique_ingredients").collect()}
+
+
+def test_a_new_dataset_alone_is_read_and_the_vocabulary_is_the_whole_one(spark, tmp_path):
+    raw, processed, output, scratch = (str(tmp_path / x) for x in ("raw", "processed", "output", "scratch"))
+    three = dict.fromkeys(("a", "b", "c"), cx.recipe_nlg)
+    # The third dataset has older words, new ones, and rows past those of the small extract.
+    rows = {"a": RAW[:1], "b": RAW, "c": [RAW[8], [*RAW[0][:5], "['Zest', 'salt']"]]}
+    write_raw(raw, "a", rows["a"])
+    write_raw(raw, "b", rows["b"])
+    cx.run_batch(spark, raw, processed, output, processors=three, small_rows=3)
+    write_raw(raw, "c", rows["c"])
+    for spec in ("a", "b"):
+        _garble(f"{processed}/spec={spec}")
+        _garble(f"{raw}/raw_dataset_{spec}.csv")
+    added = cx.run_batch(spark, raw, processed, output, processors=three, small_rows=3)
+    assert added.processed == ["c"]
+    for spec in ("a", "b"):
+        write_raw(raw, spec, rows[spec])
+    whole = cx.run_batch(spark, raw, f"{scratch}/p", f"{scratch}/o", processors=three, small_rows=3)
+    assert _vocabulary(spark, output) == _vocabulary(spark, f"{scratch}/o")
+    assert sorted(added.master.collect()) == sorted(whole.master.collect())
+    assert sorted(r["master_id"] for r in added.master.collect()) == list(range(8))
+    for name in ("dish_recipes_small", "unique_ingredients_small"):
+        one, other = (spark.read.parquet(f"{o}/{name}").collect() for o in (output, f"{scratch}/o"))
+        assert sorted(one) == sorted(other)
+
+
+def test_a_dataset_before_the_others_moves_them(spark, tmp_path):
+    raw, processed, output, scratch = (str(tmp_path / x) for x in ("raw", "processed", "output", "scratch"))
+    two = dict.fromkeys(("a", "b"), cx.recipe_nlg)
+    write_raw(raw, "b", RAW)
+    cx.run_batch(spark, raw, processed, output, processors=two, small_rows=4)
+    write_raw(raw, "a", RAW[7:])
+    added = cx.run_batch(spark, raw, processed, output, processors=two, small_rows=4)
+    whole = cx.run_batch(spark, raw, f"{scratch}/p", f"{scratch}/o", processors=two, small_rows=4)
+    assert sorted(added.master.collect()) == sorted(whole.master.collect())
+    assert _vocabulary(spark, output) == _vocabulary(spark, f"{scratch}/o")
+    assert spark.read.parquet(f"{output}/dish_recipes_small").count() == 4
+
+
 def test_names_of_digits_and_datasets_without_a_good_row(spark, tmp_path):
     raw, processed, output = (str(tmp_path / x) for x in ("raw", "processed", "output"))
     bad = [RAW[2]]
