@@ -2,7 +2,8 @@
 
 The order key is a whole number. Its high bits name a cell, so with unique keys a cell holds at
 most ``2**bits`` rows whatever the data looks like, and every window below runs inside one cell
-(per group) or over at most ``2**bits`` cell totals. One shuffle moves the rows; the totals are
+(per group) or over at most ``2**bits`` cell totals. Cells that hold more, as keys repeat or are
+null, are sorted by range over the whole order instead. One shuffle moves the rows; the totals are
 counted from the key columns alone. Nothing is cached and no layout has to stay the same between
 two passes, so a lost executor costs only its own tasks.
 """
@@ -14,11 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.operators.sizes import broadcast_if_small
 from larder.session import settle
 
 CELL_BITS = 16
 # Rows a broadcast of cell starts may hold: three numbers each, under 100 MB.
 BROADCAST_CELLS = 1_000_000
+# monotonically_increasing_id keeps the partition number above these bits.
+_PARTITION_SHIFT = 33
 
 
 def _cell_range(df: DataFrame, key: str, bits: int) -> tuple[int, int]:
@@ -65,6 +69,48 @@ def _cell_starts(celled: DataFrame, by: list[str], n_cells: int, bits: int) -> D
     return _starts(totals, by, n_cells, bits)
 
 
+def _on_cells(celled: DataFrame, cells: DataFrame, by: list[str], how: str) -> DataFrame:
+    return celled.join(broadcast_if_small(cells), [*by, "_cell"], how)
+
+
+def split_cells(
+    celled: DataFrame, starts: DataFrame, by: list[str], bits: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the cells that one window may hold, and those of fuller cells with their ``_start``.
+
+    Only rows of one key, or without a key, can fill a cell beyond its ``2**bits`` keys. ``starts``
+    is a written table. The second frame is None if no cell is that full.
+    """
+    full = starts.where(F.col("_n") > 1 << bits).drop("_n")
+    if not full.limit(1).count():
+        return celled, None
+    light = _on_cells(celled, full.drop("_start"), by, "left_anti")
+    return light, _on_cells(celled, full, by, "inner")
+
+
+def _sorted_positions(rows: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """Rows of full cells with ``_position``, numbered by a sort over splitters of the whole order.
+
+    The sort samples its splitters from key and ``then`` together, so a cell of one key, or of null
+    keys, is cut into as many ranges as its size asks for. Rows are numbered by their place in the
+    written ranges; a window runs over one total for each range only.
+    """
+    ordered = rows.orderBy(*by, "_cell", *order)
+    laid = settle(ordered.withColumn("_mid", F.monotonically_increasing_id()), "full-cells")
+    laid = laid.withColumn("_range", F.shiftright("_mid", _PARTITION_SHIFT))
+    ranges = laid.groupBy(*by, "_cell", "_range").agg(
+        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")
+    )
+    before = Window.partitionBy(*by, "_cell").orderBy("_range")
+    earlier = F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranges.select(
+        *by, "_cell", "_range", "_first", F.coalesce(earlier, F.lit(0)).alias("_earlier")
+    )
+    position = F.col("_start") + F.col("_earlier") + F.col("_mid") - F.col("_first")
+    joined = laid.join(broadcast_if_small(placed), [*by, "_cell", "_range"])
+    return joined.withColumn("_position", position.cast("bigint"))
+
+
 def with_index(
     df: DataFrame,
     key: str,
@@ -75,22 +121,33 @@ def with_index(
 ) -> DataFrame:
     """Add ``name``: the row's 0-based position by ``key`` (then ``then``), within ``by`` if given.
 
-    ``key`` and ``then`` together must be unique. Null keys come last, in ``then`` order; they and
-    the rows of one key share a cell, so few of either are assumed. A null ``by`` value gives a
-    null position.
+    ``key`` and ``then`` together must be unique. Null keys come last, in ``then`` order. Any number
+    of rows may share a key or have none: no window holds more than ``2**bits`` rows. A null ``by``
+    value gives a null position.
     ``df`` is read three times (range, totals, rows): settle an expensive frame first.
     """
     by = list(by)
     n_cells, null_cell = _cell_range(df, key, bits)
     celled = _with_cell(df, key, bits, null_cell)
-    starts = _cell_starts(celled, by, n_cells, bits).drop("_n")
-    in_cell = Window.partitionBy(*by, "_cell").orderBy(F.asc_nulls_last(key), *then)
-    numbered = celled.withColumn("_row", F.row_number().over(in_cell) - 1)
-    return (
-        numbered.join(starts, [*by, "_cell"], "left")
+    starts = settle(_cell_starts(celled, by, n_cells, bits), "cell-starts")
+    light, full = split_cells(celled, starts, by, bits)
+    order = [F.asc_nulls_last(key), *(F.col(c) if isinstance(c, str) else c for c in then)]
+    # Rows that get no position are dealt out, as there may be many of them.
+    lost = F.lit(False)
+    for column in by:
+        lost = lost | F.col(column).isNull()
+    salt = F.when(lost, F.floor(F.rand() * (1 << CELL_BITS))).otherwise(0)
+    in_cell = Window.partitionBy(*by, "_cell", "_salt").orderBy(*order)
+    numbered = light.withColumn("_salt", salt).withColumn("_row", F.row_number().over(in_cell) - 1)
+    out = (
+        numbered.join(starts.drop("_n"), [*by, "_cell"], "left")
         .withColumn(name, (F.col("_start") + F.col("_row")).cast("bigint"))
         .select(*df.columns, name)
     )
+    if full is None:
+        return out
+    sorted_rows = _sorted_positions(full, by, order).withColumn(name, F.col("_position"))
+    return out.unionByName(sorted_rows.select(*df.columns, name))
 
 
 def ordered_slice(
@@ -105,14 +162,15 @@ def ordered_slice(
 
     Cells outside the slice are dropped before any row moves, and the kept cells' key range goes
     down to the file scan. The kept cells number at most the slice's rows, so their starts are
-    broadcast only while that bound is small.
+    broadcast only while that bound is small. A cell that holds more than ``2**bits`` rows, of one
+    key or without one, is sorted over ranges of its own.
     """
     n_cells, null_cell = _cell_range(df, key, bits)
     celled = _with_cell(df, key, bits, null_cell)
     starts = _cell_starts(celled, [], n_cells, bits)
     touched = starts.where(
         (F.col("_start") < stop) & (F.col("_start") + F.col("_n") > start)
-    ).drop("_n")
+    )
     touched = settle(touched, "cells")
     low, high = touched.agg(F.min("_cell"), F.max("_cell")).first()
     if low is None:
@@ -120,17 +178,22 @@ def ordered_slice(
     in_range = (F.col(key) >= low << bits) & (F.col(key) <= ((high + 1) << bits) - 1)
     if high == null_cell:
         in_range = in_range | F.col(key).isNull()
+    light, full = split_cells(celled.where(in_range), touched, [], bits)
+    order = [F.asc_nulls_last(key), *(F.col(c) if isinstance(c, str) else c for c in then)]
+    named = touched.drop("_n")
     if stop - start <= BROADCAST_CELLS:
-        touched = F.broadcast(touched)
-    in_cell = Window.partitionBy("_cell").orderBy(F.asc_nulls_last(key), *then)
-    position = F.col("_start") + F.row_number().over(in_cell) - 1
-    return (
-        celled.where(in_range)
-        .join(touched, "_cell")
-        .withColumn("_position", position)
-        .where((F.col("_position") >= start) & (F.col("_position") < stop))
-        .select(*df.columns)
+        named = F.broadcast(named)
+    in_cell = Window.partitionBy("_cell").orderBy(*order)
+    placed = light.join(named, "_cell").withColumn(
+        "_position", F.col("_start") + F.row_number().over(in_cell) - 1
     )
+    if full is not None:
+        sorted_rows = _sorted_positions(full, [], order)
+        placed = placed.select(*df.columns, "_position").unionByName(
+            sorted_rows.select(*df.columns, "_position")
+        )
+    asked = (F.col("_position") >= start) & (F.col("_position") < stop)
+    return placed.where(asked).select(*df.columns)
 
 
 def head_rows(df: DataFrame, key: str, n: int, then: Sequence[str | Column] = ()) -> DataFrame:
@@ -138,10 +201,6 @@ def head_rows(df: DataFrame, key: str, n: int, then: Sequence[str | Column] = ()
     return ordered_slice(df, key, 0, n, then)
 
 
-# monotonically_increasing_id keeps the partition number above these bits.
-_PARTITION_SHIFT = 33
-
-
 def sorted_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
     """Add ``name``: the row's 0-based position in any total order, text columns included.
 

@@ -121,3 +121,44 @@ def test_broadcast_only_below_the_limit(spark):
     assert "BroadcastHashJoin" in plan(small)
     hinted = broadcast_if_small(big, limit=100)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in hinted.lower()
+
+
+def _skewed(spark):
+    """A third of the rows without a key, a third of one key, and some without a group."""
+    return spark.range(3000).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 77 ELSE id END").alias("k"),
+        F.concat(F.lit("t"), F.pmod(F.xxhash64("id"), F.lit(10**9))).alias("t"),
+        F.expr("CASE WHEN id % 7 = 0 THEN NULL WHEN id % 7 < 5 THEN 'hot' ELSE 'cold' END").alias("s"),
+    )
+
+
+@pytest.mark.parametrize("by", [[], ["s"]])
+def test_null_and_repeated_keys_fill_no_window(spark, by):
+    from pyspark.sql import Window
+
+    df, bits = _skewed(spark).repartition(5), 6
+    out = ix.with_index(df, "k", by=by, then=["t", F.desc("s")], bits=bits)
+    order = Window.partitionBy(*by).orderBy(F.asc_nulls_last("k"), "t", F.desc("s"))
+    want = F.row_number().over(order) - 1
+    named = out.where("s IS NOT NULL") if by else out
+    assert named.withColumn("want", want).where("NOT idx <=> want").count() == 0
+    assert out.count() == 3000 and (not by or out.where("s IS NULL AND idx IS NOT NULL").count() == 0)
+
+    n_cells, null_cell = ix._cell_range(df, "k", bits)
+    celled = ix._with_cell(df, "k", bits, null_cell)
+    starts = ix.settle(ix._cell_starts(celled, by, n_cells, bits))
+    light, full = ix.split_cells(celled, starts, by, bits)
+    named = light.where("s IS NOT NULL") if by else light
+    largest = named.groupBy(*by, "_cell").count().agg(F.max("count")).first()[0]
+    assert largest <= 1 << bits and full.where("k IS NULL").count() > 700
+
+
+def test_slices_across_null_and_repeated_keys(spark):
+    df = _skewed(spark).repartition(5)
+    rows = sorted((r["k"] is None, r["k"] or 0, r["t"]) for r in df.collect())
+    for start, stop in ((0, 3000), (0, 40), (20, 1200), (1990, 2500), (2990, 4000)):
+        got = ix.ordered_slice(df, "k", start, stop, then=["t"], bits=6).collect()
+        assert sorted((r["k"] is None, r["k"] or 0, r["t"]) for r in got) == rows[start:stop]
+    every_null = df.where("k IS NULL")
+    assert ix.head_rows(every_null, "k", 10, ["t"]).count() == 10
+    assert ix.with_index(every_null, "k", then=["t"], bits=4).agg(F.max("idx")).first()[0] == 999
