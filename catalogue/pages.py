@@ -174,74 +174,89 @@ def recipe_record(spark, d):
     )
 
 
+#: Links of one listing page; groups of any size are dealt out to pages of so many keys.
+_LISTED = 20_000
+
+
 def _listing(rows, page, links):
-    """Pages that list the links of their rows in order, after one that is no recipe."""
+    """Pages that list the links of their rows in order, after one that is no recipe.
+
+    A page lists the keys of one block, so pages, not one cell, grow with the table.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("p_partkey", links.alias("link"))))
     anchors = F.transform(ordered, lambda r: F.concat(F.lit('<a href="'), r["link"], F.lit('">x</a>')))
     html = F.concat(F.lit('<p><a href="/about">About</a></p>'), F.array_join(anchors, ""))
     return rows.groupBy(page.alias("url")).agg(html.alias("html"))
 
 
-@query("""
-SELECT 'https://www.allrecipes.com/cat/' || p_brand AS page, 'allrecipes' AS site,
+def _parts_in_blocks(spark, d):
+    block = F.expr(f"p_partkey div {_LISTED}").cast("string")
+    return table(spark, d, "part").select(
+        "p_partkey", "p_brand", (F.col("p_size") % 5).cast("string").alias("p_size"), block.alias("block")
+    )
+
+
+@query(f"""
+SELECT 'https://www.allrecipes.com/cat/' || p_brand || '/' || p_partkey // {_LISTED} AS page, 'allrecipes' AS site,
   'https://www.allrecipes.com/recipe/' || p_partkey || '/a-b/' AS url,
-  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)::INTEGER AS pos
+  row_number() OVER (PARTITION BY p_brand, p_partkey // {_LISTED} ORDER BY p_partkey)::INTEGER AS pos
 FROM part WHERE p_brand <> 'Brand#11'
 """)
 def discover_allrecipes(spark, d):
-    """An A-Z page leads to a page for each brand but one, which is linked outside its section."""
-    parts = table(spark, d, "part").select("p_partkey", "p_brand")
+    """An A-Z page leads to the pages of each brand but one, which are linked outside its section."""
+    parts = _parts_in_blocks(spark, d)
     recipe = F.concat(F.lit("https://www.allrecipes.com/recipe/"), "p_partkey", F.lit("/a-b/"))
-    brand = F.concat(F.lit("https://www.allrecipes.com/cat/"), "p_brand")
+    brand = F.concat_ws("/", F.lit("https://www.allrecipes.com/cat"), "p_brand", "block")
     link = F.concat(F.lit('<li><a href="'), brand, F.lit('">b</a>'))
-    listed = F.array_join(F.collect_set(F.when(F.col("p_brand") != "Brand#11", link)), "")
-    az = parts.agg(
-        F.concat(
-            F.lit('<ul id="alphabetical-list-1">'), listed,
-            F.lit('</ul><a href="https://www.allrecipes.com/cat/Brand#11">b</a>'),
-        ).alias("html")
+    # One link for each block of keys.
+    named = parts.select("p_brand", "block").distinct()
+    inside, outside = (
+        F.array_join(F.collect_list(F.when(which, link)), "")
+        for which in (F.col("p_brand") != "Brand#11", F.col("p_brand") == "Brand#11")
+    )
+    az = named.agg(
+        F.concat(F.lit('<ul id="alphabetical-list-1">'), inside, F.lit("</ul>"), outside).alias("html")
     ).select(F.lit(discover.ALLRECIPES_AZ[0]).alias("url"), "html")
     pages = _listing(parts, brand, recipe).unionByName(az)
     return discover.allrecipes_urls(pages).select("page", "site", "url", "pos")
 
 
-@query("""
-WITH l AS (
-  SELECT 'https://www.food.com/size/' || p_size % 5 AS page, p_partkey FROM part
-  UNION ALL SELECT 'https://www.food.com/brand/' || p_brand, p_partkey FROM part WHERE p_brand <> 'Brand#11')
+@query(f"""
+WITH b AS (SELECT *, p_partkey // {_LISTED} AS block FROM part),
+l AS (
+  SELECT 'https://www.food.com/size/' || p_size % 5 || '/' || block AS page, p_partkey FROM b
+  UNION ALL SELECT 'https://www.food.com/brand/' || p_brand || '/' || block, p_partkey FROM b WHERE p_brand <> 'Brand#11')
 SELECT page, 'fooddotcom' AS site, 'https://www.food.com/recipe/x-y-' || p_partkey AS url FROM l
 """)
 def discover_fooddotcom(spark, d):
-    """The pages of all sizes are a cycle of labelled links; the navigation has the brands, of
-    which one leads on to a size by its label."""
-    parts = table(spark, d, "part").select("p_partkey", "p_brand", (F.col("p_size") % 5).alias("p_size"))
+    """Hubs of all sizes are a cycle of labelled links and lead by the label to the pages of their
+    size; the navigation has the brands' pages, of which one brand's lead on to a size."""
+    parts = _parts_in_blocks(spark, d)
     recipe = F.concat(F.lit("https://www.food.com/recipe/x-y-"), "p_partkey")
-    size = F.concat(F.lit("https://www.food.com/size/"), "p_size")
-    brand = F.concat(F.lit("https://www.food.com/brand/"), "p_brand")
-    more = F.concat(F.lit('<a href="'), F.col("to"), F.lit('">See Them All</a>'))
-    sizes = parts.select("p_size").distinct()
+    size = F.concat_ws("/", F.lit("https://www.food.com/size"), "p_size", "block")
+    brand = F.concat_ws("/", F.lit("https://www.food.com/brand"), "p_brand", "block")
+
+    def more(to):
+        return F.concat(F.lit('<a href="'), to, F.lit('">See Them All</a>'))
+
+    hub = F.concat(F.lit("https://www.food.com/hub/"), "p_size")
+    sizes = parts.groupBy("p_size").agg(F.array_join(F.collect_set(more(size)), "").alias("own"))
     following = Window.orderBy("p_size")
     least = sizes.agg(F.min("p_size")).first()[0]
-    step = sizes.select(
-        size.alias("url"),
-        F.concat(
-            F.lit("https://www.food.com/size/"), F.coalesce(F.lead("p_size").over(following), F.lit(least))
-        ).alias("to"),
-    )
-    seed = f"https://www.food.com/size/{least}"
-    label = spark.range(1).select(
-        F.lit("https://www.food.com/brand/Brand#11").alias("url"), F.lit(seed).alias("to")
-    )
-    listed = _listing(parts, size, recipe).unionByName(_listing(parts, brand, recipe))
-    with_more = listed.join(step.unionByName(label), "url", "left").select(
-        "url", F.concat("html", F.coalesce(more, F.lit(""))).alias("html")
+    after = F.concat(
+        F.lit("https://www.food.com/hub/"), F.coalesce(F.lead("p_size").over(following), F.lit(least))
     )
-    link = F.concat(F.lit('<a href="/brand/'), "p_brand", F.lit('">b</a>'))
+    hubs = sizes.select(hub.alias("url"), F.concat("own", more(after)).alias("html"))
+    seed = f"https://www.food.com/hub/{least}"
+    brands = _listing(parts, brand, recipe)
+    led = F.col("url").contains("/brand/Brand#11/")
+    brands = brands.withColumn("html", F.concat("html", F.when(led, more(F.lit(seed))).otherwise("")))
+    link = F.concat(F.lit('<a href="/brand/'), "p_brand", F.lit("/"), "block", F.lit('">b</a>'))
     nav = parts.agg(
         F.concat(
             F.lit('<nav id="main-nav">'), F.array_join(F.collect_set(link), ""),
             F.lit('</nav><a href="/size/none">none</a>'),
         ).alias("html")
     ).select(F.lit(discover.FOODDOTCOM_NAV).alias("url"), "html")
-    pages = with_more.unionByName(nav)
+    pages = _listing(parts, size, recipe).unionByName(brands).unionByName(hubs).unionByName(nav)
     return discover.fooddotcom_urls(pages, seeds=[seed]).select("page", "site", "url")

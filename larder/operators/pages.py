@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.text import decode_entities
-from larder.operators.sets import already, not_yet
-from larder.session import settle
+from larder.operators.sets import already, not_yet, union_all
+from larder.session import settle, settle_by
 
 # The two sites' recipe addresses and page marks.
 RECIPE_RULES = {
@@ -166,6 +167,35 @@ def anchors(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFr
     return pages.select(*keep, html).mapInPandas(parse, schema)
 
 
+_PLAIN = re.compile(r"[A-Za-z0-9 ]*")
+
+
+def _may_begin(before: str, text: str) -> str:
+    """A pattern of ``before``, some of the text and then a character reference.
+
+    Letters, digits and spaces have references by number only.
+    """
+    mark = "&#" if _PLAIN.fullmatch(text) else "&"
+    some = ""
+    for character in reversed(text[:-1]):
+        some = f"(?:{re.escape(character)}{some})?"
+    return before + some + mark
+
+
+def may_hold_text(html: Column, text: str) -> Column:
+    """False only for pages in which no element's whole text is ``text``, told in the JVM.
+
+    A page has the text as it is, or some of it and then a character reference, right after a tag.
+    """
+    return html.contains(text) | html.rlike(_may_begin(">", text))
+
+
+def may_hold_id(html: Column, prefix: str) -> Column:
+    """False only for pages in which no element's id starts with ``prefix``, told in the JVM."""
+    coded = _may_begin(r"(?i)\bid\s*=\s*[\"']?", prefix)
+    return html.rlike(r"(?i)\bid\s*=\s*[\"']?" + re.escape(prefix)) | html.rlike(coded)
+
+
 def section_links(found: DataFrame, id_prefix: str = SECTION_ID_PREFIX) -> DataFrame:
     """Anchors under an element whose id starts with the prefix."""
     return found.where(
@@ -220,34 +250,47 @@ def replace_by_label(starts: DataFrame, labelled: DataFrame, page: str = "url")
     return replaced.unionByName(not_yet(starts.select(page), labelled, page))
 
 
-_ROUNDS_PER_MERGE = 16
+def lay_edges(edges: DataFrame) -> DataFrame:
+    """The distinct links ``src, dst`` in buckets of ``src``, for any number of closures."""
+    return settle_by(edges.select("src", "dst").distinct(), "src", "edges")
 
 
-def link_closure(seeds: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+def _new_nodes(found: DataFrame, reached: list[DataFrame]) -> DataFrame:
+    """The distinct nodes that no earlier table holds."""
+    fresh = found.where("node IS NOT NULL").distinct()
+    for table in reached:
+        fresh = fresh.join(table.select("node"), "node", "left_anti")
+    return fresh
+
+
+def link_closure(
+    seeds: DataFrame, edges: DataFrame, max_depth: int | None = None, laid: bool = False
+) -> DataFrame:
     """``node, depth``: all nodes reached from the seeds along ``src -> dst`` edges.
 
     Runs until a round finds nothing new, or ``max_depth`` rounds if given. Each round joins the
-    new nodes only and drops those met before, so a cycle ends. Rounds are written to the shared
-    folder, which keeps the plan short and survives lost executors. Edges are made distinct once;
-    a page with very many links is a skewed side the semi-join can split.
+    new nodes only and drops those met before, so a cycle ends. The edges lie in buckets of ``src``
+    and the nodes met in buckets of ``node``; they are read in place, and a round moves its frontier
+    and what that leads to. The tables of nodes met are merged as their sizes double, so each node
+    is written a few times at most and a round asks a few tables. ``laid`` says that the edges come
+    from ``lay_edges``.
     """
-    edges = settle(edges.select("src", "dst").distinct(), "edges")
-    frontier = settle(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "closure")
-    reached, depth = frontier, 0
+    edges = edges if laid else lay_edges(edges)
+    frontier = settle_by(seeds.select("node").distinct().withColumn("depth", F.lit(0)), "node", "met")
+    reached, sizes, depth = [frontier], [frontier.count()], 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        found = (
-            edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi")
-            .select(F.col("dst").alias("node"))
-            .where("node IS NOT NULL")
-            .distinct()
-            .join(reached.select("node"), "node", "left_anti")
-            .withColumn("depth", F.lit(depth))
-        )
-        frontier = settle(found, "closure")
-        if frontier.isEmpty():
+        from_here = frontier.select(F.col("node").alias("src"))
+        found = edges.join(from_here, "src", "left_semi").select(F.col("dst").alias("node"))
+        fresh = _new_nodes(found, reached).withColumn("depth", F.lit(depth))
+        frontier = settle_by(fresh, "node", "met")
+        size = frontier.count()
+        if not size:
             break
-        reached = reached.unionByName(frontier)
-        if depth % _ROUNDS_PER_MERGE == 0:
-            reached = settle(reached, "closure")
-    return reached
+        reached.append(frontier)
+        sizes.append(size)
+        while len(reached) > 1 and sizes[-2] < 2 * sizes[-1]:
+            last, total = reached.pop(), sizes.pop()
+            reached[-1] = settle_by(reached[-1].unionByName(last), "node", "met")
+            sizes[-1] += total
+    return union_all(reached)

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from larder.functions.urls import prefix_site
 from larder.operators.pages import (
+    MORE_LABEL,
+    NAV_ID,
     RECIPE_RULES,
+    SECTION_ID_PREFIX,
     anchors,
     labelled_links,
     link_closure,
+    may_hold_id,
+    may_hold_text,
     nav_links,
     replace_by_label,
     section_links,
@@ -53,7 +58,8 @@ def allrecipes_urls(
     seeds: Sequence[str] = ALLRECIPES_SEEDS,
 ) -> DataFrame:
     """Recipe links on the A-Z sections' pages and on the seed pages."""
-    found = anchors(pages.join(F.broadcast(_urls(pages, az_pages)), "url", "left_semi"), ["url"])
+    named = pages.join(F.broadcast(_urls(pages, az_pages)), "url", "left_semi")
+    found = anchors(named.where(may_hold_id(F.col("html"), SECTION_ID_PREFIX)), ["url"])
     sections = section_links(found).select(F.col("href").alias("url"))
     none = _urls(pages, [])
     rules = {"allrecipes": RECIPE_RULES["allrecipes"]}
@@ -68,12 +74,17 @@ def fooddotcom_base_pages(
     legacy: bool = False,
 ) -> DataFrame:
     """Distinct pages that list recipes: the seeds and all pages their labelled links lead to,
-    and the navigation's pages, replaced by their labelled links where they have some."""
-    found = settle(anchors(pages, ["url"]), "anchors")
-    labelled = labelled_links(found).select("url", "href")
+    and the navigation's pages, replaced by their labelled links where they have some.
+
+    Only pages that may have the label, and the navigation's page, are parsed in Python.
+    """
+    html = F.col("html")
+    found = anchors(pages.where(may_hold_text(html, MORE_LABEL)), ["url"])
+    labelled = settle(labelled_links(found).select("url", "href"), "labelled")
     edges = labelled.select(F.col("url").alias("src"), F.col("href").alias("dst"))
     closure = link_closure(_urls(pages, seeds).withColumnRenamed("url", "node"), edges)
-    nav = nav_links(found.where(F.col("url") == nav_url)).select(
+    start = pages.where((F.col("url") == nav_url) & may_hold_id(html, NAV_ID))
+    nav = nav_links(anchors(start, ["url"])).select(
         prefix_site(F.col("href"), root, legacy).alias("url")
     )
     return (

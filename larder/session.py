@@ -58,6 +58,22 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_by(df: DataFrame, key: str, label: str = "settled") -> DataFrame:
+    """Like ``settle``, with the rows in buckets of ``key``, as many as a shuffle has partitions.
+
+    A join or anti-join on the key reads such a table where it lies; only the other side moves.
+    The frame's rows are moved to their buckets first, unless they come that way, so every bucket
+    is one sorted file.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"larder_{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key)
+    writer = dealt.write.format("parquet").option("path", scratch_path(spark, label))
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def keep_state_on_disk(spark: SparkSession) -> None:
     """Keep the state of streams in RocksDB, whose size is not bound by memory.
 

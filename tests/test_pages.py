@@ -228,3 +228,83 @@ def test_lookup_of_many_urls_prunes_folders(spark, tmp_path, monkeypatch):
         assert "BroadcastHashJoin" in plan and ("dynamicpruning" in plan) == (stored is not pages)
     write_pages(pages.limit(0), str(tmp_path / "none"), buckets=4)
     assert pages_for(urls, read_pages(spark, str(tmp_path / "none"))).count() == 0
+
+
+CODED = [
+    '<a href="/1">See Them All</a>',
+    '<a href="/2"><b>See Them All</b></a>',
+    '<a href="/3">&#83;ee Them All</a>',
+    '<a href="/4">See&#32;Them&#x20;All</a>',
+    '<a href="/5">See Them Al&#108;</a>',
+    '<a href="/6">See Them All!</a>',
+    '<a href="/7">See<!-- x -->Them All</a>',
+    '<a href="/8">Tom &amp; Jerry</a> <p>&nbsp;x</p>',
+    '<div id="alphabetical-list-9"><a href="/9">x</a></div>',
+    '<div ID = alphabetical-list><a href="/10">x</a></div>',
+    "<div id='&#97;lphabetical-list'><a href='/11'>x</a></div>",
+    '<div id="alphabetica&#108;-list"><a href="/12">x</a></div>',
+    '<div id="list alphabetical-list"><a href="/13">x</a></div>',
+    '<p>alphabetical-list</p><a href="/14">x</a>',
+    "",
+    None,
+]
+
+
+def test_pages_left_out_of_python_have_nothing_to_find(spark):
+    rows = list(enumerate(CODED)) + [(100 + i, f"<a href='/x{i}'>plain</a>") for i in range(50)]
+    pages = spark.createDataFrame(rows, "url int, html string")
+    for may, links in (
+        (px.may_hold_text(F.col("html"), px.MORE_LABEL), px.labelled_links),
+        (px.may_hold_id(F.col("html"), px.SECTION_ID_PREFIX), px.section_links),
+    ):
+        asked = pages.where(may)
+        got, want = (sorted(r["href"] for r in links(px.anchors(p, ["url"])).collect()) for p in (asked, pages))
+        assert got == want and len(want) >= 4 and asked.count() <= len(want) + 2
+    # A label with other characters may begin with any reference, here with that of another letter.
+    asked = pages.where(px.may_hold_text(F.col("html"), "Tom & Jerry"))
+    assert sorted(r["url"] for r in asked.collect()) == [2, 7]
+
+
+def test_discovery_parses_only_pages_with_a_label(spark, monkeypatch):
+    """Of a crawl of a thousand pages, those with a label and the navigation go to Python."""
+    parsed = []
+    real = dx.anchors
+    monkeypatch.setattr(dx, "anchors", lambda p, keep: parsed.append(p.count()) or real(p, keep))
+    rows = [(f"https://www.food.com/n{i}", '<a href="https://www.food.com/recipe/a-b-%d">x</a>' % i) for i in range(1000)]
+    rows += [(dx.FOODDOTCOM_NAV, '<nav id="main-nav"><a href="/n1">1</a></nav>'),
+             (dx.FOODDOTCOM_SEEDS[0], '<a href="https://www.food.com/n2">See Them All</a>')]
+    pages = spark.createDataFrame(rows, "url string, html string")
+    found = sorted(r["url"] for r in dx.fooddotcom_urls(pages).collect())
+    assert found == [f"https://www.food.com/recipe/a-b-{i}" for i in (1, 2)]
+    assert parsed == [1, 1]
+
+
+def _shuffled(spark, work):
+    """Bytes written to shuffles by some work."""
+    context = spark.sparkContext._jsc.sc()
+
+    def total():
+        context.listenerBus().waitUntilEmpty()
+        executors = context.statusStore().executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    before = total()
+    result = work()
+    return total() - before, result
+
+
+def test_a_round_moves_its_frontier_only(spark):
+    """A long chain among very many other links: rounds shuffle next to nothing of them."""
+    far = spark.range(400_000).select((F.col("id") * 2 + 10**9).alias("src"), (F.col("id") * 2 + 10**9 + 1).alias("dst"))
+    chain = spark.range(6).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # No side is broadcast, as with a large frontier.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        laying, edges = _shuffled(spark, lambda: px.lay_edges(far.unionByName(chain)))
+        seeds = spark.createDataFrame([(0,)], "node long")
+        rounds, nodes = _shuffled(spark, lambda: px.link_closure(seeds, edges, laid=True).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r["node"], r["depth"]) for r in nodes) == [(i, i) for i in range(7)]
+    assert laying > 2_000_000 and rounds < laying / 50
