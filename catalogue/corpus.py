@@ -107,6 +107,28 @@ def landed_rows(spark, d):
     return landed.select("n", "spec", "title", "link", "source")
 
 
+@query("""
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS n, 'large' AS spec,
+  p_name || chr(10) || '"' || p_size || '", ' || chr(10) || chr(10) || p_brand AS title, 'l' || p_partkey AS link
+FROM part
+""")
+def landed_large(spark, d):
+    """Fields with line breaks and quotes, read as large files are: each file by many tasks."""
+    path = f"{scratch_path(spark, 'raw')}/raw_dataset_large.csv"
+    breaks = r"""concat(p_name, '\n"', p_size, '", \n\n', p_brand)"""
+    rows = with_index(table(spark, d, "part"), "p_partkey", "row_label").select(
+        "row_label",
+        F.expr(breaks).alias("title"),
+        F.lit("[]").alias("ingredients"),
+        F.lit('["say \\"x\\""]').alias("directions"),
+        F.concat(F.lit("l"), "p_partkey").alias("link"),
+        F.lit("s").alias("source"),
+        F.lit("[]").alias("NER"),
+    )
+    rows.orderBy("row_label").write.options(**_CSV).csv(path)
+    return land_raw(spark, path, large=0).select("n", "spec", "title", "link")
+
+
 @query(f"""
 {_CLEAN} SELECT row_number() OVER (ORDER BY so NULLS LAST, source, dish_id) - 1 AS master_id, 'recipeNLG' AS spec, {_DISH} FROM o
 """)

@@ -24,8 +24,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with doubled quotes; only a blank field is null.
 
-    A file with line breaks inside fields is one task's read. ``multi_line=False`` splits files
-    that have none.
+    A file with line breaks inside fields is one task's read, see ``read_large_csv`` for others.
+    ``multi_line=False`` splits files that have none.
     """
     return (
         spark.read.schema(schema)
@@ -38,6 +38,92 @@ def read_csv(
     )
 
 
+_LINE = ["_file", "_block"]
+
+
+def quoted_records(
+    spark: SparkSession, path: str | list[str], files: str = "*.csv"
+) -> DataFrame:
+    """``_file, _block, _record, text``: the records of CSV files, read by many tasks a file.
+
+    A record ends at a line break outside quotes; doubled quotes change nothing, as they are two.
+    The lines of a split are read from its beginning, wherever that lies. Whether it lies inside
+    quotes is told by the parity of all quotes before it: each split adds up its own, and the sums
+    are scanned over the splits of a file. Lines before a split's first record belong to the last
+    record before it. ``_record`` counts the records of a split from 1.
+    """
+    read = spark.read.option("lineSep", "\n").option("pathGlobFilter", files).text(path)
+    lines = settle(
+        read.select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_mid"),
+        ),
+        "lines",
+    )
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    sums = lines.groupBy(*_LINE).agg((F.sum(quotes) % 2).alias("_odd"))
+    splits = Window.partitionBy("_file").orderBy("_block")
+    earlier = splits.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_odd").over(earlier), F.lit(0)) % 2
+    entry = broadcast_if_small(settle(sums.select(*_LINE, inside.alias("_inside")), "parities"))
+    # A window holds the lines of one split of the input, whose size is bounded.
+    place = Window.partitionBy(*_LINE).orderBy("_mid")
+    before = F.sum(quotes).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    outside = (F.coalesce(before, F.lit(0)) + F.col("_inside")) % 2 == 0
+    marked = lines.join(entry, _LINE).withColumn("_begins", outside.cast("int"))
+    counted = marked.withColumn("_record", F.sum("_begins").over(place))
+    ordered = F.array_sort(F.collect_list(F.struct("_mid", "value")))
+    text = F.array_join(F.transform(ordered, lambda line: line["value"]), "\n").alias("text")
+    parts = settle(counted.groupBy(*_LINE, "_record").agg(text), "record-parts")
+
+    last = parts.groupBy(*_LINE).agg(F.max("_record").alias("_last"))
+    known = F.when(F.col("_last") > 0, F.struct(F.col("_block").alias("b"), F.col("_last").alias("r")))
+    owners = last.select(*_LINE, F.last(known, ignorenulls=True).over(earlier).alias("_owner"))
+    owners = broadcast_if_small(settle(owners, "owners"))
+    late = parts.where("_record = 0").join(owners, _LINE)
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "text")))
+    tails = late.groupBy(
+        "_file", F.col("_owner.b").alias("_block"), F.col("_owner.r").alias("_record")
+    ).agg(F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("_tail"))
+    whole = parts.where("_record > 0").join(tails, [*_LINE, "_record"], "left")
+    joined = F.concat_ws("\n", "text", "_tail")
+    return whole.select(*_LINE, "_record", F.regexp_replace(joined, "\r$", "").alias("text"))
+
+
+def read_large_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    header: bool = True,
+    files: str = "*.csv",
+) -> DataFrame:
+    """The rows of ``read_csv``, each file read by many tasks; ``_file, _block, _mid`` place them.
+
+    The first record of each file is its header; empty records are no rows.
+    """
+    records = quoted_records(spark, path, files)
+    if header:
+        records = records.where((F.col("_block") != 0) | (F.col("_record") != 1))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv("text", fields, {"escape": '"'})
+    in_split = Window.partitionBy(*_LINE).orderBy("_record")
+    return records.where("text <> ''").select(
+        row.alias("_row"), *_LINE, F.row_number().over(in_split).cast("bigint").alias("_mid")
+    ).select("_row.*", *_LINE, "_mid")
+
+
+#: Files of more bytes are read by many tasks.
+LARGE_BYTES = 256 << 20
+
+
+def _largest_file(spark: SparkSession, path: str | list[str], files: str) -> int:
+    """Bytes of the largest file; the files are listed, not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path)
+    return listed.agg(F.max("length")).first()[0] or 0
+
+
 def spec_of(path: Column) -> Column:
     """Dataset name in the path of a raw file, or of a part file in a folder of that name."""
     return F.regexp_extract(path, _SPEC, 1)
@@ -68,17 +154,23 @@ def land_raw(
     schema: T.StructType = RAW_CORPUS,
     multi_line: bool = True,
     files: str = "*.csv",
+    large: int = LARGE_BYTES,
 ) -> DataFrame:
     """Read raw CSV once, as a splittable copy in the shared folder, with its row order.
 
-    Adds ``spec`` and ``n``, the row's position in its dataset.
+    Adds ``spec`` and ``n``, the row's position in its dataset. Where fields may hold line breaks
+    and a file has more than ``large`` bytes, the files are read by many tasks each, with the same
+    rows and positions.
     """
-    raw = read_csv(spark, path, schema, multi_line=multi_line, files=files).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    if multi_line and _largest_file(spark, path, files) > large:
+        raw = read_large_csv(spark, path, schema, files=files)
+    else:
+        raw = read_csv(spark, path, schema, multi_line=multi_line, files=files).select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_mid"),
+        )
     landed = settle(raw.withColumn("spec", spec_of(F.col("_file"))), "raw")
     return file_positions(landed).drop("_file", "_block", "_mid")
 

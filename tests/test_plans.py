@@ -178,6 +178,38 @@ def test_landed_positions_follow_the_files(spark, tmp_path, files):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("split", [97, 700, 20_000])
+def test_a_large_file_with_breaks_in_fields_is_read_by_many_tasks(spark, tmp_path, split):
+    """Breaks, doubled and lone quotes and empty lines, at and around the ends of splits."""
+    texts = ["plain", 'say ""', "two\nlines", '"', "\n\n", 'a ""quoted"" \n "x"', "", "tail\n", "é\n" * 40, ",\n,"]
+    rows = [[i, texts[i % 10], "['x']", texts[(i * 7) % 10], f"l{i}", "s", "[]"] for i in range(400)]
+    path = str(tmp_path / "raw_dataset_x.csv")
+    os.makedirs(path)
+    for part in range(2):
+        with open(f"{path}/part-{part}.csv", "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(HEADER)
+            for at, row in enumerate(rows[part * 200 : part * 200 + 200]):
+                out.writerow(row)
+                if at % 50 == 0:
+                    f.write("\n")
+    conf = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        many = rx.land_raw(spark, path, RAW_CORPUS, large=0)
+        assert rx.quoted_records(spark, path).select("_file", "_block").distinct().count() > (2 if split < 20_000 else 1)
+        got = sorted(tuple(r) for r in many.fillna("").collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    one = rx.land_raw(spark, path, RAW_CORPUS)
+    assert got == sorted(tuple(r) for r in one.fillna("").collect()) and len(got) == 400
+    assert [r[-1] for r in sorted(got, key=lambda r: r[-1])] == list(range(400))
+    assert all(r[0] == r[-1] and r[1] == rows[r[0]][1] for r in got)
+
+
 def test_parquet_positions(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 7).write.parquet(path)
