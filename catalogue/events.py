@@ -6,13 +6,14 @@ from catalogue.registry import query, table
 from larder.operators.index import chunk_manifest, with_index
 from larder.operators.tags import tokens
 from larder.functions.lists import parse_py_list
-from larder.schemas import FAILURE, SANITIZED
+from larder.schemas import FAILURE, SANITIZED, URL_LIST
 from larder.session import scratch_path
 from larder.sinks.commits import commit_batch, read_committed
 from larder.sinks.tables import write_pages
 from larder.sources.messages import event_files, read_json_objects
 from larder.streaming import pipeline as sp
 from larder.streaming import retries as rt
+from larder.streaming.batching import batched
 
 
 def _url_files(spark, d):
@@ -324,3 +325,60 @@ SELECT 'error' AS file, unnest(range(0, (n + 3) // 4)) * 4 + 1 AS start_index FR
 def fan_out_failures(spark, d):
     _, failed = _fan_out(spark, d)
     return failed.select("file", "start_index")
+
+
+@query("""
+WITH RECURSIVE m AS (SELECT (user_id % 8)::VARCHAR AS queue, ts, row_number() OVER (
+    PARTITION BY user_id % 8 ORDER BY ts, event_id::VARCHAR) - 1 AS i FROM events),
+f AS (SELECT queue, i, ts, i + 10 AS by_size, (SELECT min(o.i) FROM m o WHERE o.queue = m.queue AND o.ts >= m.ts + INTERVAL 8 HOUR) AS by_age,
+  (SELECT count(*) FROM m o WHERE o.queue = m.queue) AS total, (SELECT max(ts) FROM m) AS last FROM m),
+n AS (SELECT queue, i, ts, least(by_size, coalesce(by_age, total), total) AS next,
+  by_size <= least(coalesce(by_age, total), total) AS filled,
+  by_age IS NOT NULL OR ts + INTERVAL 8 HOUR <= last AS aged FROM f),
+b AS (SELECT queue, 0::BIGINT AS batch_no, i, next, filled, aged FROM n WHERE i = 0
+  UNION ALL SELECT n.queue, batch_no + 1, n.i, n.next, n.filled, n.aged FROM b JOIN n ON n.queue = b.queue AND n.i = b.next)
+SELECT queue, batch_no, (next - i)::INTEGER AS n, CASE WHEN filled THEN 'full' ELSE 'age' END AS why
+FROM b WHERE filled OR aged
+""")
+def stream_batches(spark, d):
+    """Messages of eight queues in batches of ten or eight hours; those still open are not given."""
+    arrivals, out = scratch_path(spark, "arrivals"), scratch_path(spark, "batches")
+    table(spark, d, "events").select(
+        (F.col("user_id") % 8).cast("string").alias("queue"),
+        F.col("ts").alias("arrived"),
+        F.col("event_id").cast("string").alias("message"),
+    ).write.parquet(arrivals)
+    rows = spark.readStream.schema("queue string, arrived timestamp, message string").parquet(arrivals)
+
+    def work(batch, batch_id):
+        commit_batch(spark, out, batch_id, batches=batch.select("queue", "batch_no", "n", "why"))
+
+    _run(spark, batched(rows, 10, 8 * 3600), work)
+    schema = "queue string, batch_no long, n int, why string"
+    return read_committed(spark, out, "batches", schema).drop("batch_id")
+
+
+@query("""
+SELECT 'm' || event_id AS id, CASE WHEN event_type IN ('error', 'click') THEN 'failed' ELSE 'sent' END AS place,
+  CASE event_type WHEN 'error' THEN 'unreadable' WHEN 'click' THEN 'no url' ELSE 'https://x.com/' || user_id END AS detail
+FROM events
+""")
+def stream_poison(spark, d):
+    """Messages of a queue, of which some cannot be read and some name no page."""
+    arrivals, out = scratch_path(spark, "messages"), scratch_path(spark, "decoded")
+    whole = F.to_json(
+        F.struct(
+            F.concat(F.lit("m"), "event_id").alias("uid"),
+            F.when(F.col("event_type") != "click", F.concat(F.lit("https://x.com/"), "user_id")).alias("url"),
+        )
+    )
+    body = F.when(F.col("event_type") == "error", F.concat(F.lit("["), whole)).otherwise(whole)
+    table(spark, d, "events").select(
+        F.concat(F.lit("m"), "event_id").alias("messageId"), body.alias("body")
+    ).write.json(arrivals)
+    _run(spark, sp.message_files(spark, arrivals), sp.decode_batch(out))
+    sent = read_committed(spark, out, "messages", URL_LIST)
+    failed = read_committed(spark, out, "failed_messages", sp.FAILED_MESSAGE)
+    return sent.select(F.col("uid").alias("id"), F.lit("sent").alias("place"), F.col("url").alias("detail")).unionByName(
+        failed.select(F.col("itemIdentifier").alias("id"), F.lit("failed").alias("place"), F.col("reason").alias("detail"))
+    )

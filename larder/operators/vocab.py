@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.text import collapse_ws, is_blank
 from larder.operators.index import sorted_index
+from larder.session import settle
 
 # A list position needs at most 31 bits, so ids below 2**32 share one long with it.
 _POSITION_BITS = 31
@@ -90,14 +91,16 @@ def unique_ingredients(
 def frequency_join(df: DataFrame, list_col: str) -> DataFrame:
     """The same counts as distinct words joined with their frequencies.
 
-    Kept for comparison: it scans and shuffles the words twice where the aggregation does once.
+    Both sides come from one aggregation by spelling, so the lists are read and moved once.
     """
-    words = df.select(F.explode_outer(list_col).alias("_w")).select(
-        collapse_ws(F.col("_w")).alias("ingredients")
-    )
-    frequencies = words.where("ingredients IS NOT NULL").groupBy("ingredients").count()
+    words = df.select(F.explode_outer(list_col).alias("_w"))
+    spelled = words.groupBy("_w").agg(F.count("_w").alias("_n"))
+    spelled = settle(spelled.select(collapse_ws(F.col("_w")).alias("ingredients"), "_n"), "spelled")
+    known = spelled.where("ingredients IS NOT NULL")
+    frequencies = known.groupBy("ingredients").agg(F.sum("_n").alias("count"))
     return (
-        words.distinct()
+        spelled.select("ingredients")
+        .distinct()
         .join(frequencies, "ingredients", "left")
         .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
     )

@@ -19,7 +19,7 @@ from larder.operators.records import overlay, sanitize
 from larder.operators.recipes import page_record
 from larder.operators.sets import not_yet
 from larder.operators.tags import PhraseTable, phrase_table, with_tags
-from larder.schemas import FAILURE, SANITIZED, URL_LIST
+from larder.schemas import FAILURE, QUEUE_MESSAGE, SANITIZED, URL_LIST
 from larder.session import keep_state_on_disk, settle
 from larder.sinks.commits import (
     commit,
@@ -29,6 +29,7 @@ from larder.sinks.commits import (
     read_committed,
 )
 from larder.sinks.tables import messages
+from larder.sources.messages import url_messages
 from larder.sources.tables import one_page, pages_for
 
 # Files per micro-batch and wait, as the scraping and the tagging step take them.
@@ -58,6 +59,17 @@ def url_files(
     )
 
 
+def message_files(
+    spark: SparkSession, directory: str, files_per_batch: int = STAGE_FILES
+) -> DataFrame:
+    """Arriving files of queue messages, a JSON line each: ``messageId, body``."""
+    return (
+        spark.readStream.schema(QUEUE_MESSAGE)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .json(directory)
+    )
+
+
 def staged_batches(
     spark: SparkSession, root: str, batches_at_once: int = TAG_FILES
 ) -> DataFrame:
@@ -196,6 +208,29 @@ def fan_out_batch(out: str, key: str = "uid") -> Callable[[DataFrame, int], None
     return work
 
 
+FAILED_MESSAGE = "itemIdentifier string, body string, reason string"
+
+
+def decode_batch(out: str) -> Callable[[DataFrame, int], None]:
+    """Queue messages to the tables ``messages`` (``uid, url``) and ``failed_messages``.
+
+    A message that cannot be read or names no page fails alone and is kept whole with its id, so
+    the rest of its batch goes on and it can be delivered again.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        no_url = F.coalesce(F.col("url"), F.lit("")) == ""
+        reason = F.when(F.col("unreadable"), F.lit("unreadable")).when(no_url, F.lit("no url"))
+        told = settle(url_messages(batch).withColumn("reason", reason), "decoded")
+        sent = told.where("reason IS NULL").select("uid", "url")
+        failed = told.where("reason IS NOT NULL").select(
+            F.col("messageId").alias("itemIdentifier"), "body", "reason"
+        )
+        commit_batch(batch.sparkSession, out, batch_id, messages=sent, failed_messages=failed)
+
+    return work
+
+
 def manifest_batch(
     out: str, size: int = 4, file: str = "file"
 ) -> Callable[[DataFrame, int], None]:

@@ -220,3 +220,30 @@ def test_a_failure_reported_again_is_tried_once(spark, places, pages, few_partit
     failed = cm.read_committed(spark, places.out, "failed", rt.FAILED_ATTEMPT).collect()
     assert sorted((r["uid"], r["attempt"]) for r in failed) == [("u2", 1), ("u2", 2), ("u3", 1)]
     assert [r[0] for r in staged(spark, places)] == ["u1", "u3"]
+
+
+def test_batches_close_by_number_or_age_over_micro_batches(spark, places, few_partitions):
+    import datetime as dt
+
+    from larder.streaming.batching import batched
+
+    def at(second):
+        return dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=second)
+
+    arrivals, out = f"{places.out}/arrivals", []
+    schema = "queue string, arrived timestamp, message string"
+
+    def work(batch, batch_id):
+        out.extend((r["queue"], r["batch_no"], r["why"], [m["message"] for m in r["messages"]]) for r in batch.collect())
+
+    # The second arrival goes on with the open batch of "a"; nothing follows in "b".
+    rounds = [
+        [("a", at(0), "1"), ("a", at(3), "3"), ("a", at(2), "2"), ("a", at(4), "4"), ("b", at(1), "x")],
+        [("a", at(19), "5"), ("a", at(24), "6"), ("a", at(60), "7"), (None, at(60), "n")],
+    ]
+    for rows in rounds:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(schema).parquet(arrivals)
+        run(batched(stream, size=3, wait=20), work, f"{places.progress}/batches")
+    assert sorted(out) == [
+        ("a", 0, "full", ["1", "2", "3"]), ("a", 1, "age", ["4", "5"]), ("a", 2, "age", ["6"]), ("b", 0, "age", ["x"])]
