@@ -7,9 +7,10 @@ on: with every component filled, most shingles stop after one point. Two signatu
 component with probability equal to the probability Jaccard similarity of the weighted shingles.
 
 Equal texts are one node. Nodes that share a band of their signature are candidates. A bucket of
-candidates compares all members with a pivot, not with each other. The distance is a metric, so what
-a pivot has told rules out most other pairs; only members that may still be linked to another class
-stay for the next pivots, until every bucket is settled. No bucket is capped.
+candidates first compares all members with a pivot, which links most of them. Buckets that still
+hold several classes are cut into blocks, and each two blocks of a bucket meet in a task: there the
+pairs of different classes whose rarest shingles meet are compared, each pair in the first bucket it
+shares only, and links that span what was found are given out. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import bounded_batches, over_cores, text_or_empty
+from larder.llm.components import linked_components
 from larder.operators.sizes import broadcast_if_small
 from larder.session import settle
 
@@ -40,6 +42,19 @@ _WORD_BYTES = np.zeros(256, bool)
 _WORD_BYTES[[*b"0123456789abcdefghijklmnopqrstuvwxyz", *range(128, 256)]] = True
 
 
+#: Texts of ASCII and Latin letters need no look at their characters.
+_OTHERS = r"[^\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]"
+_NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
+#: Scripts written without spaces: each character is a word.
+_ALONE = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+
+
+def spaced(text: Column) -> Column:
+    """The text with spaces between words, where others than ASCII characters part them."""
+    alone = F.regexp_replace(F.regexp_replace(text, _NO_WORD, " "), _ALONE, " $1 ")
+    return F.when(text.rlike(_OTHERS), alone).otherwise(text)
+
+
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint64(33))
     values = values * _MIX
@@ -214,40 +229,6 @@ def _measure(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     )
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, label`` of all nodes with links ``a, b``: the smallest node that each reaches.
-
-    Each step takes the smallest label around and then the label's label, so chains shrink fast.
-    Only a count comes to the driver.
-    """
-    both = settle(
-        links.select("a", "b")
-        .unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .distinct(),
-        "links",
-    )
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-    labels = settle(labels.select("node", F.least("node", "near").alias("label")), "labels")
-    while True:
-        around = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        lowered = labels.join(around, "node").select(
-            "node", F.least("label", "near").alias("label"), F.col("label").alias("was")
-        )
-        jump = lowered.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        stepped = settle(
-            lowered.join(jump, "label").select("node", F.col("further").alias("label"), "was"),
-            "labels",
-        )
-        changed = stepped.where("label != was").limit(1).count()
-        labels = stepped.select("node", "label")
-        if not changed:
-            return labels
-
-
 def _relabelled(frame: DataFrame, merged: DataFrame) -> DataFrame:
     """``frame`` with its labels replaced where ``merged`` (``old, new``) has another."""
     return frame.join(merged, F.col("label") == F.col("old"), "left").select(
@@ -287,24 +268,21 @@ def _prefixes(texts: DataFrame, reach: float) -> DataFrame:
     nodes the rarest common shingle, rare by the nodes here, comes in either before a weight of more
     than ``reach`` is passed. Shingles of one node alone come first and cannot be common.
     """
-    rows = texts.mapInArrow(
+    lists = texts.mapInArrow(
         _shingle_rows, "node binary, shingles array<long>, shares array<double>"
     )
-    each = settle(
-        rows.select("node", F.explode(F.arrays_zip("shingles", "shares")).alias("s")).select(
-            "node", F.col("s.shingles").alias("shingle"), F.col("s.shares").alias("share")
-        ),
-        "shingles",
-    )
-    common = settle(
-        each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "common"
+    lists = settle(lists.withColumn("id", F.monotonically_increasing_id()), "shingle-lists")
+    each = lists.select("id", F.explode(F.arrays_zip("shingles", "shares")).alias("s")).select(
+        "id", F.col("s.shingles").alias("shingle"), F.col("s.shares").alias("share")
     )
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    common = broadcast_if_small(settle(counts.where("n > 1"), "common"))
     ordered = F.array_sort(F.collect_list(F.struct("n", "shingle", "share")))
-    lists = each.join(common, "shingle").groupBy("node").agg(ordered.alias("common"))
+    shared = each.join(common, "shingle").groupBy("id").agg(ordered.alias("common"))
     return settle(
-        lists.mapInArrow(
-            lambda b: _cut_prefix(b, reach + 1e-9), "node binary, prefix array<long>"
-        ),
+        shared.join(lists.select("id", "node"), "id")
+        .select("node", "common")
+        .mapInArrow(lambda b: _cut_prefix(b, reach + 1e-9), "node binary, prefix array<long>"),
         "prefixes",
     )
 
@@ -315,79 +293,175 @@ def _open(active: DataFrame) -> DataFrame:
     return active.join(settle(labels.where("low != high").select("bucket"), "open"), "bucket")
 
 
-def _pivots(active: DataFrame, each: int) -> DataFrame:
-    """``bucket, pivot, own``, and the pivot's prefix: nodes that are not of the largest class.
+def _pivots(active: DataFrame) -> DataFrame:
+    """``bucket, pivot``: of each bucket the smallest node, so like buckets have the same."""
+    return active.groupBy("bucket").agg(F.min("node").alias("pivot"))
+
+
+def _overlapping(prefixes: list[np.ndarray]) -> np.ndarray:
+    """Which two of the members have a shingle of their prefixes in common."""
+    owner = np.repeat(np.arange(len(prefixes)), [len(p) for p in prefixes])
+    order = np.argsort(np.concatenate(prefixes), kind="stable")
+    flat, owner = np.concatenate(prefixes)[order], owner[order]
+    meets = np.zeros((len(prefixes), len(prefixes)), bool)
+    edges = np.flatnonzero(np.diff(flat)) + 1
+    for members in np.split(owner, edges):
+        if len(members) > 1:
+            meets[np.ix_(members, members)] = True
+    return meets
+
+
+def _first_shared(bands: np.ndarray, bucket: int) -> np.ndarray:
+    """Which two of the members share no band before that of the bucket."""
+    at = int(np.flatnonzero(bands[0] == bucket)[0])
+    shared = np.zeros((len(bands), len(bands)), bool)
+    for band in range(at):
+        shared |= bands[:, band, None] == bands[None, :, band]
+    return ~shared
+
+
+def _linked_in_block(rows: pa.Table, similar: float) -> list[tuple[bytes, bytes]]:
+    """Links between classes that span the similar pairs of one or two blocks of a bucket."""
+    labels = rows["label"].to_pylist()
+    names = {label: n for n, label in enumerate(dict.fromkeys(labels))}
+    own = np.array([names[label] for label in labels])
+    block = rows["own"].to_numpy()
+    asked = own[:, None] != own[None, :]
+    if rows["one"][0].as_py() != rows["two"][0].as_py():
+        asked &= block[:, None] != block[None, :]
+    bands = np.array(rows["bands"].to_pylist(), np.int64).reshape(len(own), BANDS)
+    asked &= _first_shared(bands, rows["bucket"][0].as_py())
+    asked &= _overlapping([np.array(p, np.int64) for p in rows["prefix"].to_pylist()])
+    wanted = np.flatnonzero(asked.any(axis=1))
+    if not len(wanted):
+        return []
+    texts = rows["text"].take(pa.array(wanted)).to_pylist()
+    sets = dict(zip(wanted.tolist(), _sets([t.encode() for t in texts]), strict=True))
+    root = list(range(len(names)))
+
+    def find(n: int) -> int:
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    spelled, links = list(names), []
+    for a, b in zip(*np.nonzero(np.triu(asked)), strict=True):
+        x, y = find(own[a]), find(own[b])
+        if x != y and similarity(sets[a], sets[b], similar) >= similar:
+            root[max(x, y)] = min(x, y)
+            links.append((spelled[own[a]], spelled[own[b]]))
+    return links
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
+    """Links from members sorted by ``bucket, one, two``; the last group waits for its end."""
+    held: list[pa.Table] = []
+    key = None
+
+    def linked() -> pa.RecordBatch:
+        links = _linked_in_block(pa.concat_tables(held).combine_chunks(), similar)
+        ends = [pa.array([link[at] for link in links], pa.binary()) for at in (0, 1)]
+        return pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
-    Of each of so many parts of a bucket, dealt by a hash of the node, the one with the longest
-    prefix: it has the least of its own, and buckets of the same members take the same pivots.
-    """
-    classes = active.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = classes.groupBy("bucket").agg(
-        F.max(F.struct("n", "label"))["label"].alias("largest")
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        columns = [rows[c].to_numpy() for c in ("bucket", "one", "two")]
+        fresh = np.zeros(rows.num_rows, bool)
+        for column in columns:
+            fresh[1:] |= column[1:] != column[:-1]
+        cuts = [0, *np.flatnonzero(fresh).tolist(), rows.num_rows]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == high:
+                continue
+            own = tuple(column[low] for column in columns)
+            if held and own != key:
+                yield linked()
+                held = []
+            held.append(rows.slice(low, high - low))
+            key = own
+    if held:
+        yield linked()
+
+
+#: Members and bytes of text of one block.
+BLOCK_NODES, BLOCK_BYTES = 512, 4 << 20
+
+
+def _links_between(
+    active: DataFrame, nodes: DataFrame, texts: DataFrame, similar: float, block: int
+) -> DataFrame:
+    """``a, b``: links between classes in open buckets, all of them told or implied by others."""
+    sized = active.join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    sizes = sized.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("all"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("all") / BLOCK_BYTES))
+    counted = settle(sizes.select("bucket", blocks.cast("int").alias("blocks")), "bucket-blocks")
+    dealt = active.join(broadcast_if_small(counted), "bucket").withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
-    part = F.pmod(F.xxhash64("node"), F.lit(each)).alias("part")
-    least = F.struct((-F.size("prefix")).alias("size"), "node", "label", "prefix")
+    # A block meets itself and every other block of its bucket.
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = met.select(
+        "bucket",
+        F.least("own", "other").alias("one"),
+        F.greatest("own", "other").alias("two"),
+        "own",
+        "node",
+        "label",
+        "prefix",
+    )
+    named = active.select("node").distinct().join(nodes.select("node", "bands"), "node")
+    known = settle(named.join(texts, "node"), "members-texts")
+    by = ["bucket", "one", "two"]
     return (
-        active.join(settle(largest, "largest"), "bucket")
-        .where("label != largest")
-        .groupBy("bucket", part)
-        .agg(F.min(least).alias("least"))
-        .select(
-            "bucket",
-            F.col("least.node").alias("pivot"),
-            F.col("least.label").alias("own"),
-            F.col("least.prefix").alias("own_prefix"),
-        )
+        placed.join(known, "node")
+        .repartition(*by)
+        .sortWithinPartitions(*by)
+        .mapInArrow(lambda b: _block_links(b, similar), "a binary, b binary")
+        .distinct()
     )
 
 
-def _verified(members: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+def _merged(links: DataFrame) -> DataFrame:
+    """``old, new`` of the classes that the links join."""
+    found = linked_components(links)
+    return found.select(F.col("node").alias("old"), F.col("label").alias("new"))
+
+
+def _verified(
+    members: DataFrame, nodes: DataFrame, texts: DataFrame, similar: float, block: int
+) -> DataFrame:
     """``node, label`` of all nodes in buckets: nodes linked over some buckets have one label.
 
-    ``members`` has ``bucket, node``. A round measures each bucket's pivots against its members of
-    other classes: one pivot at first, four times as many in each round for the buckets that still
-    hold several classes. A pivot is then done with. After the first round a pivot and a member meet
-    only if their prefixes do, which spares no pair that could be similar; a member without a
-    prefix is done with. A bucket whose members are of one class is settled.
+    ``members`` has ``bucket, node``, ``nodes`` the bands of each node. First each bucket's pivot
+    is measured against its other members, and is then done with there. Members of buckets of
+    several classes go on if they have a prefix, and a bucket of several classes is compared block
+    by block.
     """
     reach = 1 - similar
-    labels = members.select("node").distinct().withColumn("label", F.col("node"))
-    none = F.array().cast("array<long>").alias("prefix")
-    active = settle(members.select("bucket", "node", none, F.col("node").alias("label")), "active")
-    each, prefixes = 1, None
-    while active.limit(1).count():
-        pivots = settle(_pivots(active, each), "pivots")
-        meet = F.lit(True) if prefixes is None else F.arrays_overlap("prefix", "own_prefix")
-        left, right = active.alias("l"), pivots.alias("r")
-        placed = left.join(
-            right,
-            (F.col("l.bucket") == F.col("r.bucket")) & (F.col("label") != F.col("own")) & meet,
-        )
-        pairs = settle(placed.select("pivot", "node", "own", "label").distinct(), "pairs")
-        far = _measure(pairs.select("pivot", "node"), texts, similar)
-        new = (
-            far.where(F.col("far") <= reach)
-            .join(pairs, ["pivot", "node"])
-            .select(F.col("own").alias("a"), F.col("label").alias("b"))
-        )
-        merged = components(new).select(F.col("node").alias("old"), F.col("label").alias("new"))
-        labels = settle(_relabelled(labels, merged), "node-labels")
-        done = pivots.select("bucket", F.col("pivot").alias("node"))
-        rest = _relabelled(active.join(done, ["bucket", "node"], "left_anti"), merged)
-        active = settle(_open(settle(rest, "left")), "active")
-        if prefixes is None:
-            wanted = broadcast_if_small(settle(active.select("node").distinct(), "wanted"))
-            prefixes = _prefixes(texts.join(wanted, "node"), reach)
-            kept = active.drop("prefix").join(prefixes.where(F.size("prefix") > 0), "node")
-            kept = settle(kept.select("bucket", "node", "prefix", "label"), "left")
-            active = settle(_open(kept), "active")
-        each *= 4
-    return labels
-
-
-def _classes(texts: DataFrame, similar: float) -> DataFrame:
+    pivots = settle(_pivots(members), "pivots")
+    pairs = members.join(pivots, "bucket").where("node <> pivot").select("pivot", "node")
+    far = _measure(settle(pairs.distinct(), "pairs"), texts, similar)
+    near = far.where(F.col("far") <= reach)
+    merged = _merged(near.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    single = members.select("node").distinct().withColumn("label", F.col("node"))
+    labels = settle(_relabelled(single, merged), "node-labels")
+    done = pivots.select("bucket", F.col("pivot").alias("node"))
+    rest = members.join(done, ["bucket", "node"], "left_anti").join(labels, "node")
+    active = settle(_open(settle(rest, "left")), "active")
+    if not active.limit(1).count():
+        return labels
+    wanted = broadcast_if_small(settle(active.select("node").distinct(), "wanted"))
+    prefixes = _prefixes(texts.join(wanted, "node"), reach)
+    kept = active.join(prefixes.where(F.size("prefix") > 0), "node")
+    active = settle(_open(settle(kept, "left")), "active")
+    links = settle(_links_between(active, nodes, texts, similar, block), "links")
+    return settle(_relabelled(labels, _merged(links)), "node-labels")
+
+
+def _classes(texts: DataFrame, similar: float, block: int) -> DataFrame:
     """``doc_id, node, class_id, class_node`` of every row of ``doc_id, text, node``."""
-    lowered = texts.withColumn("text", F.lower("text"))
+    lowered = texts.withColumn("text", spaced(F.lower("text")))
     signed = settle(
         over_cores(lowered).mapInArrow(_bands, "doc_id long, node binary, bands array<long>"),
         "signed",
@@ -406,7 +480,7 @@ def _classes(texts: DataFrame, similar: float) -> DataFrame:
         .agg(F.first("text").alias("text")),
         "texts",
     )
-    labels = _verified(members, involved, similar)
+    labels = _verified(members, nodes, involved, similar, block)
     own = nodes.select("node", "first")
     named = settle(
         own.join(labels, "node", "left").select(
@@ -436,29 +510,42 @@ def _kept():
 
 
 def near_duplicates(
-    docs: DataFrame, similar: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    similar: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block: int = BLOCK_NODES,
 ) -> DataFrame:
     """``doc_id, class_id, kept`` of every document: its near-duplicate class.
 
     A class is made by links of probability Jaccard ``similar`` or more over five-word shingles
-    weighted by their count, and by equal texts. Words are runs of letters and digits, lower-cased.
+    weighted by their count, and by equal texts. Words are runs of Unicode letters, marks and
+    digits, lower-cased; in scripts written without spaces each character is a word.
     ``class_id`` is the smallest id in the class; its row is ``kept``. A text of one to four words
     is one shingle. Texts without words, null ones too (as empty), are only like equal texts. Rows
     of one id are told apart by their text; rows alike in both are kept together. Null ids come
     last: a class of null ids has a null ``class_id``. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    return _classes(_keyed(docs, id_col, text_col), similar).select(
+    return _classes(_keyed(docs, id_col, text_col), similar, block).select(
         "doc_id", "class_id", _kept().alias("kept")
     )
 
 
 def first_of_class(
-    docs: DataFrame, similar: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    similar: float = SIMILARITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block: int = BLOCK_NODES,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
+
+    Rows alike in id and text are kept together, as they are one there; an empty table stays empty.
+    """
     bounded_batches(docs.sparkSession)
-    kept = _classes(_keyed(docs, id_col, text_col), similar).where(_kept()).select("doc_id", "node")
+    classes = _classes(_keyed(docs, id_col, text_col), similar, block)
+    kept = classes.where(_kept()).select("doc_id", "node")
     named = docs.select(
         *(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)),
         F.col(id_col).cast("bigint").alias("_id"),

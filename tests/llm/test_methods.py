@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -24,8 +25,12 @@ def texts(spark):
     return {r["doc_id"]: r["text"] or "" for r in rows}
 
 
+ALONE = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+WORD = rf"{ALONE}|(?:(?!{ALONE})[\p{{L}}\p{{M}}\p{{N}}])+"
+
+
 def bag(text):
-    words = re.findall(rb"[a-z0-9\x80-\xff]+", text.lower().encode())
+    words = regex.findall(WORD, text.lower())
     spans = range(max(1, len(words) - 4)) if words else ()
     return Counter(tuple(words[i : i + 5]) for i in spans)
 
@@ -76,6 +81,36 @@ def test_similarity_is_exact():
         assert abs(prob_minhash.similarity(*sets) - probability_jaccard(x, y)) < 1e-9
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_a_hot_bucket_is_compared_block_by_block(spark, block):
+    """Variants of one text: some near its centre, some near each other only, some near none."""
+    draw = np.random.default_rng(4)
+    centre = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        text = list(centre)
+        for at in draw.choice(120, draw.integers(0, 9), replace=False):
+            text[at] = f"v{draw.integers(0, 3)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = prob_minhash.near_duplicates(docs, block=block).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute_classes(dict(rows))
+    assert len({r["class_id"] for r in found}) > 3
+
+
+def test_words_of_scripts_without_spaces_and_odd_separators(spark):
+    chinese = "".join(chr(0x4E00 + 37 * i % 2000) for i in range(200))
+    words = [f"wort{i}" for i in range(80)]
+    rows = [
+        (1, chinese), (2, chinese[:100] + "\u6587" + chinese[101:]), (3, chinese[::-1]),
+        (4, "\u00a0".join(words)), (5, "\u3000".join(words[:40]) + " \u201c" + " ".join(words[40:]) + "\u201d"),
+        (6, " ".join(words).upper()), (7, "\u2014".join(words[:79]) + " ende"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in prob_minhash.near_duplicates(docs).collect()}
+    assert found == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 4, 7: 4} == brute_classes(dict(rows))
+
+
 def test_signatures_estimate_the_similarity():
     words = [f"w{i}" for i in range(300)]
     a, b = " ".join(words), " ".join(words[:250] + [f"v{i}" for i in range(50)])
