@@ -24,8 +24,6 @@ FILTERS = 16
 EMBEDDED = 8
 #: The classifier's bound: labelled documents of one language that training takes, on average.
 SAMPLE_PER_LANGUAGE = 1500
-#: Languages learned at most, the most frequent ones; a bound of the driver's memory.
-LANGUAGES = 200
 EPOCHS = 30
 UNKNOWN = "und"
 #: Windows convolved at once, so that what they need stays in the processor's cache.
@@ -177,8 +175,9 @@ def train(
 ) -> Model | None:
     """Fit a model on about ``per_language`` windows of each language's labelled documents.
 
-    One window of each sampled document, at a place drawn by its id, comes to the driver: at most
-    ``LANGUAGES`` times ``per_language`` windows on average. None if there is nothing to learn.
+    One window of each sampled document, at a place drawn by its id, comes to the driver: on average
+    ``per_language`` for each language that occurs as a label, rare ones included. Null labels and
+    texts without a letter teach nothing. None if there is nothing to learn.
     """
     text = F.lower(text_or_empty(text_col))
     labelled = docs.where(
@@ -188,7 +187,6 @@ def train(
         labelled.groupBy("lang")
         .count()
         .orderBy(F.col("count").desc(), "lang")
-        .limit(LANGUAGES)
         .collect()
     )
     if not counts:
@@ -270,7 +268,13 @@ def predict(
 def known_language(
     docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.4
 ) -> DataFrame:
-    """The rows of ``docs`` whose language is told with a score of at least ``least``."""
+    """The rows of ``docs`` whose language is told with a score of at least ``least``.
+
+    Rows without a letter, null texts too, go. Without a model, as no row is labelled, no language
+    is rejected: all rows with a letter stay. Repeated rows stay as often as they are.
+    """
+    if model is None:
+        return docs.where(text_or_empty(text_col).rlike(r"\p{L}"))
     told = _with_prediction(docs, model, text_col)
     kept = told.where((F.col("_lang") != UNKNOWN) & (F.col("_score") >= least))
     return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -70,6 +70,14 @@ def test_stages(spark, stage):
     assert run(spark, docs.limit(0), "").count() == 0
 
 
+def test_language_stage_without_labels_keeps_texts_with_letters(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(ROWS, NAMES.format("_lang", "_score")).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.schema == docs.schema and kept.count() == sum(any(c.isalpha() for c in r[1] or "") for r in ROWS)
+
+
 def test_exact_copies_with_nulls_and_repeated_rows(spark):
     docs = spark.createDataFrame(ROWS, NAMES.format("keep_id", "c0"))
     rows = content_sort(docs).collect()
