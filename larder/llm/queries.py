@@ -50,18 +50,23 @@ with l as (
 ), c as (
     select doc_id, i, trim(line) as t, row_number() over (partition by doc_id order by i) as k
     from l where counted
-), w as (
-    select doc_id, k, [t, lead(t, 1) over d, lead(t, 2) over d] as content,
-        lead(t, 2) over d is not null as whole
+), m as (
+    select doc_id, k, t, lead(t, 1) over d as t1, lead(t, 2) over d as t2,
+        len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) as n,
+        len(regexp_extract_all(lead(t, 1) over d, '[^\x20\x09-\x0D]+')) as n1
     from c window d as (partition by doc_id order by k)
+), w as (
+    select doc_id, k, 1 as run, [t] as content from m where n > 50
+    union all select doc_id, k, 2, [t, t1] from m where t1 is not null and n + n1 > 50
+    union all select doc_id, k, 3, [t, t1, t2] from m where t2 is not null
 ), r as (
-    select doc_id, k from (
-        select doc_id, k, row_number() over (partition by content order by doc_id, k) as n
-        from w where whole
+    select doc_id, k, run from (
+        select doc_id, k, run, row_number() over (partition by content order by doc_id, k) as n
+        from w
     ) where n > 1
 ), gone as (
     select distinct c.doc_id, c.i
-    from c join r on c.doc_id = r.doc_id and c.k in (r.k, r.k + 1, r.k + 2)
+    from c join r on c.doc_id = r.doc_id and c.k >= r.k and c.k < r.k + r.run
 ), kept as (
     select l.doc_id,
         string_agg(case when gone.i is null then line end, chr(10) order by l.i) as text,

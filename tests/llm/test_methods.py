@@ -241,3 +241,17 @@ def test_pipeline_keeps_what_brute_force_keeps(spark, texts):
     kept = {i for i, c in brute_classes(single).items() if i == c}
     assert {r["doc_id"] for r in rows} == kept
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "language_id"
+
+
+def test_runs_of_few_long_lines_are_deleted(spark):
+    long = [" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 60), ("b", 60), ("c", 30), ("d", 21), ("e", 20))]
+    a, b, c, d, e = long
+    texts = {
+        1: f"{a}\n{b}\nx\n{c}\n{d}\n{e}", 2: f"{a}\n{b}", 3: f"own\n{b}\nown too",
+        4: f"{c}\n{d}\nmine", 5: f"{d}\nmore\n{e}", 6: f"{d}\n{e}\nthat is new", 7: a, 8: f"y\n{e}\n{e}\n{e}\n{e}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: (r["text"], r["n_deleted"]) for r in winnow_lines(docs).collect()}
+    assert [out[i] for i in (2, 3, 4, 7)] == [("", 2), ("own\nown too", 1), ("mine", 2), ("", 1)]
+    # Two lines of 41 words are no run, nor is one of 20; three alike in a row are, from the second on.
+    assert [out[i][1] for i in (1, 5, 6, 8)] == [0, 0, 0, 3]
