@@ -160,6 +160,10 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def first_of_equals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``content_sort`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``content_sort`` keeps, with all their columns.
+
+    Of equal texts, null and empty ones among them, the row of the smallest id, one of them if it
+    repeats; of rows without an id one. An empty table stays empty.
+    """
     kept = _decisions(docs, id_col, text_col, docs.columns).where("_kept")
     return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))

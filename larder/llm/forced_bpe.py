@@ -209,7 +209,11 @@ def decode(
 def round_trip(
     docs: DataFrame, name: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, encoded and decoded."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, encoded and decoded.
+
+    A null text is the empty one, which has no tokens. Repeated rows stay, a null id stays null. An
+    empty table gives no rows.
+    """
     return _keyed_texts(docs, id_col, text_col).mapInArrow(
         lambda b: _digests(b, name),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",

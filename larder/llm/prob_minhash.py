@@ -522,7 +522,8 @@ def near_duplicates(
     weighted by their count, and by equal texts. Words are runs of Unicode letters, marks and
     digits, lower-cased; in scripts written without spaces each character is a word.
     ``class_id`` is the smallest id in the class; its row is ``kept``. A text of one to four words
-    is one shingle. Texts without words, null ones too (as empty), are only like equal texts. Rows
+    is one shingle; ``block`` is how many members of a bucket one side of a task holds, and changes
+    no result. Texts without words, null ones too (as empty), are only like equal texts. Rows
     of one id are told apart by their text; rows alike in both are kept together. Null ids come
     last: a class of null ids has a null ``class_id``. An empty table gives no rows.
     """

@@ -348,7 +348,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, decoded from the files.
 
     ``start`` counts the ids of all documents before it: within its segment, of the file's earlier
-    segments, and of the earlier files (one total for each).
+    segments, and of the earlier files (one total for each). Documents come as they were written:
+    rows of one id, or without one, are documents of their own. No files give no rows.
     """
     bounded_batches(spark)
     table = spark.read.schema(SCHEMA).parquet(path)
@@ -379,7 +380,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def written_and_read(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
-    """Write the documents' ids to a new table in the shared folder and read them back."""
+    """Write the documents' ids to a new table in the shared folder and read them back.
+
+    One row for each row of ``docs``. A null or empty text is its end id alone; null ids come last.
+    An empty table gives no rows.
+    """
     path = scratch_path(docs.sparkSession, "coded-ids")
     write_ids(docs, path, vocabulary)
     return read_documents(docs.sparkSession, path)

@@ -229,7 +229,11 @@ def scan_separators(
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end: int = 50256):
-    """``doc_id, file, doc_no, start, n_tokens`` of every row, counted in its flat file."""
+    """``doc_id, file, doc_no, start, n_tokens`` of every row, counted in its flat file.
+
+    A null or empty text has no tokens before its end identifier. Rows of one id, alike or not, and
+    rows without one are documents of their own. An empty table gives no rows.
+    """
     blocks, names = write_flat(docs, vocabulary, end)
     counted = scan_separators(blocks, end).where("closed").drop("closed")
     return names.join(counted, ["file", "doc_no"], "left").select(
