@@ -15,7 +15,7 @@ from larder.llm import byte_cnn, prob_minhash, queries, range_coder
 from larder.llm.bloom_cascade import Cascade
 from larder.llm.line_winnow import winnow_lines
 from larder.llm.separator_scan import read_flat, scan_separators
-from larder.llm.tokens import tokenizer_path
+from larder.llm.tokens import tokenizer_path, word_encoder
 from tests.conftest import SMALL
 
 
@@ -190,20 +190,55 @@ def test_lines_of_a_run_within_one_document(spark):
 
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
-    cases = [[], [5], rng.integers(0, 65536, 5000), np.zeros(9000), rng.zipf(1.3, 9000) % 50257]
-    cases.append(np.tile(rng.integers(0, 50257, 40), 200))
+    cases = [[], [5], [7, 7], rng.integers(0, 65536, 5000), np.zeros(9000), rng.zipf(1.3, 9000) % 50257]
+    cases += [np.arange(65536), np.full(4097, 65535), np.tile(rng.integers(0, 50257, 40), 200)]
     for case in cases:
         ids = np.array(case).astype(np.uint16)
-        blocks = range_coder.encode_blocks(ids)
-        assert np.array_equal(range_coder.decode_blocks(blocks), ids)
-        for one in range(0, len(blocks)):  # each block alone, too
-            part = range_coder.decode_blocks(blocks[one : one + 1])
+        start, blocks = range_coder.encode_blocks(ids)
+        assert np.array_equal(range_coder.decode_blocks(start, blocks), ids)
+        for one in {0, len(blocks) - 1} if blocks else ():  # blocks alone, too
+            part = range_coder.decode_blocks(start, blocks[one : one + 1])
             assert np.array_equal(part, ids[one * range_coder.BLOCK :][: len(part)])
-    assert sum(map(len, blocks)) < 0.1 * 2 * len(ids)
-    broken = bytearray(blocks[0])
-    broken[-1] ^= 1
-    with pytest.raises(ValueError):
-        range_coder.decode_blocks([bytes(broken)])
+    assert len(start) + sum(map(len, blocks)) < 0.1 * 2 * len(ids)
+    for broken, rest in ((blocks[0], lambda b: (start, [b])), (start, lambda b: (b, blocks))):
+        for at in (0, 5, len(broken) - 1):
+            changed = bytearray(broken)
+            changed[at] ^= 1
+            with pytest.raises(ValueError):
+                range_coder.decode_blocks(*rest(bytes(changed)))
+        with pytest.raises(ValueError):
+            range_coder.decode_blocks(*rest(broken[:10]))
+
+
+def test_documents_take_fewer_bytes_than_zlib(texts):
+    encoder = word_encoder("byte_bpe_50k.json")
+    in_order = encoder.encode(text for _, text in sorted(texts.items()))
+    ids = np.frombuffer(b"".join(x + b"\0\0" for x in in_order), encoder.dtype)
+    start, blocks = range_coder.encode_blocks(ids)
+    assert len(start) + sum(map(len, blocks)) < 0.92 * len(zlib.compress(ids.tobytes(), 9))
+
+
+def test_files_of_many_segments(spark, texts, tmp_path):
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    some = sorted(texts.items())[:30]
+    rows = [*some, (-1, None), (None, "no id"), (3, "again"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    range_coder.write_ids(docs, str(tmp_path / "ids"), segment_ids=3000)
+    held = spark.read.parquet(str(tmp_path / "ids"))
+    assert held.count() > 5 and held.select(F.size("blocks")).distinct().count() > 1
+    found = range_coder.read_documents(spark, str(tmp_path / "ids")).collect()
+    found = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found)
+    start, told = 0, []
+    for at, doc_id, n, crc in found:
+        assert at == start
+        start += n
+        told.append((doc_id, n, crc))
+    want = []
+    for doc_id, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        want.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(told, key=str) == sorted(want, key=str)
+    assert [x[0] for x in told] == sorted((x[0] for x in want), key=lambda x: (x is not None, x))
 
 
 def test_ids_read_back_from_files(spark, texts):
