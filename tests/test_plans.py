@@ -280,3 +280,17 @@ def test_clean_scraped(spark):
     assert [x["uid"] for x in bad.collect()] == ["missing_1"]
     legacy = sx.clean_scraped(records, legacy_keys=True).orderBy("dish_id").first()
     assert json.loads(legacy["cuisine"]) == {"category": ["missing"]}
+
+
+def test_files_of_json_objects_share_a_folder(spark, tmp_path):
+    """A folder for each of them made the listing and the write grow out of hand."""
+    import catalogue.events as ev
+
+    suppliers = [(i, f"s {i} é", i / 4) for i in range(40)] + [(None, "no key", None)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_acctbal double").write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    found = ev.json_objects(spark, str(tmp_path))
+    assert len(found.inputFiles()) == 41
+    assert len({os.path.dirname(f) for f in found.inputFiles()}) == 1
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(suppliers, key=str)
