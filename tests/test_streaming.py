@@ -247,3 +247,59 @@ def test_batches_close_by_number_or_age_over_micro_batches(spark, places, few_pa
         run(batched(stream, size=3, wait=20), work, f"{places.progress}/batches")
     assert sorted(out) == [
         ("a", 0, "full", ["1", "2", "3"]), ("a", 1, "age", ["4", "5"]), ("a", 2, "age", ["6"]), ("b", 0, "age", ["x"])]
+
+
+def test_batches_hold_a_bounded_part_of_a_queue(monkeypatch):
+    """The rows of a queue used to be held and sorted at once, and so were its batches."""
+    import pandas as pd
+
+    from larder.streaming import batching
+
+    n = 3000
+    monkeypatch.setattr(batching, "HELD_BYTES", 100 * 400, raising=False)
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def put(self, value):
+            self.value = value
+
+        update = put
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def getValueState(self, *_):
+            return State()
+
+        def getListState(self, *_):
+            return State()
+
+        def listTimers(self):
+            return []
+
+        def registerTimer(self, due):
+            self.due = due
+
+    def frames():
+        for low in range(0, n, 50):
+            times = [(i * 7919 % n) * 1_000_000 for i in range(low, low + 50)]
+            texts = [f"m{at}" if at % 3_000_000 else None for at in times]
+            yield pd.DataFrame({"queue": "q", "at": times, "message": texts})
+
+    work = batching.Batches(7, 5.0)
+    work.init(Handle())
+    found = list(work.handleInputRows(("q",), frames(), None))
+    assert len(found) > 20 and max(map(len, found)) < 40
+    made = pd.concat(found)
+    assert made["batch_no"].tolist() == list(range(n // 5 - 1))
+    given = [(m["arrived"], m["message"]) for row in made["messages"] for m in row]
+    assert given == [(i * 1_000_000, f"m{i * 1_000_000}" if i % 3 else None) for i in range(n - 5)]
+    assert set(made["why"]) == {"age"} and len(work.held.get()) == 5
