@@ -32,8 +32,9 @@ WORDS = 5
 SIMILARITY = 0.8
 #: A pair of similarity 0.8 shares no band with probability 0.00003, one of 0.9 with 5e-10.
 BANDS, ROWS = 20, 4
-#: Bytes of text whose shingles are held at once.
-_PART_BYTES = 2 << 20
+#: Bytes of an Arrow batch, and of text whose shingles are held at once: two workers and what their
+#: tasks send and read have to fit beside the heap of an executor.
+_BATCH_BYTES, _PART_BYTES = 4 << 20, 1 << 20
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
@@ -251,11 +252,15 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _cut_prefix(batches: Iterator[pa.RecordBatch], reach: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        lengths = batch["common"].value_lengths().to_numpy()
+        ends = np.cumsum(lengths, dtype=np.int64)
+        flat = batch["common"].flatten()
+        shingle, share = flat.field("shingle").to_numpy(), flat.field("share").to_numpy()
         prefixes = []
-        for row in batch["common"].to_pylist():
-            shares = np.array([x["share"] for x in row])
+        for low, high in zip(ends - lengths, ends, strict=True):
+            shares = share[low:high]
             before = 1 - shares.sum() + np.cumsum(shares) - shares
-            prefixes.append([x["shingle"] for x, m in zip(row, before, strict=True) if m <= reach])
+            prefixes.append(shingle[low:high][before <= reach])
         yield pa.RecordBatch.from_arrays(
             [batch["node"], pa.array(prefixes, pa.list_(pa.int64()))], ["node", "prefix"]
         )
@@ -527,7 +532,7 @@ def near_duplicates(
     of one id are told apart by their text; rows alike in both are kept together. Null ids come
     last: a class of null ids has a null ``class_id``. An empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, _BATCH_BYTES)
     return _classes(_keyed(docs, id_col, text_col), similar, block).select(
         "doc_id", "class_id", _kept().alias("kept")
     )
@@ -544,7 +549,7 @@ def first_of_class(
 
     Rows alike in id and text are kept together, as they are one there; an empty table stays empty.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, _BATCH_BYTES)
     classes = _classes(_keyed(docs, id_col, text_col), similar, block)
     kept = classes.where(_kept()).select("doc_id", "node")
     named = docs.select(
