@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.llm.common import bounded_batches, text_or_empty
-from larder.llm.tokens import word_encoder
+from larder.llm.tokens import with_end, word_encoder
 from larder.session import scratch_path, settle
 
 #: Ids of a block, and ids after which a segment ends with its document.
@@ -365,33 +365,33 @@ def _segments(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, segm
     encoder = word_encoder(vocabulary)
     if encoder.dtype.itemsize != 2:
         raise ValueError("the format holds ids below 65,536")
-    tail = np.array([end], encoder.dtype).tobytes()
     file, segment = TaskContext.get().partitionId(), 0
-    doc_ids, parts, held = [], [], 0
+    doc_ids, lengths, parts, held = [], [], [], 0
     kinds = [pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * 2
     kinds += [pa.binary(), pa.list_(pa.binary())]
     names = [field.split()[0] for field in SCHEMA.split(", ")]
 
     def out():
-        ids = np.frombuffer(b"".join(parts), encoder.dtype)
-        lengths = [len(p) // 2 for p in parts]
-        start, blocks = encode_blocks(ids)
+        start, blocks = encode_blocks(np.concatenate(parts))
         values = ([file], [segment], [doc_ids], [lengths], [start], [blocks])
         arrays = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
     for batch in batches:
-        for low in range(0, batch.num_rows, 500):
-            some = batch.slice(low, 500)
-            for doc_id, ids in zip(
-                some[0].to_pylist(), encoder.encode(some[1].to_pylist()), strict=True
-            ):
-                doc_ids.append(doc_id)
-                parts.append(ids + tail)
-                held += len(parts[-1]) // 2
-                if held >= segment_ids:
-                    yield out()
-                    doc_ids, parts, held, segment = [], [], 0, segment + 1
+        own_ids = batch[0].to_pylist()
+        ids, ends = with_end(*encoder.encode_column(batch[1]), end)
+        low = at = 0  # the first document and id that no segment holds yet
+        while low < len(ends):
+            # The document that brings the segment to its size is its last one.
+            high = min(int(np.searchsorted(ends, at + segment_ids - held)) + 1, len(ends))
+            doc_ids += own_ids[low:high]
+            lengths += np.diff(ends[low:high], prepend=at).tolist()
+            parts.append(ids[at : ends[high - 1]])
+            held += len(parts[-1])
+            low, at = high, int(ends[high - 1])
+            if held >= segment_ids:
+                yield out()
+                doc_ids, lengths, parts, held, segment = [], [], [], 0, segment + 1
     if doc_ids:
         yield out()
 
